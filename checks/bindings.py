@@ -43,7 +43,7 @@ _RESPONSE = f"""CASE doc_id % 11
   WHEN 2 THEN concat('Here it is:', {NL}, {TICKS}, {NL}, '{{"investing": "', {esc('text')}, '"}}', {NL}, {TICKS})
   WHEN 3 THEN concat('## Personal', {NL}, text, {NL}, {NL}, '## 3i', {NL}, '- x', {NL}, '## Deals', {NL}, lang)
   WHEN 4 THEN concat({TICKS}, 'json', {NL}, '{{"personal": ', text, {NL}, {TICKS})
-  WHEN 5 THEN concat('{{"existing_member_summary": "## Business{chr(92)}n', {esc('text')}, '"}}')
+  WHEN 5 THEN concat('{{"existing_member_summary": "## Business', chr(92), 'n', {esc('text')}, '"}}')
   WHEN 6 THEN text
   WHEN 7 THEN concat('["', {esc('text')}, '"]')
   WHEN 8 THEN concat('{{"personal": ', cast(n_chars AS varchar(20)), '}}')

@@ -22,8 +22,12 @@ def parts(spark, sf):
     return [frame(spark, sf, n) for n in ("notes", "run_log", "rules")]
 
 
+def with_sections(df):
+    return df.withColumn("sections", F.struct(*SECTIONS))
+
+
 def latest(spark, sf):
-    df = frame(spark, sf, "profiles").withColumn("sections", F.struct(*SECTIONS))
+    df = with_sections(frame(spark, sf, "profiles"))
     return latest_versions(df, "structured_insight").select("contact_id", "sections")
 
 

@@ -11,6 +11,17 @@ ANY_FENCE = r"(?s)```\s*(.*?)\s*```"
 WRAPPER_KEY = "existing_member_summary"
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out one time per row.
+
+    Spark puts the expression of a column in place of every later use of it, filters included.
+    For a parsed document with many fields that repeats the parsing many times over; a generator
+    with one element is a point across which it does not do that.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
@@ -60,23 +71,20 @@ def parse_response(df: DataFrame, response: str = "response", out: str = "sectio
     """
     r = F.col(response)
     fenced = F.coalesce(r.rlike(JSON_FENCE), F.lit(False))
-    staged = (
-        df.withColumn("_fenced", fenced)
-        .withColumn("_first", F.try_parse_json(
-            F.when(F.col("_fenced"), F.regexp_extract(r, JSON_FENCE, 1)).otherwise(r)))
-        .withColumn("_a", _accepted(F.col("_first")))
-        .withColumn("_second", F.when(
-            F.col("_a").isNull() & ~F.col("_fenced") & r.rlike(ANY_FENCE),
-            F.try_parse_json(F.regexp_extract(r, ANY_FENCE, 1))))
-        .withColumn("_b", F.coalesce(F.col("_a"), _accepted(F.col("_second"))))
-        .withColumn("_h", heading_sections(r)))
+    first = F.when(fenced, F.regexp_extract(r, JSON_FENCE, 1)).otherwise(r)
+    staged = once(df, _fenced=fenced, _first=F.try_parse_json(first), _h=heading_sections(r))
+    staged = once(staged, _a=_accepted(F.col("_first")))
+    staged = once(staged, _second=F.when(
+        F.col("_a").isNull() & ~F.col("_fenced") & r.rlike(ANY_FENCE),
+        F.try_parse_json(F.regexp_extract(r, ANY_FENCE, 1))))
+    staged = once(staged, _b=F.coalesce(F.col("_a"), _accepted(F.col("_second"))))
     b, h = F.col("_b"), F.col("_h")
     best = (F.when(F.length(r) > 0,
                    F.when(b.isNull() & F.col("_fenced"), F.lit(None))
                    .when(b.isNull(), h)
                    .when(all_empty(b) & ~all_empty(h), h)
                    .otherwise(b)))
-    return staged.withColumn(out, best).drop("_fenced", "_first", "_a", "_second", "_b", "_h")
+    return once(staged, **{out: best}).drop("_fenced", "_first", "_a", "_second", "_b", "_h")
 
 
 def parse_response_simple(df: DataFrame, response: str = "response", tail: str = "raw",
@@ -91,10 +99,10 @@ def parse_response_simple(df: DataFrame, response: str = "response", tail: str =
     empty = F.struct(*[F.lit("").alias(s) for s in SECTIONS])
     block = F.when(fenced, F.try_parse_json(F.regexp_extract(r, JSON_FENCE, 1)))
     # only "raw" goes on to the whole text after a fence that fails or holds nothing
-    staged = df.withColumn("_block", block).withColumn("_block_text", F.to_json("_block"))
+    staged = once(once(df, _block=block), _block_text=F.to_json("_block"))
     useless = F.col("_block").isNull() | F.col("_block_text").isin("{}", "[]", "null")
     whole = F.when(useless if tail == "raw" else ~fenced, F.try_parse_json(r))
-    staged = staged.withColumn("_v", F.coalesce(
+    staged = once(staged, _v=F.coalesce(
         F.when(~useless, F.col("_block")) if tail == "raw" else F.col("_block"), whole))
     v = F.col("_v")
     failed = v.isNull()
@@ -103,7 +111,7 @@ def parse_response_simple(df: DataFrame, response: str = "response", tail: str =
         sections = F.coalesce(found, empty)
     else:
         sections = F.when(failed, empty if tail == "raw" else F.lit(None)).otherwise(found)
-    staged = staged.withColumn(out, sections)
+    staged = once(staged, **{out: sections})
     if tail != "blank":
         staged = staged.withColumn("raw_content", F.when(failed, r))
     if tail == "error":
@@ -125,7 +133,7 @@ def normalize_records(df: DataFrame, doc: str = "doc") -> DataFrame:
     keep their row and get ``record_error``.
     """
     v = F.col("_v")
-    staged = df.withColumn("_v", F.try_parse_json(F.col(doc)))
+    staged = once(df, _v=F.try_parse_json(F.col(doc)))
 
     def first_id(prefix: str) -> Column:
         return F.coalesce(*[_text(v, f"{prefix}['{k}']") for k in ID_KEYS])
@@ -147,27 +155,25 @@ def normalize_records(df: DataFrame, doc: str = "doc") -> DataFrame:
 
     body = (F.when(is_object(inner("insights")), inner("insights"))
             .when(is_object(inner("content")), inner("content")).otherwise(v))
-    staged = (
-        staged
-        .withColumn("contact_id", F.coalesce(F.nullif(first_id("$"), F.lit("")),
-                                             first_id("$.metadata")))
-        .withColumn("eni_id", top_or_meta("eni_id"))
-        .withColumn("member_name", top_or_meta("member_name"))
-        .withColumn("eni_source_types", names("eni_source_types"))
-        .withColumn("eni_source_subtypes", names("eni_source_subtypes"))
-        .withColumn("generator", F.coalesce(top_or_meta("generator"), F.lit(DEFAULT_GENERATOR)))
-        .withColumn("system_prompt_key", top_or_meta("system_prompt_key"))
-        .withColumn("context_files", top_or_meta("context_files"))
-        .withColumn("record_count", count("record_count"))
-        .withColumn("total_eni_ids", count("total_eni_ids"))
-        .withColumn("generated_at_text", _text(v, "$.metadata.generated_at"))
-        .withColumn("processing_status", F.coalesce(_text(v, "$.metadata.processing_status"),
-                                                    F.lit("completed")))
-        .withColumn("version", F.coalesce(
-            F.try_variant_get(v, "$.metadata.version", "int"), F.lit(1)))
-        .withColumn("_body", body)
-        .withColumn("sections", variant_sections(F.col("_body"))))
+    fields = {
+        "contact_id": F.coalesce(F.nullif(first_id("$"), F.lit("")), first_id("$.metadata")),
+        "eni_id": top_or_meta("eni_id"),
+        "member_name": top_or_meta("member_name"),
+        "eni_source_types": names("eni_source_types"),
+        "eni_source_subtypes": names("eni_source_subtypes"),
+        "generator": F.coalesce(top_or_meta("generator"), F.lit(DEFAULT_GENERATOR)),
+        "system_prompt_key": top_or_meta("system_prompt_key"),
+        "context_files": top_or_meta("context_files"),
+        "record_count": count("record_count"),
+        "total_eni_ids": count("total_eni_ids"),
+        "generated_at_text": _text(v, "$.metadata.generated_at"),
+        "processing_status": F.coalesce(_text(v, "$.metadata.processing_status"),
+                                        F.lit("completed")),
+        "version": F.coalesce(F.try_variant_get(v, "$.metadata.version", "int"), F.lit(1)),
+        "_body": body,
+    }
+    staged = once(once(staged, **fields), sections=variant_sections(F.col("_body")))
     error = (F.when(v.isNull() | ~is_object(v), F.lit("Invalid JSON"))
              .when(F.coalesce(F.col("contact_id"), F.lit("")) == "", F.lit("Missing contact_id"))
              .when(F.col("sections").isNull(), F.lit("Invalid content format")))
-    return staged.withColumn("record_error", error).drop("_v", "_body")
+    return once(staged, record_error=error).drop("_v", "_body")
