@@ -4,8 +4,10 @@ Every binding is one list of expressions that Spark and DuckDB both read, so a q
 oracle see the same rows.  Bindings derive values; they never leave rows or parts of texts out.
 """
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from dossier.operators.rules import rules_frame
+from dossier.sources.local import local_frame
 from dossier.sources.tables import read_table
 
 NL = "chr(10)"
@@ -154,6 +156,8 @@ CONTEXT_ROWS = [("click", "default", "c/click/default.md", "Clicks made by the c
                 ("view", "null", "c/view/plain.md", "Plain views."),
                 ("purchase", "sector", "c/purchase/sector.md", "Bought by sector.")]
 
+CONTEXT = StructType([StructField(c, StringType()) for c in ("type", "subtype", "path", "content")])
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf}/{name}.parquet")
@@ -164,8 +168,7 @@ def frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if name == "rules":
         return rules_frame(spark, RULE_MAP)
     if name == "context":
-        return spark.createDataFrame(
-            CONTEXT_ROWS, "type STRING, subtype STRING, path STRING, content STRING")
+        return local_frame(spark, CONTEXT_ROWS, CONTEXT)
     source, exprs = BINDINGS[name]
     return table(spark, sf, source).selectExpr(*exprs)
 

@@ -1,7 +1,7 @@
 """Rules, groups, budget, context and prompts."""
 from pyspark.sql import functions as F
 
-from checks.bindings import frame
+from checks.bindings import RULE_MAP, frame
 from checks.registry import ENTRY, PENDING, check, cut, ns, profile_json, tok
 from dossier.functions.text import estimate_tokens, note_entry
 from dossier.operators import budget, rules, selection
@@ -32,7 +32,7 @@ def latest(spark, sf):
 
 
 def pending(spark, sf):
-    return preparation.pending_notes(*parts(spark, sf))
+    return preparation.pending_notes(*parts(spark, sf), list(RULE_MAP))
 
 
 @check("p4_rule_split", "notes rules",
@@ -174,7 +174,7 @@ A15_SQL = f"""SELECT t.contact_id, t.eni_source_type, t.subtype, t.rows_total,
        PENDING + ",\n" + cut("pending", str(BUDGET)) + ",\n" + GROUP_SQL)
 def a15(spark, sf):
     """A15, the flagship: for each contact and source group, how many unprocessed notes fit."""
-    stats = preparation.budget_plan(*parts(spark, sf), BUDGET)
+    stats = preparation.budget_plan(*parts(spark, sf), BUDGET, list(RULE_MAP))
     return stats.withColumn("used_ids", F.array_join("used_ids", ","))
 
 

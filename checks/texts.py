@@ -1,6 +1,7 @@
 """Text functions over whole texts."""
 from pyspark.sql import functions as F
 
+from checks import grouping
 from checks.bindings import frame, table
 from checks.registry import (PENDING, SECTIONS, check, cut, headings, ns, profile_json,
                              quoted, strip, tok)
@@ -273,7 +274,7 @@ def f15(spark, sf):
        "count(*) AS n FROM pending GROUP BY ALL)", PENDING)
 def f16(spark, sf):
     """F16"""
-    pending = preparation.pending_notes(*[frame(spark, sf, n) for n in ("notes", "run_log", "rules")])
+    pending = grouping.pending(spark, sf)
     c, n = F.col("contact_id"), F.col("rows_total")
     return preparation.group_frame(pending).select(
         *GROUP, text.group_id(F.col("eni_source_type"), F.col("subtype"), c, n).alias("group_id"),
@@ -331,7 +332,7 @@ def _rows_sql(null_as: str) -> str:
 
 
 def kept(spark, sf, carry):
-    pending = preparation.pending_notes(*[frame(spark, sf, n) for n in ("notes", "run_log", "rules")])
+    pending = grouping.pending(spark, sf)
     return budget.budget_cut(budget.with_entries(pending), F.lit(90), GROUP, carry)
 
 

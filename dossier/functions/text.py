@@ -35,9 +35,14 @@ def date_text(c: Column) -> Column:
 
 
 def note_entry(text: Column, date: Column, eni_id: Column, source_type: Column) -> Column:
-    """one bullet with its citation sub-bullet."""
+    """one bullet with its citation sub-bullet.
+
+    ``date`` is a DATE, as the note schema declares; dates held as text go through
+    :func:`date_text` first.
+    """
     return F.concat(
-        F.lit("- "), strip(text), F.lit("\n  * ["), date_text(date), F.lit(","),
+        F.lit("- "), strip(text), F.lit("\n  * ["),
+        F.coalesce(date.cast("string"), F.lit(NO_DATE)), F.lit(","),
         F.coalesce(strip(eni_id), F.lit("")), F.lit(","), source_type, F.lit("]\n"))
 
 

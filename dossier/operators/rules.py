@@ -12,6 +12,7 @@ from pyspark.sql import Window
 
 from dossier.functions.text import norm_subtype
 from dossier.schemas import NULL_SUBTYPE, RULES
+from dossier.sources.local import local_frame
 
 
 def rules_frame(spark: SparkSession, rules: Mapping[str, object]) -> DataFrame:
@@ -24,7 +25,7 @@ def rules_frame(spark: SparkSession, rules: Mapping[str, object]) -> DataFrame:
         extra = [s for s in listed if s != NULL_SUBTYPE] if isinstance(listed, list) else []
         for subtype in dict.fromkeys([NULL_SUBTYPE, *extra]):
             rows.append((source_type, subtype, len(rows)))
-    return spark.createDataFrame(rows, RULES)
+    return local_frame(spark, rows, RULES)
 
 
 def with_subtype(notes: DataFrame) -> DataFrame:

@@ -3,25 +3,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions.prompts import available_tokens
-from dossier.operators.budget import (GROUP, budget_cut, group_blocks, group_stats, group_totals,
+from dossier.operators.budget import (GROUP, budget_cut, group_blocks, group_stats,
                                       with_base_tokens, with_context, with_entries, with_profile,
                                       with_prompt)
 from dossier.operators.rules import assign_groups
-from dossier.operators.selection import unprocessed, usable_notes
+from dossier.operators.selection import non_null, unprocessed, usable_notes
 
 
-def pending_notes(notes: DataFrame, log: DataFrame, rules: DataFrame) -> DataFrame:
-    """Usable, unprocessed notes with their group.
+def pending_notes(notes: DataFrame, log: DataFrame, rules: DataFrame,
+                  types: list[str] | None = None) -> DataFrame:
+    """Usable, unprocessed notes of a contact, with their group.
 
-    The rule join and the description filter are narrow and run before the only shuffle, the
-    anti-join with the log, so rows that can never be used do not travel.
+    The only shuffle is the anti-join with the log.  Spark moves an anti-join below the join
+    with the rules, so give ``types``, the configured types, where the caller has them: that is
+    a plain filter, which reaches the scan and keeps notes of other types out of the shuffle.
     """
-    return unprocessed(assign_groups(usable_notes(notes), rules), log)
+    usable = non_null(usable_notes(notes), "contact_id")
+    if types is not None:
+        usable = usable.filter(F.col("eni_source_type").isin(types))
+    return unprocessed(assign_groups(usable, rules), log)
 
 
-def budget_plan(notes: DataFrame, log: DataFrame, rules: DataFrame, budget: int) -> DataFrame:
+def budget_plan(notes: DataFrame, log: DataFrame, rules: DataFrame, budget: int,
+                types: list[str] | None = None) -> DataFrame:
     """For every contact and source group: how many unprocessed notes fit the budget."""
-    return group_stats(with_entries(pending_notes(notes, log, rules)), budget)
+    return group_stats(with_entries(pending_notes(notes, log, rules, types)), budget)
 
 
 def group_frame(pending: DataFrame) -> DataFrame:
@@ -49,6 +55,3 @@ def prepare_prompts(pending: DataFrame, groups: DataFrame, context: DataFrame,
                           "rows_used": F.coalesce("rows_used", F.lit(0)),
                           "tokens_used": F.coalesce("tokens_used", F.lit(0))}))
     return with_prompt(full, template, window, reserve, cap), kept
-
-
-__all__ = ["budget_plan", "group_frame", "group_totals", "pending_notes", "prepare_prompts"]

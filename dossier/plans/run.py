@@ -36,7 +36,7 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
                  make_client: Callable[[], Callable[[str], str]], waves: int, now: datetime,
                  prompt_key: str = DEFAULT_GENERATOR, window: int = WINDOW_TOKENS,
                  reserve: int = RESERVE_TOKENS, cap: int = NEW_DATA_TOKENS,
-                 attempts: int = 3, base_delay: float = 1.0,
+                 types: list[str] | None = None, attempts: int = 3, base_delay: float = 1.0,
                  concurrency: int | None = None) -> RunResult:
     """Process every pending group of every contact.
 
@@ -48,7 +48,7 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
     else ``failed``; the others come back in the next run.
     """
     spark = notes.sparkSession
-    pending = pending_notes(notes, log, rules)
+    pending = pending_notes(notes, log, rules, types)
     groups = freeze(group_ordinal(group_frame(pending)))
     folder = run_folder(spark, "pending")
     (pending.join(groups.select(*GROUP, "ordinal"), GROUP)
