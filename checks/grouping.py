@@ -198,7 +198,8 @@ BLOCKS = """blocks AS (SELECT contact_id, eni_source_type, subtype, string_agg(e
 def f6(spark, sf):
     """F6, with both token figures: the sum over notes and that of the joined text."""
     kept = budget.budget_cut(budget.with_entries(pending(spark, sf)), F.lit(BUDGET), GROUP, ["entry"])
-    return budget.group_blocks(kept).withColumn("block_tokens", estimate_tokens(F.col("new_data")))
+    return budget.group_blocks(kept).drop("used_ids").withColumn(
+        "block_tokens", estimate_tokens(F.col("new_data")))
 
 
 @check("f5_note_entry", "notes", f"SELECT eni_id, {ENTRY} AS entry, {tok(ENTRY)} AS tokens FROM notes "
@@ -292,7 +293,7 @@ ALL_TABLES = "notes run_log rules context profiles"
 def prompts(spark, sf):
     p = pending(spark, sf)
     return preparation.prepare_prompts(p, preparation.group_frame(p), frame(spark, sf, "context"),
-                                       latest(spark, sf), TEMPLATE, WINDOW, RESERVE, CAP)[0]
+                                       latest(spark, sf), TEMPLATE, WINDOW, RESERVE, CAP)
 
 
 @check("f2_render_prompts", ALL_TABLES,

@@ -3,7 +3,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from checks.bindings import RULE_MAP, RULE_ROWS, frame, table
+from checks.bindings import RULE_MAP, frame, table
 from checks.grouping import ALL_SQL, ALL_TABLES, TEMPLATE, latest, pending, prompts, with_sections
 from checks.registry import PENDING, SECTIONS, check, cut, tok
 from checks.selection import stamp, stamp_sql
@@ -19,12 +19,18 @@ SECTION_SQL = "CASE eni_source_type " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in SECTION_OF.items()) + " END"
 
 
-def count_client():
-    """A client that answers with the length of the prompt, and with nothing for long ones."""
-    def call(text):
-        return f"## Personal\n{len(text)} characters" if len(text) < 700 else ""
+def count_clients(limit: int):
+    """Clients that answer with the length of the prompt, and with nothing for long ones.
 
-    return call
+    The returned function is a closure, so that it travels to the workers by value.
+    """
+    def make():
+        def call(text):
+            return f"## Personal\n{len(text)} characters" if len(text) < limit else ""
+
+        return call
+
+    return make
 
 
 @check("x1_generate", ALL_TABLES,
@@ -34,7 +40,7 @@ def count_client():
 def x1(spark, sf):
     """X1 with X2 and X3"""
     df = prompts(spark, sf).select(*GROUP, "prompt")
-    return generation.generate(df, count_client, attempts=2, base_delay=0.0, concurrency=8).drop("prompt")
+    return generation.generate(df, count_clients(700), attempts=2, base_delay=0.0, concurrency=8).drop("prompt")
 
 
 NORM = "lower(regexp_replace(regexp_replace({}, '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g'))"
@@ -96,9 +102,9 @@ def x4(spark, sf):
                  "eni_id").alias("ord"), F.col("entry").alias("bullet"))
 
     def step(wave, state):
-        return generation.append_merge(state, wave.drop("ordinal"))
+        return generation.append_merge(state, wave)
 
-    return generation.fold_groups(bullets, section_texts(spark, sf), step, len(RULE_ROWS))
+    return generation.fold_groups(bullets, section_texts(spark, sf), step, ("contact_id", "section"))
 
 
 @check("v6_token_loss", "responses profiles",
@@ -266,23 +272,27 @@ def a21(spark, sf):
 
 # ---- a whole run ------------------------------------------------------------------------
 
-def echo_client():
-    """A client whose answer depends on the whole prompt, the current profile included."""
-    def call(text):
+def echo_clients(broken: str):
+    """Clients whose answer depends on the whole prompt, the current profile included."""
+    def make():
         import hashlib
-        digest = hashlib.md5(text.encode("utf-8")).hexdigest()
-        if digest[0] in "01":
-            return "```json\n{broken\n```"
-        return f"## Personal\n{digest}\n## Deals\n{text.count(chr(10))} lines\n"
 
-    return call
+        def call(text):
+            digest = hashlib.md5(text.encode("utf-8")).hexdigest()
+            if digest[0] in broken:
+                return "```json\n{broken\n```"
+            return f"## Personal\n{digest}\n## Deals\n{text.count(chr(10))} lines\n"
+
+        return call
+
+    return make
 
 
 def whole_run(spark, sf):
     return run_profiles(
         frame(spark, sf, "notes"), frame(spark, sf, "run_log"), frame(spark, sf, "rules"),
         frame(spark, sf, "context"), with_sections(frame(spark, sf, "profiles")), latest(spark, sf), TEMPLATE,
-        echo_client, len(RULE_ROWS), datetime(2024, 2, 1), window=1200, reserve=100, cap=150,
+        echo_clients("01"), datetime(2024, 2, 1), window=1200, reserve=100, cap=150,
         types=list(RULE_MAP), attempts=1, base_delay=0.0)
 
 

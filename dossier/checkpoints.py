@@ -29,9 +29,15 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there, so later steps see one result."""
+def freeze(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder once and go on from the written table.
+
+    Later steps all see the same rows, the lineage ends here, and a lost executor costs a read
+    and not a recomputation.  A table rather than ``checkpoint()``, which runs the last stage a
+    second time to write it: the stage may hold calls that must not be made twice.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    folder = run_folder(spark, "frozen")
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder).select(*df.columns)

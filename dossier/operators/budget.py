@@ -113,7 +113,7 @@ def contact_sources(grouped: DataFrame) -> DataFrame:
 
 
 def group_blocks(kept: DataFrame, keys: list[str] = GROUP, entry: str = "entry") -> DataFrame:
-    """the notes of each group that fit, joined newest first into one text.
+    """the notes of each group that fit, joined newest first into one text, and their ids.
 
     Takes rows of :func:`budget_cut`, so a group is never larger than the budget.
     """
@@ -121,7 +121,8 @@ def group_blocks(kept: DataFrame, keys: list[str] = GROUP, entry: str = "entry")
     newest = F.coalesce(-F.unix_date("logged_date"), F.lit(2147483647))
     return kept.groupBy(*keys).agg(
         ordered_join([newest, F.col("eni_id")], F.col(entry)).alias("new_data"),
-        F.count(F.lit(1)).alias("rows_used"), F.sum("tokens").alias("tokens_used"))
+        F.count(F.lit(1)).alias("rows_used"), F.sum("tokens").alias("tokens_used"),
+        F.array_sort(F.collect_list("eni_id")).alias("used_ids"))
 
 
 def with_context(groups: DataFrame, context: DataFrame) -> DataFrame:

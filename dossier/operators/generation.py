@@ -95,28 +95,42 @@ def append_merge(existing: DataFrame, new: DataFrame) -> DataFrame:
     return existing.join(added, keys, "full_outer").select(*keys, merged.alias("text"))
 
 
-def fold_groups(groups: DataFrame, latest: DataFrame, step: Callable[[DataFrame, DataFrame],
-                                                                     DataFrame],
-                waves: int) -> DataFrame:
+def newest_state(steps: list[DataFrame], keys: list[str], contacts: DataFrame | None = None,
+                 step: str = "step") -> DataFrame:
+    """Current row per key from the rows of several steps; ``contacts`` limits it to those."""
+    out = None
+    for df in steps:
+        part = df if contacts is None else df.join(contacts, "contact_id", "left_semi")
+        out = part if out is None else out.unionByName(part)
+    rest = [c for c in out.columns if c not in (*keys, step)]
+    row = F.max_by(F.struct(*rest), step).alias("_r")
+    return out.groupBy(*keys).agg(row).select(*keys, "_r.*")
+
+
+def wave_numbers(groups: DataFrame) -> list[int]:
+    """The ordinals that occur: at most as many values as there are rules."""
+    return sorted(r[0] for r in groups.select("ordinal").distinct().collect())
+
+
+def fold_groups(groups: DataFrame, latest: DataFrame,
+                step: Callable[[DataFrame, DataFrame], DataFrame],
+                keys: tuple[str, ...] = ("contact_id",)) -> DataFrame:
     """Group k of each contact sees the profile that group k - 1 left.
 
     All contacts advance together: wave k is one whole-table step over the groups with ordinal
-    k, so the number of waves is the number of rules and not of contacts.  ``step`` takes the
-    wave's groups and the current profiles and returns the profiles after it; contacts it does
-    not return keep theirs.  Each wave is frozen, which keeps the lineage one wave deep and lets
-    a lost executor be replaced without running earlier waves again.
+    k, so the number of waves is the number of rules and not of contacts.  ``groups`` is written
+    once, split by wave.  ``step`` takes the wave's rows and the current profiles of the wave's
+    contacts and returns their profiles after it.  Only these are written, so a wave costs what
+    it changes, and the lineage is one wave deep.
     """
-    state = latest
-    keys = [c for c in ("contact_id", "section") if c in state.columns]
-    rest = [c for c in state.columns if c not in keys]
-    for k in range(1, waves + 1):
-        after = step(groups.filter(F.col("ordinal") == k), state)
-        changed = after.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in rest],
-                               F.lit(True).alias("_hit"))
-        picked = [F.when(F.col("_hit").isNotNull(), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c)
-                  for c in rest]
-        state = freeze(state.join(changed, keys, "full_outer").select(*keys, *picked))
-    return state
+    key = list(keys)
+    work = freeze(groups, ("ordinal",))
+    steps = [latest.withColumn("step", F.lit(0))]
+    for k in wave_numbers(work):
+        wave = work.filter(F.col("ordinal") == k).drop("ordinal")
+        current = newest_state(steps, key, wave.select("contact_id").distinct())
+        steps.append(freeze(step(wave, current).withColumn("step", F.lit(k))))
+    return newest_state(steps, key)
 
 
 def token_loss(df: DataFrame, before: str = "existing", after: str = "response") -> DataFrame:

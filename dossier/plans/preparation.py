@@ -38,8 +38,8 @@ def group_frame(pending: DataFrame) -> DataFrame:
 
 def prepare_prompts(pending: DataFrame, groups: DataFrame, context: DataFrame,
                     latest: DataFrame, template: str, window: int, reserve: int,
-                    cap: int) -> tuple[DataFrame, DataFrame]:
-    """Prompts of the given groups, and the notes that went into them.
+                    cap: int) -> DataFrame:
+    """Prompts of the given groups, with the ids of the notes that went into them.
 
     ``pending`` holds the notes of those groups.  The room for notes depends on the rest of the
     prompt, so it is worked out per group before the cut.
@@ -54,4 +54,4 @@ def prepare_prompts(pending: DataFrame, groups: DataFrame, context: DataFrame,
             .withColumns({"new_data": F.coalesce("new_data", F.lit("")),
                           "rows_used": F.coalesce("rows_used", F.lit(0)),
                           "tokens_used": F.coalesce("tokens_used", F.lit(0))}))
-    return with_prompt(full, template, window, reserve, cap), kept
+    return with_prompt(full, template, window, reserve, cap)

@@ -3,15 +3,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossier.checkpoints import freeze, run_folder
+from dossier.checkpoints import freeze
 from dossier.functions.responses import parse_response
 from dossier.functions.text import contact_all_id, estimate_tokens, group_id
 from dossier.operators.budget import GROUP
-from dossier.operators.generation import generate
-from dossier.operators.rules import group_ordinal
+from dossier.operators.generation import generate, newest_state, wave_numbers
+from dossier.operators.rules import group_ordinal, union_groups
 from dossier.operators.versions import assign_versions
 from dossier.plans.preparation import group_frame, pending_notes, prepare_prompts
 from dossier.schemas import DEFAULT_GENERATOR
@@ -33,39 +33,55 @@ class RunResult:
 
 def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: DataFrame,
                  versions: DataFrame, latest: DataFrame, template: str,
-                 make_client: Callable[[], Callable[[str], str]], waves: int, now: datetime,
+                 make_client: Callable[[], Callable[[str], str]], now: datetime,
                  prompt_key: str = DEFAULT_GENERATOR, window: int = WINDOW_TOKENS,
                  reserve: int = RESERVE_TOKENS, cap: int = NEW_DATA_TOKENS,
                  types: list[str] | None = None, attempts: int = 3, base_delay: float = 1.0,
                  concurrency: int | None = None) -> RunResult:
     """Process every pending group of every contact.
 
-    ``latest`` has (contact_id, sections); ``waves`` is the number of rules.  Wave k handles the
-    k-th group of all contacts at once and sees the profiles of wave k - 1.  The pending notes
-    are written once to the shared folder, split by wave, so a wave reads only its own.
+    ``latest`` has (contact_id, sections).  Wave k handles the k-th group of all contacts at
+    once and sees the profiles of wave k - 1.  The pending notes are written once to the shared
+    folder, split by wave, so a wave reads only its own.
 
     Only notes that fit the budget are logged: ``completed`` when the response could be read,
     else ``failed``; the others come back in the next run.
     """
-    spark = notes.sparkSession
     pending = pending_notes(notes, log, rules, types)
     groups = freeze(group_ordinal(group_frame(pending)))
-    folder = run_folder(spark, "pending")
-    (pending.join(groups.select(*GROUP, "ordinal"), GROUP)
-     .write.partitionBy("ordinal").parquet(folder))
+    work = freeze(pending.join(groups.select(*GROUP, "ordinal"), GROUP), ("ordinal",))
 
-    state = latest.select("contact_id", "sections")
+    steps = [latest.select("contact_id", "sections").withColumn("step", F.lit(0))]
     done: list[DataFrame] = []
-    logged: list[DataFrame] = []
-    for k in range(1, waves + 1):
-        out, used = _wave(spark, folder, groups, k, context, state, template, make_client,
-                          window, reserve, cap, attempts, base_delay, concurrency)
+    for k in wave_numbers(groups):
+        mine = groups.filter(F.col("ordinal") == k)
+        current = newest_state(steps, ["contact_id"], mine.select("contact_id").distinct())
+        prompts = prepare_prompts(work.filter(F.col("ordinal") == k), mine, context, current,
+                                  template, window, reserve, cap)
+        # frozen at once: a client is called one time per prompt, all later steps see its answer
+        out = freeze(_answer(prompts, make_client, attempts, base_delay, concurrency))
         done.append(out)
-        logged.append(used)
-        state = _advance(state, out)
-    iterations, notes_used = _union(done), _union(logged)
-    accepted = iterations.filter(F.col("sections").isNotNull())
-    stamped = accepted.select(
+        steps.append(out.filter(F.col("sections").isNotNull()).select(
+            "contact_id", "sections", F.lit(k).alias("step")))
+    iterations = union_groups(*done)
+    return RunResult(_new_versions(iterations, versions, prompt_key, now),
+                     _log_rows(iterations, prompt_key, now), iterations)
+
+
+def _answer(prompts: DataFrame, make_client, attempts: int, base_delay: float,
+            concurrency: int | None) -> DataFrame:
+    """Responses and their sections for the groups that have at least one note."""
+    sendable = prompts.filter(F.col("rows_used") > 0).select(
+        *GROUP, "ordinal", "rows_total", "rows_used", "used_ids", "prompt",
+        F.col("token_stats.rendered_full_tokens").cast("long").alias("input_tokens"))
+    answered = parse_response(generate(sendable, make_client, attempts, base_delay, concurrency))
+    return answered.drop("prompt").withColumn(
+        "output_tokens", estimate_tokens(F.col("response")).cast("long"))
+
+
+def _new_versions(iterations: DataFrame, versions: DataFrame, prompt_key: str,
+                  now: datetime) -> DataFrame:
+    stamped = iterations.filter(F.col("sections").isNotNull()).select(
         "contact_id", F.lit(DEFAULT_GENERATOR).alias("generator"),
         F.col("ordinal").alias("ord"), contact_all_id(F.col("contact_id")).alias("eni_id"),
         F.array("eni_source_type").alias("eni_source_types"),
@@ -78,48 +94,15 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
         F.col("input_tokens").alias("est_input_tokens"),
         F.col("output_tokens").alias("est_insights_tokens"),
         F.lit(now).cast("timestamp").alias("generated_at"))
-    numbered = assign_versions(stamped, versions)
-    rows = run_log_rows(notes_used, F.lit(now), prompt_key)
-    return RunResult(numbered, rows, iterations)
-
-
-def _wave(spark: SparkSession, folder: str, groups: DataFrame, k: int, context: DataFrame,
-          state: DataFrame, template: str, make_client, window: int, reserve: int, cap: int,
-          attempts: int, base_delay: float,
-          concurrency: int | None) -> tuple[DataFrame, DataFrame]:
-    mine = spark.read.parquet(folder).filter(F.col("ordinal") == k)
-    prompts, kept = prepare_prompts(mine, groups.filter(F.col("ordinal") == k), context, state,
-                                    template, window, reserve, cap)
-    sendable = prompts.filter(F.col("rows_used") > 0).select(
-        *GROUP, "ordinal", "rows_total", "rows_used", "prompt",
-        F.col("token_stats.rendered_full_tokens").cast("long").alias("input_tokens"))
-    # frozen at once: a client is called one time per prompt and all later steps see its answer
-    answered = freeze(parse_response(generate(sendable, make_client, attempts, base_delay,
-                                              concurrency)).drop("prompt"))
-    out = answered.withColumn("output_tokens",
-                              estimate_tokens(F.col("response")).cast("long"))
-    outcome = out.select(
-        *GROUP,
-        F.when(F.col("sections").isNotNull(), "completed").otherwise("failed")
-        .alias("processing_status"),
-        F.coalesce("error", F.when(F.col("sections").isNull(), F.lit("unreadable response")))
-        .alias("error_message"),
-        group_id(F.col("eni_source_type"), F.col("subtype"), F.col("contact_id"),
-                 F.col("rows_used")).alias("batch_id"))
-    used = freeze(kept.select(*GROUP, "eni_id").join(outcome, GROUP))
-    return out, used
-
+    return assign_versions(stamped, versions)
 
-def _advance(state: DataFrame, out: DataFrame) -> DataFrame:
-    """Profiles after a wave: the new sections where there are some, else the old ones."""
-    new = out.filter(F.col("sections").isNotNull()).select(
-        "contact_id", F.col("sections").alias("_new"))
-    return freeze(state.join(new, "contact_id", "full_outer").select(
-        "contact_id", F.coalesce("_new", "sections").alias("sections")))
 
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _log_rows(iterations: DataFrame, prompt_key: str, now: datetime) -> DataFrame:
+    unread = F.col("sections").isNull()
+    used = iterations.select(
+        "contact_id", F.explode("used_ids").alias("eni_id"),
+        F.when(unread, "failed").otherwise("completed").alias("processing_status"),
+        F.when(unread, F.coalesce("error", F.lit("unreadable response"))).alias("error_message"),
+        group_id(F.col("eni_source_type"), F.col("subtype"), F.col("contact_id"),
+                 F.col("rows_used")).alias("batch_id"))
+    return run_log_rows(used, F.lit(now), prompt_key)
