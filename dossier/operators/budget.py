@@ -38,8 +38,9 @@ def budget_cut(notes: DataFrame, budget: Column, keys: list[str] = GROUP,
        bounded by the calendar, gives the tokens of all newer days.  Days that start past the
        budget are dropped before any note is sorted.
     2. On the one day per group where the budget ends, notes are spread over slices by a hash of
-       their id.  A note whose running sum within its slice is over budget is over budget in the
-       group as well, so each slice shrinks to at most the budget.
+       their id.  A slice keeps its notes up to and with the first that takes the slice alone over
+       budget: that one must stay, as it ends the group for all notes behind it, and what follows
+       it in the slice cannot fit in the group either.
     3. What is left of a group, its whole days and its shrunk slices, is ranked exactly.
     """
     carry = carry or []
@@ -74,7 +75,8 @@ def budget_cut(notes: DataFrame, budget: Column, keys: list[str] = GROUP,
 
     shrunk = (sliced.withColumn("_in_slice", running([*keys, "_slice"]))
               .filter((F.col("_slice") < 0)
-                      | (F.col("_before") + F.col("_in_slice") <= F.col("_limit"))))
+                      | (F.col("_before") + F.col("_in_slice") - F.col("tokens")
+                         <= F.col("_limit"))))
     ranked = (shrunk.withColumn("_to_here", running(keys))
               .filter(F.col("_to_here") <= F.col("_limit")))
     return ranked.withColumn("used_before", F.col("_to_here") - F.col("tokens")).select(

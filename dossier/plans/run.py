@@ -53,7 +53,7 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
 
     steps = [latest.select("contact_id", "sections").withColumn("step", F.lit(0))]
     done: list[DataFrame] = []
-    for k in wave_numbers(groups):
+    for k in wave_numbers(groups) or [1]:
         mine = groups.filter(F.col("ordinal") == k)
         current = newest_state(steps, ["contact_id"], mine.select("contact_id").distinct())
         prompts = prepare_prompts(work.filter(F.col("ordinal") == k), mine, context, current,
