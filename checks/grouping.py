@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from checks.bindings import RULE_MAP, frame
 from checks.registry import ENTRY, PENDING, check, cut, ns, profile_json, tok
+from dossier.checkpoints import freeze
 from dossier.functions.text import estimate_tokens, note_entry
 from dossier.operators import budget, rules, selection
 from dossier.operators.budget import GROUP
@@ -149,7 +150,7 @@ def w5(spark, sf):
 def w1(spark, sf):
     """W1"""
     sized = budget.with_entries(pending(spark, sf))
-    return budget.budget_cut(sized, F.lit(BUDGET)).select(*GROUP, "eni_id", "tokens", "used_before")
+    return budget.budget_cut(sized, BUDGET).select(*GROUP, "eni_id", "tokens", "used_before")
 
 
 @check("w1_budget_cut_long_texts", "doc_notes",
@@ -158,7 +159,7 @@ def w1(spark, sf):
 def w1_long(spark, sf):
     """W1 where no note has a date, so that a whole group falls on one day."""
     sized = budget.with_entries(frame(spark, sf, "doc_notes"))
-    return budget.budget_cut(sized, F.lit(4000)).select("contact_id", "subtype", "eni_id", "tokens")
+    return budget.budget_cut(sized, 4000).select("contact_id", "subtype", "eni_id", "tokens")
 
 
 GROUP_SQL = f"""totals AS (SELECT contact_id, eni_source_type, subtype, count(*) AS rows_total FROM pending GROUP BY ALL),
@@ -197,7 +198,7 @@ BLOCKS = """blocks AS (SELECT contact_id, eni_source_type, subtype, string_agg(e
        PENDING + ",\n" + cut("pending", str(BUDGET)) + ",\n" + BLOCKS)
 def f6(spark, sf):
     """F6, with both token figures: the sum over notes and that of the joined text."""
-    kept = budget.budget_cut(budget.with_entries(pending(spark, sf)), F.lit(BUDGET), GROUP, ["entry"])
+    kept = budget.budget_cut(budget.with_entries(pending(spark, sf)), BUDGET, GROUP, ["entry"])
     return budget.group_blocks(kept).drop("used_ids").withColumn(
         "block_tokens", estimate_tokens(F.col("new_data")))
 
@@ -291,8 +292,8 @@ ALL_TABLES = "notes run_log rules context profiles"
 
 
 def prompts(spark, sf):
-    p = pending(spark, sf)
-    return preparation.prepare_prompts(p, preparation.group_frame(p), frame(spark, sf, "context"),
+    p = freeze(pending(spark, sf))
+    return preparation.prepare_prompts(p, freeze(preparation.group_frame(p)), frame(spark, sf, "context"),
                                        latest(spark, sf), TEMPLATE, WINDOW, RESERVE, CAP)
 
 

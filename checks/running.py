@@ -93,7 +93,7 @@ FOLD_SQL = f"""bound AS (SELECT contact_id, {SECTION_SQL} AS section, ord AS o1,
 def x4(spark, sf):
     """X4 with X5 as its step: the groups of a contact one after the other, all contacts at once."""
     sized = budget.with_entries(pending(spark, sf))
-    kept = budget.budget_cut(sized, F.lit(60), GROUP, ["entry", "ord"])
+    kept = budget.budget_cut(sized, 60, GROUP, ["entry", "ord"])
     groups = rules.group_ordinal(kept.select(*GROUP, "ord").distinct())
     section = F.create_map(*[F.lit(x) for kv in SECTION_OF.items() for x in kv])
     bullets = kept.join(groups.select(*GROUP, "ordinal"), GROUP).select(

@@ -333,7 +333,7 @@ def _rows_sql(null_as: str) -> str:
 
 def kept(spark, sf, carry):
     pending = grouping.pending(spark, sf)
-    return budget.budget_cut(budget.with_entries(pending), F.lit(90), GROUP, carry)
+    return budget.budget_cut(budget.with_entries(pending), 90, GROUP, carry)
 
 
 @check("f19_rows_json_null", "notes run_log rules", _rows_sql("null"), PENDING + ",\n" + cut("pending", "90"))

@@ -28,18 +28,43 @@ def citations(c: Column, keep_no_date: bool = False) -> Column:
     return F.transform(found, parse)
 
 
+def _heading_parts(c: Column) -> Column:
+    """``array<struct<name, body>>``: the text under each heading, in order.
+
+    A heading at once followed by another one takes that line as its text: the line break before
+    the second heading already ends the first.
+    """
+    parts = F.split(F.concat(F.lit("\n"), F.coalesce(c, F.lit(""))), "\n## ")
+
+    def named(all_parts: Column) -> Column:
+        def part(x: Column, i: Column) -> Column:
+            at = F.instr(x, "\n")
+            body = F.when(at > 0, F.substring(x, at + F.lit(1), F.length(x))).otherwise(
+                F.concat(F.lit("## "), F.get(all_parts, i + 1)))
+            return F.struct(F.substring_index(x, "\n", 1).alias("name"), body.alias("body"))
+
+        return F.transform(all_parts, part)
+
+    # a one-element array binds the split text to a name, so that it is split one time
+    return F.get(F.transform(F.array(parts), named), F.lit(0))
+
+
+def _under(parts: Column, name: str) -> Column:
+    found = F.filter(parts, lambda p: (p["name"] == name) & p["body"].isNotNull())
+    return F.coalesce(strip(F.get(found, F.lit(0))["body"]), F.lit(""))
+
+
 def heading_section(c: Column, name: str) -> Column:
     """the text under ``## name`` up to the next heading of that level, stripped."""
-    marker = f"\n## {name}\n"
-    text = F.concat(F.lit("\n"), F.coalesce(c, F.lit("")))
-    at = F.instr(text, marker)
-    rest = F.substring(text, at + F.lit(len(marker)), F.length(text))
-    return F.when(at > 0, strip(F.substring_index(rest, "\n## ", 1))).otherwise(F.lit(""))
+    return _under(_heading_parts(c), name)
 
 
 def heading_sections(c: Column) -> Column:
     """All six sections of a text that uses headings."""
-    return F.struct(*[heading_section(c, h).alias(s) for h, s in zip(HEADINGS, SECTIONS)])
+    def pick(parts: Column) -> Column:
+        return F.struct(*[_under(parts, h).alias(s) for h, s in zip(HEADINGS, SECTIONS)])
+
+    return F.get(F.transform(F.array(_heading_parts(c)), pick), F.lit(0))
 
 
 def all_empty(s: Column) -> Column:

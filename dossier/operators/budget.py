@@ -25,14 +25,14 @@ def with_entries(grouped: DataFrame) -> DataFrame:
     return grouped.withColumn("entry", entry).withColumn("tokens", estimate_tokens(F.col("entry")))
 
 
-def budget_cut(notes: DataFrame, budget: Column, keys: list[str] = GROUP,
+def budget_cut(notes: DataFrame, budget: int | DataFrame, keys: list[str] = GROUP,
                carry: list[str] | None = None) -> DataFrame:
     """Newest first, the notes of each group up to the first that exceeds the budget.
 
     ``notes`` has ``keys``, ``logged_date``, ``eni_id``, ``tokens`` (1 or more per note) and the
-    columns of ``carry``, among them whatever ``budget`` is computed from, which must be the
-    same for all notes of a group.  Returns ``keys``, ``logged_date``, ``eni_id``, ``tokens``,
-    ``carry`` and ``used_before``, the tokens of the group's earlier notes.
+    columns of ``carry``.  ``budget`` is one number, or a table of ``keys`` and ``budget``.
+    Returns ``keys``, ``logged_date``, ``eni_id``, ``tokens``, ``carry`` and ``used_before``, the
+    tokens of the group's earlier notes.
 
     1. Tokens per (group, day) are summed map-side; a window over the days of a group, a number
        bounded by the calendar, gives the tokens of all newer days.  Days that start past the
@@ -44,25 +44,21 @@ def budget_cut(notes: DataFrame, budget: Column, keys: list[str] = GROUP,
     3. What is left of a group, its whole days and its shrunk slices, is ranked exactly.
     """
     carry = carry or []
-    slim = notes.select(*keys, "logged_date", "eni_id", "tokens", *carry,
-                        F.greatest(budget, F.lit(0)).cast("long").alias("_limit"))
-    day = [*keys, "logged_date"]
+    slim = notes.select(*keys, "logged_date", "eni_id", "tokens", *carry)
     newer = (Window.partitionBy(*keys).orderBy(F.desc_nulls_last("logged_date"))
              .rowsBetween(Window.unboundedPreceding, -1))
-    days = (slim.groupBy(*day)
-            .agg(F.sum("tokens").alias("_sum"), F.count(F.lit(1)).alias("_n"),
-                 F.max("_limit").alias("_room"))
-            .withColumn("_before", F.coalesce(F.sum("_sum").over(newer), F.lit(0)))
-            .filter(F.col("_before") < F.col("_room")))
+    days = (slim.groupBy(*keys, "logged_date")
+            .agg(F.sum("tokens").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+            .withColumn("_before", F.coalesce(F.sum("_sum").over(newer), F.lit(0))))
+    if isinstance(budget, DataFrame):
+        days = _null_safe_join(days, budget.select(*keys, F.col("budget").alias("_room")), keys)
+    else:
+        days = days.withColumn("_room", F.lit(budget))
     slices = F.greatest(F.lit(1), F.floor(F.sqrt("_n") / SLICE_ROOT)).cast("int")
     fits_whole = F.col("_before") + F.col("_sum") <= F.col("_room")
-    reached_days = days.select(*[F.col(c).alias(f"_k_{c}") for c in day], "_before",
-                               F.when(~fits_whole, slices).alias("_slices"))
-    match = None
-    for c in day:
-        same = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-        match = same if match is None else match & same
-    reached = slim.join(reached_days, match).drop(*[f"_k_{c}" for c in day])
+    reached_days = days.filter(F.col("_before") < F.col("_room")).select(
+        *keys, "logged_date", "_before", "_room", F.when(~fits_whole, slices).alias("_slices"))
+    reached = _null_safe_join(slim, reached_days, [*keys, "logged_date"])
 
     # the slice of a note on a day that fits whole is -1, and nothing is dropped there
     sliced = reached.withColumn(
@@ -76,13 +72,22 @@ def budget_cut(notes: DataFrame, budget: Column, keys: list[str] = GROUP,
     shrunk = (sliced.withColumn("_in_slice", running([*keys, "_slice"]))
               .filter((F.col("_slice") < 0)
                       | (F.col("_before") + F.col("_in_slice") - F.col("tokens")
-                         <= F.col("_limit"))))
+                         <= F.col("_room"))))
     ranked = (shrunk.withColumn("_to_here", running(keys))
-              .filter(F.col("_to_here") <= F.col("_limit")))
+              .filter(F.col("_to_here") <= F.col("_room")))
     return ranked.withColumn("used_before", F.col("_to_here") - F.col("tokens")).select(
         *keys, "logged_date", "eni_id", "tokens", *carry, "used_before")
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which NULL keys match, with the keys of ``left``."""
+    renamed = right.withColumnsRenamed({c: f"_k_{c}" for c in keys})
+    match = F.lit(True)
+    for c in keys:
+        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return left.join(renamed, match).drop(*[f"_k_{c}" for c in keys])
+
+
 def group_totals(grouped: DataFrame, keys: list[str] = GROUP) -> DataFrame:
     """Notes per group before the cut."""
     return grouped.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_total"))
@@ -94,7 +99,7 @@ def group_stats(grouped: DataFrame, budget: int, keys: list[str] = GROUP) -> Dat
     The id list is that of the notes that fit, which the budget bounds.
     """
     sized = grouped if "tokens" in grouped.columns else with_entries(grouped)
-    kept = budget_cut(sized, F.lit(budget), keys)
+    kept = budget_cut(sized, budget, keys)
     used = kept.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows_used"), F.sum("tokens").alias("tokens_used"),
         F.array_sort(F.collect_list("eni_id")).alias("used_ids"))

@@ -46,9 +46,8 @@ def prepare_prompts(pending: DataFrame, groups: DataFrame, context: DataFrame,
     """
     dressed = with_base_tokens(with_profile(with_context(groups, context), latest), template)
     room = dressed.select(*GROUP, available_tokens(F.col("base_tokens"), window, reserve, cap)
-                          .alias("available"))
-    sized = with_entries(pending).join(room, GROUP)
-    kept = budget_cut(sized, F.col("available"), GROUP, ["available", "entry"])
+                          .alias("budget"))
+    kept = budget_cut(with_entries(pending), room, GROUP, ["entry"])
     blocks = group_blocks(kept)
     full = (dressed.join(blocks, GROUP, "left")
             .withColumns({"new_data": F.coalesce("new_data", F.lit("")),

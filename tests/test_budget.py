@@ -46,21 +46,22 @@ DAYS = [dt.date(2024, 1, d) for d in range(1, 6)] + [None]
 def test_cut_equals_loop(spark, monkeypatch, limit, hot, days):
     monkeypatch.setattr(budget, "SLICE_ROOT", 2)  # many slices already for small days
     rows = notes(3000, hot, days, limit)
-    got = budget.budget_cut(spark.createDataFrame(rows, SCHEMA), F.lit(limit)).collect()
+    got = budget.budget_cut(spark.createDataFrame(rows, SCHEMA), limit).collect()
     assert {r["eni_id"]: r["used_before"] for r in got} == greedy(rows, limit)
     assert len(got) == len({r["eni_id"] for r in got})
 
 
 def test_cut_keeps_rows_with_null_keys(spark):
     rows = [(None, "click", None, None, "a", 2), (None, "click", None, None, "b", 2)]
-    got = budget.budget_cut(spark.createDataFrame(rows, SCHEMA), F.lit(3)).collect()
+    got = budget.budget_cut(spark.createDataFrame(rows, SCHEMA), 3).collect()
     assert [r["eni_id"] for r in got] == ["a"]
 
 
-def test_budget_per_group_from_a_column(spark):
+def test_budget_per_group_from_a_table(spark):
     rows = [("A", "t", "s", None, f"a{i}", 2) for i in range(9)] + [("B", "t", "s", None, f"b{i}", 2) for i in range(9)]
-    df = spark.createDataFrame(rows, SCHEMA).withColumn("room", F.when(F.col("contact_id") == "A", 5).otherwise(-1))
-    got = budget.budget_cut(df, F.col("room"), KEYS, ["room"]).collect()
+    df = spark.createDataFrame(rows, SCHEMA)
+    room = df.select(*KEYS).distinct().withColumn("budget", F.when(F.col("contact_id") == "A", 5).otherwise(-1))
+    got = budget.budget_cut(df, room, KEYS).collect()
     assert sorted(r["eni_id"] for r in got) == ["a0", "a1"]
 
 
