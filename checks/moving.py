@@ -112,11 +112,11 @@ def s7(spark, sf):
 
 
 @check("s7_available_subtypes", "",
-       "SELECT source AS type, string_agg(concat(lang, '-', doc_id), ',' ORDER BY concat(lang, '-', doc_id)) AS subtypes FROM documents "
-       "GROUP BY source")
+       "SELECT source AS type, string_agg(DISTINCT lang, ',' ORDER BY lang) AS subtypes FROM documents GROUP BY source")
 def s7b(spark, sf):
-    """The listing"""
-    df = sources.available_subtypes(sources.read_context(spark, corpus(spark, sf)))
+    """The listing, by language"""
+    files_read = sources.read_context(spark, corpus(spark, sf))
+    df = sources.available_subtypes(files_read.withColumn("subtype", F.substring_index("subtype", "-", 1)))
     return df.select("type", F.array_join("subtypes", ",").alias("subtypes"))
 
 
@@ -137,8 +137,8 @@ def s9(spark, sf):
 def s10(spark, sf):
     """JSON maps, with empty and broken files among them"""
     dst = run_folder(spark, "legacy")
-    per = frame(spark, sf, "run_log").groupBy("contact_id").agg(F.collect_list("eni_id").alias("ids"))
-    per.select(F.to_json(F.create_map("contact_id", "ids")).alias("value")).write.text(dst)
+    one = F.create_map("contact_id", F.array("eni_id"))
+    frame(spark, sf, "run_log").select(F.to_json(one).alias("value")).write.text(dst)
     rows = spark.read.text(dst).withColumn("value", F.explode(F.array(
         F.col("value"), F.lit(""), F.lit('{"broken": ['))))
     return sources.legacy_rows(rows, "value")

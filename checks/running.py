@@ -8,6 +8,7 @@ from checks.grouping import ALL_SQL, ALL_TABLES, TEMPLATE, latest, pending, prom
 from checks.registry import PENDING, SECTIONS, check, cut, tok
 from checks.selection import stamp, stamp_sql
 from checks.storing import results
+from dossier.checkpoints import freeze
 from dossier.functions.text import estimate_tokens
 from dossier.operators import budget, generation, metrics, publish, quality, rules
 from dossier.operators.budget import GROUP
@@ -93,7 +94,7 @@ FOLD_SQL = f"""bound AS (SELECT contact_id, {SECTION_SQL} AS section, ord AS o1,
 def x4(spark, sf):
     """X4 with X5 as its step: the groups of a contact one after the other, all contacts at once."""
     sized = budget.with_entries(pending(spark, sf))
-    kept = budget.budget_cut(sized, 60, GROUP, ["entry", "ord"])
+    kept = freeze(budget.budget_cut(sized, 60, GROUP, ["entry", "ord"]))
     groups = rules.group_ordinal(kept.select(*GROUP, "ord").distinct())
     section = F.create_map(*[F.lit(x) for kv in SECTION_OF.items() for x in kv])
     bullets = kept.join(groups.select(*GROUP, "ordinal"), GROUP).select(

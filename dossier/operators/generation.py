@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from dossier.checkpoints import freeze
 from dossier.functions.text import bullets, estimate_tokens, is_blank, norm_bullet, ordered_join
+from dossier.operators.rules import union_groups
 from dossier.schemas import SECTIONS
 
 
@@ -75,17 +76,20 @@ def append_merge(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Keep every existing bullet, append the new ones not there yet.
 
     ``existing`` has (contact_id, section, text), ``new`` has (contact_id, section, ord, bullet)
-    with ``ord`` sortable.  A section that gains nothing keeps its text unchanged.  Copies of a
-    bullet are reduced by a grouped minimum, so one that occurs very often costs one row per
-    task; the appended text is bounded by the token budget the new notes were cut to.
+    with ``ord`` sortable.  A section that gains nothing keeps its text unchanged.  Old and new
+    bullets meet in one grouped minimum with partial results, so a bullet that occurs very often
+    costs one row per task; the appended text is bounded by the token budget the new notes were
+    cut to.
     """
     keys = ["contact_id", "section"]
     seen = (existing.select(*keys, F.explode(bullets(F.col("text"))).alias("b"))
-            .select(*keys, norm_bullet(F.col("b")).alias("norm")).distinct())
-    fresh = (new.withColumn("norm", norm_bullet(F.col("bullet")))
+            .select(*keys, norm_bullet(F.col("b")).alias("norm"), F.lit(True).alias("old")))
+    incoming = new.select(*keys, norm_bullet(F.col("bullet")).alias("norm"),
+                          F.lit(False).alias("old"), F.struct("ord", "bullet").alias("first"))
+    fresh = (seen.unionByName(incoming, allowMissingColumns=True)
              .groupBy(*keys, "norm")
-             .agg(F.min(F.struct("ord", "bullet")).alias("first"))
-             .join(seen, [*keys, "norm"], "left_anti"))
+             .agg(F.bool_or("old").alias("old"), F.min("first").alias("first"))
+             .filter(~F.col("old")))
     added = fresh.groupBy(*keys).agg(
         ordered_join([F.col("first.ord")], F.col("first.bullet")).alias("added"))
     old = F.coalesce("text", F.lit(""))
@@ -98,10 +102,9 @@ def append_merge(existing: DataFrame, new: DataFrame) -> DataFrame:
 def newest_state(steps: list[DataFrame], keys: list[str], contacts: DataFrame | None = None,
                  step: str = "step") -> DataFrame:
     """Current row per key from the rows of several steps; ``contacts`` limits it to those."""
-    out = None
-    for df in steps:
-        part = df if contacts is None else df.join(contacts, "contact_id", "left_semi")
-        out = part if out is None else out.unionByName(part)
+    out = union_groups(*steps)
+    if contacts is not None:
+        out = out.join(contacts, "contact_id", "left_semi")
     rest = [c for c in out.columns if c not in (*keys, step)]
     row = F.max_by(F.struct(*rest), step).alias("_r")
     return out.groupBy(*keys).agg(row).select(*keys, "_r.*")

@@ -34,7 +34,8 @@ def number_within(df: DataFrame, keys: list[str], ordinal: str, name: str,
     """1-based number of each row within its key, in the order of an integer column.
 
     ``ordinal`` must be unique within the key.  A key may hold any share of the table: rows are
-    numbered inside slices of ``width`` ordinals and the sizes of earlier slices are added.
+    numbered inside slices of ``width`` ordinals, so at most ``width`` rows are sorted together,
+    and the sizes of earlier slices are added.
     """
     sliced = df.withColumn("_slice", F.floor(F.col(ordinal) / width))
     sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
