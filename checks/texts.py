@@ -177,8 +177,8 @@ def f10(spark, sf):
     """F10 over whole documents, some of which hold headings of their own"""
     md = F.concat(F.lit("## Personal\n"), "text", F.lit("\n## Deals\n## Business\n"), "text",
                   F.lit("\n## 3i\n  "), "lang", F.lit("\n\n"))
-    return table(spark, sf, "documents").select(
-        "doc_id", sections.heading_sections(md).alias("s")).select("doc_id", "s.*")
+    return table(spark, sf, "documents").select("doc_id", md.alias("md")).select(
+        "doc_id", sections.heading_sections("md").alias("s")).select("doc_id", "s.*")
 
 
 @check("f11_profile_json", "profiles",

@@ -22,44 +22,51 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
-def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+# The expressions over a parsed document are given as SQL text: one document has dozens of paths,
+# and building each from Column calls takes longer than running it.
 
+def _text(v: str, path: str) -> str:
+    return f"try_variant_get({v}, '{path}', 'string')"
 
-def _text(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "string")
 
+def _inner(v: str, path: str) -> str:
+    return f"try_variant_get({v}, '{path}', 'variant')"
 
-def _kind(v: Column, path: str) -> Column:
-    """``STRING``, ``BIGINT`` ...; NULL when the path is missing or a JSON null."""
-    return F.nullif(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit("VOID"))
 
+def _is_object(v: str) -> str:
+    return f"coalesce(schema_of_variant({v}) LIKE 'OBJECT%', false)"
 
-def _keys(name: str, key: str) -> list[str]:
-    return [f"$['{key}']"] if name == key else [f"$['{key}']", f"$['{name}']"]
 
+def _is_text(v: str, path: str) -> str:
+    """The path is missing, null or text."""
+    return f"coalesce(schema_of_variant({_inner(v, path)}), 'VOID') IN ('STRING', 'VOID')"
 
-def variant_sections(v: Column) -> Column:
-    """The six sections of a JSON object, NULL unless each one is text, null or missing."""
-    ok = is_object(v)
-    fields = []
+
+def _paths(name: str, key: str) -> list[str]:
+    return [f"$.{name}"] if name == key else [f"$.{key}", f"$.{name}"]
+
+
+def variant_sections(v: str) -> Column:
+    """The six sections of a JSON object, NULL unless each one is text, null or missing.
+
+    ``v`` names a VARIANT column.
+    """
+    tests, fields = [_is_object(v)], []
     for name, key in zip(SECTIONS, JSON_KEYS):
-        for path in _keys(name, key):
-            ok = ok & (F.coalesce(_kind(v, path), F.lit("STRING")) == "STRING")
-        fields.append(F.coalesce(*[_text(v, p) for p in _keys(name, key)]).alias(name))
-    return F.when(ok, F.struct(*fields))
+        paths = _paths(name, key)
+        tests += [_is_text(v, p) for p in paths]
+        fields.append(f"'{name}', coalesce({', '.join(_text(v, p) for p in paths)}, "
+                      "CAST(NULL AS string))")
+    return F.expr(f"if({' AND '.join(tests)}, named_struct({', '.join(fields)}), NULL)")
 
 
-def _accepted(v: Column) -> Column:
-    """Sections of a parsed response: wrapped text is read by headings, else by keys."""
-    path = f"$['{WRAPPER_KEY}']"
-    wrapped = F.array_contains(F.json_object_keys(F.to_json(v)), WRAPPER_KEY)
-    kind = F.coalesce(_kind(v, path), F.lit("STRING"))
-    return (F.when(~is_object(v), F.lit(None))
-            .when(wrapped & (kind == "STRING"),
-                  heading_sections(F.coalesce(_text(v, path), F.lit(""))))
-            .when(wrapped, F.lit(None))
-            .otherwise(variant_sections(v)))
+def _read(v: str, mark: str) -> dict[str, Column]:
+    """What a parsed response offers: its sections, or the text it wraps them in."""
+    path = f"$.{WRAPPER_KEY}"
+    wrapped = f"coalesce({_is_object(v)} AND {_inner(v, path)} IS NOT NULL, false)"
+    text = f"if({wrapped} AND {_is_text(v, path)}, coalesce({_text(v, path)}, ''), NULL)"
+    plain = F.when(~F.expr(wrapped), variant_sections(v))
+    return {f"_wrapped{mark}": F.expr(text), f"_plain{mark}": plain}
 
 
 def parse_response(df: DataFrame, response: str = "response", out: str = "sections") -> DataFrame:
@@ -69,22 +76,28 @@ def parse_response(df: DataFrame, response: str = "response", out: str = "sectio
     Without one the whole text, then any fenced block, then headings are tried.  An outcome
     without any text gets one more try by headings.
     """
-    r = F.col(response)
+    r, col = F.col(response), F.col
     fenced = F.coalesce(r.rlike(JSON_FENCE), F.lit(False))
     first = F.when(fenced, F.regexp_extract(r, JSON_FENCE, 1)).otherwise(r)
-    staged = once(df, _fenced=fenced, _first=F.try_parse_json(first), _h=heading_sections(r))
-    staged = once(staged, _a=_accepted(F.col("_first")))
+    staged = once(df, _fenced=fenced, _first=F.try_parse_json(first))
+    staged = once(staged, **_read("_first", "1"))
+    unread = ~col("_fenced") & col("_wrapped1").isNull() & col("_plain1").isNull()
     staged = once(staged, _second=F.when(
-        F.col("_a").isNull() & ~F.col("_fenced") & r.rlike(ANY_FENCE),
-        F.try_parse_json(F.regexp_extract(r, ANY_FENCE, 1))))
-    staged = once(staged, _b=F.coalesce(F.col("_a"), _accepted(F.col("_second"))))
-    b, h = F.col("_b"), F.col("_h")
-    best = (F.when(F.length(r) > 0,
-                   F.when(b.isNull() & F.col("_fenced"), F.lit(None))
-                   .when(b.isNull(), h)
-                   .when(all_empty(b) & ~all_empty(h), h)
-                   .otherwise(b)))
-    return once(staged, **{out: best}).drop("_fenced", "_first", "_a", "_second", "_b", "_h")
+        unread & r.rlike(ANY_FENCE), F.try_parse_json(F.regexp_extract(r, ANY_FENCE, 1))))
+    staged = once(staged, **_read("_second", "2"))
+    staged = once(staged, _under=heading_sections("coalesce(_wrapped1, _wrapped2)"),
+                  _headings=heading_sections(f"`{response}`"))
+    found = (F.when(col("_wrapped1").isNotNull(), col("_under"))
+             .when(col("_plain1").isNotNull(), col("_plain1"))
+             .when(col("_fenced"), F.lit(None))
+             .when(col("_wrapped2").isNotNull(), col("_under"))
+             .when(col("_plain2").isNotNull(), col("_plain2"))
+             .otherwise(col("_headings")))
+    staged = once(staged, _found=F.when(F.length(r) > 0, found))
+    retry = all_empty(col("_found")) & ~all_empty(col("_headings"))
+    best = F.when(col("_found").isNotNull(),
+                  F.when(retry, col("_headings")).otherwise(col("_found")))
+    return once(staged, **{out: best}).select(*df.columns, out)
 
 
 def parse_response_simple(df: DataFrame, response: str = "response", tail: str = "raw",
@@ -106,7 +119,7 @@ def parse_response_simple(df: DataFrame, response: str = "response", tail: str =
         F.when(~useless, F.col("_block")) if tail == "raw" else F.col("_block"), whole))
     v = F.col("_v")
     failed = v.isNull()
-    found = variant_sections(v)
+    found = variant_sections("_v")
     if tail == "blank":
         sections = F.coalesce(found, empty)
     else:
@@ -132,48 +145,43 @@ def normalize_records(df: DataFrame, doc: str = "doc") -> DataFrame:
     way to the one in ``metadata``.  Records without an id or with sections that are not text
     keep their row and get ``record_error``.
     """
-    v = F.col("_v")
-    staged = once(df, _v=F.try_parse_json(F.col(doc)))
-
-    def first_id(prefix: str) -> Column:
-        return F.coalesce(*[_text(v, f"{prefix}['{k}']") for k in ID_KEYS])
+    def first_id(prefix: str) -> str:
+        return "coalesce(" + ", ".join(_text("_v", f"{prefix}.{k}") for k in ID_KEYS) + ")"
 
-    def top_or_meta(name: str) -> Column:
-        return F.coalesce(F.nullif(_text(v, f"$.{name}"), F.lit("")), _text(v, f"$.metadata.{name}"))
+    def top_or_meta(name: str) -> str:
+        top = _text("_v", f"$.{name}")
+        return f"coalesce(nullif({top}, ''), {_text('_v', f'$.metadata.{name}')})"
 
-    def count(name: str) -> Column:
-        top = F.nullif(F.try_variant_get(v, f"$.{name}", "int"), F.lit(0))
-        return F.coalesce(top, F.try_variant_get(v, f"$.metadata.{name}", "int"), F.lit(1))
+    def count(name: str) -> str:
+        top = f"nullif(try_variant_get(_v, '$.{name}', 'int'), 0)"
+        return f"coalesce({top}, try_variant_get(_v, '$.metadata.{name}', 'int'), 1)"
 
-    def names(name: str) -> Column:
-        top = F.try_variant_get(v, f"$.{name}", "array<string>")
-        return F.coalesce(F.when(F.size(top) > 0, top),
-                          F.try_variant_get(v, f"$.metadata.{name}", "array<string>"))
+    def names(name: str) -> str:
+        top = f"try_variant_get(_v, '$.{name}', 'array<string>')"
+        return (f"coalesce(if(size({top}) > 0, {top}, NULL), "
+                f"try_variant_get(_v, '$.metadata.{name}', 'array<string>'))")
 
-    def inner(name: str) -> Column:
-        return F.try_variant_get(v, f"$.{name}", "variant")
-
-    body = (F.when(is_object(inner("insights")), inner("insights"))
-            .when(is_object(inner("content")), inner("content")).otherwise(v))
     fields = {
-        "contact_id": F.coalesce(F.nullif(first_id("$"), F.lit("")), first_id("$.metadata")),
+        "contact_id": f"coalesce(nullif({first_id('$')}, ''), {first_id('$.metadata')})",
         "eni_id": top_or_meta("eni_id"),
         "member_name": top_or_meta("member_name"),
         "eni_source_types": names("eni_source_types"),
         "eni_source_subtypes": names("eni_source_subtypes"),
-        "generator": F.coalesce(top_or_meta("generator"), F.lit(DEFAULT_GENERATOR)),
+        "generator": f"coalesce({top_or_meta('generator')}, '{DEFAULT_GENERATOR}')",
         "system_prompt_key": top_or_meta("system_prompt_key"),
         "context_files": top_or_meta("context_files"),
         "record_count": count("record_count"),
         "total_eni_ids": count("total_eni_ids"),
-        "generated_at_text": _text(v, "$.metadata.generated_at"),
-        "processing_status": F.coalesce(_text(v, "$.metadata.processing_status"),
-                                        F.lit("completed")),
-        "version": F.coalesce(F.try_variant_get(v, "$.metadata.version", "int"), F.lit(1)),
-        "_body": body,
+        "generated_at_text": _text("_v", "$.metadata.generated_at"),
+        "processing_status": f"coalesce({_text('_v', '$.metadata.processing_status')}, 'completed')",
+        "version": "coalesce(try_variant_get(_v, '$.metadata.version', 'int'), 1)",
+        "_body": f"CASE WHEN {_is_object(_inner('_v', '$.insights'))} THEN {_inner('_v', '$.insights')} "
+                 f"WHEN {_is_object(_inner('_v', '$.content'))} THEN {_inner('_v', '$.content')} ELSE _v END",
     }
-    staged = once(once(staged, **fields), sections=variant_sections(F.col("_body")))
-    error = (F.when(v.isNull() | ~is_object(v), F.lit("Invalid JSON"))
-             .when(F.coalesce(F.col("contact_id"), F.lit("")) == "", F.lit("Missing contact_id"))
-             .when(F.col("sections").isNull(), F.lit("Invalid content format")))
+    staged = once(df, _v=F.try_parse_json(F.col(doc)))
+    staged = once(staged, **{name: F.expr(sql) for name, sql in fields.items()})
+    staged = once(staged, sections=variant_sections("_body"))
+    error = F.expr(f"CASE WHEN NOT {_is_object('_v')} THEN 'Invalid JSON' "
+                   "WHEN coalesce(contact_id, '') = '' THEN 'Missing contact_id' "
+                   "WHEN sections IS NULL THEN 'Invalid content format' END")
     return once(staged, record_error=error).drop("_v", "_body")

@@ -2,7 +2,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dossier.functions.text import is_blank, strip
+from dossier.functions.text import WHITE_SPACE, is_blank, strip
 from dossier.schemas import HEADINGS, JSON_KEYS, NO_DATE, NOTE_SECTIONS, SECTIONS
 
 # Fixed value: a citation is ``[date,id]`` or ``[date,id,type]``.
@@ -28,43 +28,38 @@ def citations(c: Column, keep_no_date: bool = False) -> Column:
     return F.transform(found, parse)
 
 
-def _heading_parts(c: Column) -> Column:
-    """``array<struct<name, body>>``: the text under each heading, in order.
+def _heading_parts(text: str) -> str:
+    """SQL for ``array<struct<name, body>>``: the text under each heading, in order.
 
     A heading at once followed by another one takes that line as its text: the line break before
     the second heading already ends the first.
     """
-    parts = F.split(F.concat(F.lit("\n"), F.coalesce(c, F.lit(""))), "\n## ")
-
-    def named(all_parts: Column) -> Column:
-        def part(x: Column, i: Column) -> Column:
-            at = F.instr(x, "\n")
-            body = F.when(at > 0, F.substring(x, at + F.lit(1), F.length(x))).otherwise(
-                F.concat(F.lit("## "), F.get(all_parts, i + 1)))
-            return F.struct(F.substring_index(x, "\n", 1).alias("name"), body.alias("body"))
-
-        return F.transform(all_parts, part)
-
+    body = ("if(instr(x, char(10)) > 0, substring(x, instr(x, char(10)) + 1), "
+            "concat('## ', get(p, i + 1)))")
+    part = f"named_struct('name', substring_index(x, char(10), 1), 'body', {body})"
+    split = f"split(concat(char(10), coalesce({text}, '')), concat(char(10), '## '))"
     # a one-element array binds the split text to a name, so that it is split one time
-    return F.get(F.transform(F.array(parts), named), F.lit(0))
+    return f"get(transform(array({split}), p -> transform(p, (x, i) -> {part})), 0)"
 
 
-def _under(parts: Column, name: str) -> Column:
-    found = F.filter(parts, lambda p: (p["name"] == name) & p["body"].isNotNull())
-    return F.coalesce(strip(F.get(found, F.lit(0))["body"]), F.lit(""))
+def _under(parts: str, name: str) -> str:
+    found = f"get(filter({parts}, h -> h.name = '{name}' AND h.body IS NOT NULL), 0).body"
+    blanks = "concat(" + ", ".join(f"char({ord(b)})" for b in WHITE_SPACE) + ")"
+    return f"coalesce(btrim({found}, {blanks}), '')"
 
 
-def heading_section(c: Column, name: str) -> Column:
-    """the text under ``## name`` up to the next heading of that level, stripped."""
-    return _under(_heading_parts(c), name)
+def heading_section(text: str, name: str) -> Column:
+    """the text under ``## name`` up to the next heading of that level, stripped.
 
+    ``text`` is a column name or SQL expression, as lambdas over it are far shorter in SQL.
+    """
+    return F.expr(_under(_heading_parts(text), name))
 
-def heading_sections(c: Column) -> Column:
-    """All six sections of a text that uses headings."""
-    def pick(parts: Column) -> Column:
-        return F.struct(*[_under(parts, h).alias(s) for h, s in zip(HEADINGS, SECTIONS)])
 
-    return F.get(F.transform(F.array(_heading_parts(c)), pick), F.lit(0))
+def heading_sections(text: str) -> Column:
+    """All six sections of a text that uses headings; ``text`` as in :func:`heading_section`."""
+    fields = ", ".join(f"'{s}', {_under('q', h)}" for h, s in zip(HEADINGS, SECTIONS))
+    return F.expr(f"get(transform(array({_heading_parts(text)}), q -> named_struct({fields})), 0)")
 
 
 def all_empty(s: Column) -> Column:

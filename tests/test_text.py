@@ -44,13 +44,14 @@ def test_citations(spark):
 
 def test_heading_sections(spark):
     md = "intro\n## Personal\n\n a\n### sub\nb \n\n## Business\n## Deals\n x ## y\n## Deals\nlater"
-    got = one(spark, md, sections.heading_sections)
+    got = one(spark, md, lambda c: sections.heading_sections("c"))
     # an empty section takes the heading line that follows it, as the line break is used up
     assert got["personal"] == "a\n### sub\nb"
     assert got["business"] == "## Deals\n x ## y"
     assert got["deals"] == "x ## y"
     assert got["investing"] == ""
-    assert one(spark, None, sections.heading_sections)["personal"] == ""
+    assert one(spark, md, lambda c: sections.heading_section("c", "Deals")) == "x ## y"
+    assert one(spark, None, lambda c: sections.heading_sections("c"))["personal"] == ""
 
 
 def test_display_markdown_and_note(spark):
