@@ -89,18 +89,8 @@ def s15(spark, sf):
 def corpus(spark, sf) -> str:
     """The documents as context files: the source is the type, language and id the subtype."""
     folder = run_folder(spark, "context")
-    docs = table(spark, sf, "documents").select(
-        "source", F.concat("lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".md")).alias("name"),
-        F.col("text"))
-
-    def write(rows):
-        import os
-        for r in rows:
-            os.makedirs(f"{folder}/{r['source']}", exist_ok=True)
-            with open(f"{folder}/{r['source']}/{r['name']}", "w", encoding="utf-8", newline="") as f:
-                f.write(r["text"])
-
-    docs.foreachPartition(write)
+    name = F.concat("source", F.lit("/"), "lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".md"))
+    files.write_named_files(table(spark, sf, "documents").select(name.alias("name"), "text"), folder)
     return folder
 
 

@@ -41,7 +41,7 @@ def count_clients(limit: int):
 def x1(spark, sf):
     """X1 with X2 and X3"""
     df = prompts(spark, sf).select(*GROUP, "prompt")
-    return generation.generate(df, count_clients(700), attempts=2, base_delay=0.0, concurrency=8).drop("prompt")
+    return generation.generate(df, count_clients(700), attempts=2, base_delay=0.0, concurrency=8).drop("prompt", "seconds")
 
 
 NORM = "lower(regexp_replace(regexp_replace({}, '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g'))"

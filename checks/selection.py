@@ -12,7 +12,8 @@ from dossier.sources.tables import profile_page, read_table
 DAY = "CAST(logged_date AS varchar) AS logged_date"
 CUTOFF = datetime(1999, 6, 1)
 CUTOFF_SQL = "TIMESTAMP '1999-06-01 00:00:00'"
-LATEST = """last AS (SELECT contact_id, max(processed_at) AS seen_at FROM run_log GROUP BY contact_id),
+LATEST = """last AS (SELECT contact_id, max(processed_at) AS seen_at FROM run_log WHERE processing_status = 'completed'
+  AND processor_system_prompt_key = 'structured_insight' AND processor_generator = 'structured_insight' GROUP BY contact_id),
 cl AS (SELECT c.contact_id, l.seen_at FROM (SELECT DISTINCT contact_id FROM notes
   WHERE regexp_matches(description, '\\S') AND contact_id IS NOT NULL) c
   LEFT JOIN last l ON l.contact_id = c.contact_id)"""
@@ -30,6 +31,10 @@ def noted(df):
     return df.withColumn("logged_date", F.col("logged_date").cast("string"))
 
 
+def last_seen(spark, sf):
+    return selection.contact_last_processed(frame(spark, sf, "notes"), frame(spark, sf, "run_log"), "structured_insight")
+
+
 def with_sources(df):
     return df.withColumns({"eni_source_types": F.array("source_type"),
                            "eni_source_subtypes": F.array("source_subtype")})
@@ -164,7 +169,7 @@ def p6(spark, sf):
        f"WHERE seen_at IS NULL OR seen_at < {CUTOFF_SQL}", LATEST)
 def p7(spark, sf):
     """P7"""
-    df = selection.contact_last_processed(frame(spark, sf, "notes"), frame(spark, sf, "run_log"))
+    df = last_seen(spark, sf)
     return selection.due(df, CUTOFF).select(
         "contact_id", stamp("last_processed_at").alias("last_processed_at"))
 
@@ -172,7 +177,7 @@ def p7(spark, sf):
 @check("p8_due_in_list", "profiles notes",
        "SELECT DISTINCT n.contact_id FROM notes n WHERE regexp_matches(n.description, '\\S') "
        "AND n.contact_id IN (SELECT contact_id FROM profiles WHERE source_type = 'purchase') AND "
-       "n.contact_id NOT IN (SELECT contact_id FROM profiles WHERE generator = 'member_summary')")
+       "n.contact_id NOT IN (SELECT contact_id FROM profiles WHERE generator = 'member_summary' AND processing_status = 'completed')")
 def p8(spark, sf):
     """Listed contacts without a log row; here old-style profiles stand for the log."""
     p = frame(spark, sf, "profiles")
@@ -219,7 +224,7 @@ def j1(spark, sf):
        f"SELECT contact_id, {stamp_sql('seen_at')} AS last_processed_at FROM cl", LATEST)
 def j2(spark, sf):
     """J2"""
-    df = selection.contact_last_processed(frame(spark, sf, "notes"), frame(spark, sf, "run_log"))
+    df = last_seen(spark, sf)
     return df.select("contact_id", stamp("last_processed_at").alias("last_processed_at"))
 
 
@@ -248,14 +253,24 @@ def a2(spark, sf):
 
 @check("a3_last_processed", "run_log",
        f"SELECT contact_id, {stamp_sql('max(processed_at)')} AS last_processed_at FROM run_log "
-       "WHERE processor_system_prompt_key = 'structured_insight' GROUP BY contact_id")
+       "WHERE processing_status IN ('completed', 'skipped') AND processor_system_prompt_key = 'member_summary' GROUP BY contact_id")
 def a3(spark, sf):
-    """A3 over P6"""
-    log = selection.log_for(frame(spark, sf, "run_log"), "structured_insight", "structured_insight")
-    return selection.last_processed(log).select(
+    """A3 over P6, with the wider choice of states"""
+    return selection.last_processed(frame(spark, sf, "run_log"), "member_summary", "structured_insight",
+                                    ("completed", "skipped")).select(
         "contact_id", stamp("last_processed_at").alias("last_processed_at"))
 
 
+@check("o3_prioritized_contacts", "notes run_log",
+       f"SELECT contact_id, {stamp_sql('seen_at')} AS last_processed_at FROM cl WHERE seen_at IS NULL OR seen_at < {CUTOFF_SQL} "
+       "ORDER BY seen_at NULLS FIRST, contact_id LIMIT 40 OFFSET 5", LATEST)
+def o3b(spark, sf):
+    """J2, P7, O2 and O3 together"""
+    df = selection.prioritized_contacts(frame(spark, sf, "notes"), frame(spark, sf, "run_log"), CUTOFF,
+                                        "structured_insight", limit=40, offset=5)
+    return df.select("contact_id", stamp("last_processed_at").alias("last_processed_at"))
+
+
 @check("a5_profile_count", "profiles",
        "SELECT count(*) AS n FROM profiles WHERE processing_status = 'completed' AND source_type = 'view'")
 def a5(spark, sf):
@@ -276,7 +291,7 @@ def o1(spark, sf):
        "SELECT contact_id, row_number() OVER (ORDER BY seen_at NULLS FIRST, contact_id) AS pos FROM cl", LATEST)
 def o2(spark, sf):
     """O2"""
-    df = selection.contact_last_processed(frame(spark, sf, "notes"), frame(spark, sf, "run_log"))
+    df = last_seen(spark, sf)
     return selection.selection_order(df).select("contact_id", "pos")
 
 
@@ -286,7 +301,7 @@ def o2(spark, sf):
        "seen_at NULLS FIRST, contact_id OFFSET 45)", LATEST)
 def o3(spark, sf):
     """O3: a page, and all after it."""
-    df = selection.contact_last_processed(frame(spark, sf, "notes"), frame(spark, sf, "run_log"))
+    df = last_seen(spark, sf)
     first = selection.selection_page(df, 30, 15).select(F.lit("page").alias("part"), "contact_id")
     rest = selection.selection_page(df, None, 45).select(F.lit("rest").alias("part"), "contact_id")
     return first.unionByName(rest)
@@ -332,7 +347,7 @@ def w6(spark, sf):
        LATEST)
 def w7(spark, sf):
     """W7"""
-    df = selection.contact_last_processed(frame(spark, sf, "notes"), frame(spark, sf, "run_log"))
+    df = last_seen(spark, sf)
     return selection.waves(selection.selection_order(df), 20).select("contact_id", "wave")
 
 

@@ -15,7 +15,9 @@ from dossier.schemas import SECTIONS
 def generate(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]],
              attempts: int = 3, base_delay: float = 1.0, concurrency: int | None = None,
              prompt: str = "prompt") -> DataFrame:
-    """Add ``response``, ``error`` and ``attempts`` to each prompt.
+    """Add ``response``, ``error``, ``attempts`` and ``seconds`` to each prompt.
+
+    ``seconds`` is the time of the last call.
 
     ``make_client`` runs once per partition and returns a function from prompt to text.  A call
     that raises or returns nothing is tried again with doubling delays; when all tries fail the
@@ -27,31 +29,35 @@ def generate(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]]
     """
     schema = T.StructType([
         *prompts.schema.fields, T.StructField("response", T.StringType()),
-        T.StructField("error", T.StringType()), T.StructField("attempts", T.IntegerType())])
+        T.StructField("error", T.StringType()), T.StructField("attempts", T.IntegerType()),
+        T.StructField("seconds", T.DoubleType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import time
 
         call = make_client()
         for batch in batches:
-            texts, errors, tries = [], [], []
+            texts, errors, tries, times = [], [], [], []
             for text in batch[prompt]:
-                answer, problem, n = None, None, 0
+                answer, problem, n, started = None, None, 0, time.monotonic()
                 while n < attempts and not answer:
                     if n:
                         time.sleep(base_delay * 2 ** (n - 1))
                     n += 1
+                    started = time.monotonic()
                     try:
                         answer = call(text)
                         problem = None if answer else "empty response"
                     except Exception as e:  # a failed call is a failed row, never a failed job
                         answer, problem = None, f"{type(e).__name__}: {e}"
+                times.append(time.monotonic() - started)
                 texts.append(answer or None)
                 errors.append(problem)
                 tries.append(n)
             yield batch.assign(response=pd.Series(texts, dtype=object, index=batch.index),
                                error=pd.Series(errors, dtype=object, index=batch.index),
-                               attempts=pd.Series(tries, dtype="int32", index=batch.index))
+                               attempts=pd.Series(tries, dtype="int32", index=batch.index),
+                               seconds=pd.Series(times, dtype="float64", index=batch.index))
 
     spread = prompts if concurrency is None else prompts.repartition(concurrency)
     return spread.mapInPandas(run, schema)

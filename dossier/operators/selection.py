@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.operators.ordering import with_position
-from dossier.schemas import NULL_SUBTYPE
+from dossier.schemas import DEFAULT_GENERATOR, NULL_SUBTYPE
 
 
 # ---- predicates -------------------------------------------------------------------------
@@ -74,15 +74,28 @@ def unprocessed(notes: DataFrame, log: DataFrame) -> DataFrame:
     return notes.join(processed_ids(log, ("completed",)), "eni_id", "left_anti")
 
 
-def last_processed(log: DataFrame) -> DataFrame:
-    """A3: time of the last log row per contact."""
-    return log.groupBy("contact_id").agg(F.max("processed_at").alias("last_processed_at"))
+def last_processed(log: DataFrame, prompt_key: str | None = None, generator: str | None = None,
+                   statuses: tuple[str, ...] = ("completed",)) -> DataFrame:
+    """A3: time of the last log row per contact, of the given states, prompt and generator."""
+    rows = log.filter(F.col("processing_status").isin(*statuses))
+    if prompt_key is not None:
+        rows = log_for(rows, prompt_key, generator or DEFAULT_GENERATOR)
+    return rows.groupBy("contact_id").agg(F.max("processed_at").alias("last_processed_at"))
 
 
-def contact_last_processed(notes: DataFrame, log: DataFrame) -> DataFrame:
+def contact_last_processed(notes: DataFrame, log: DataFrame, prompt_key: str | None = None,
+                           generator: str | None = None) -> DataFrame:
     """Contacts with usable notes and when they were last processed."""
     contacts = distinct_keys(non_null(usable_notes(notes), "contact_id"), ["contact_id"])
-    return contacts.join(last_processed(log), "contact_id", "left")
+    return contacts.join(last_processed(log, prompt_key, generator), "contact_id", "left")
+
+
+def prioritized_contacts(notes: DataFrame, log: DataFrame, cutoff: datetime, prompt_key: str,
+                         generator: str = DEFAULT_GENERATOR, limit: int | None = None,
+                         offset: int = 0) -> DataFrame:
+    """J2, P7, O2 and O3 in one: contacts that are due, in selection order, or a page of them."""
+    waiting = due(contact_last_processed(notes, log, prompt_key, generator), cutoff)
+    return selection_page(waiting, limit, offset)
 
 
 def in_list(df: DataFrame, ids: DataFrame) -> DataFrame:

@@ -93,6 +93,7 @@ def _new_versions(iterations: DataFrame, versions: DataFrame, prompt_key: str,
         F.col("rows_used").cast("int").alias("total_eni_ids"), "sections",
         F.col("input_tokens").alias("est_input_tokens"),
         F.col("output_tokens").alias("est_insights_tokens"),
+        F.col("seconds").alias("generation_time_seconds"),
         F.lit(now).cast("timestamp").alias("generated_at"))
     return assign_versions(stamped, versions)
 
@@ -106,3 +107,22 @@ def _log_rows(iterations: DataFrame, prompt_key: str, now: datetime) -> DataFram
         group_id(F.col("eni_source_type"), F.col("subtype"), F.col("contact_id"),
                  F.col("rows_used")).alias("batch_id"))
     return run_log_rows(used, F.lit(now), prompt_key)
+
+
+def contact_results(iterations: DataFrame) -> DataFrame:
+    """One result row per contact of a run, as :func:`dossier.operators.metrics.run_totals` takes.
+
+    The errors of a contact are at most one per group, so the rules bound the list.
+    """
+    unread = F.col("sections").isNull()
+    error = F.when(unread, F.concat(
+        "eni_source_type", F.lit("/"), "subtype", F.lit(": "),
+        F.coalesce("error", F.lit("unreadable response"))))
+    zero = F.lit(0).cast("long")
+    per = iterations.groupBy("contact_id").agg(
+        F.array_sort(F.collect_list(error)).alias("errors"),
+        F.coalesce(F.sum(F.when(~unread, F.col("rows_used"))), zero).alias("notes_processed"))
+    return per.select(
+        "contact_id", (F.size("errors") == 0).alias("success"), "errors", "notes_processed",
+        *[zero.alias(c) for c in ("files_created", "records_published", "token_loss_events",
+                                  "token_loss_groups_skipped", "token_loss_records_skipped")])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 def write_named_files(docs: DataFrame, folder: str, text: str = "text") -> None:
     """Write each (name, text) row to a file of its own, from the tasks.
 
-    ``folder`` is a path that all executors mount.  A file is written under a temporary name and
+    ``folder`` is a path that all executors mount; a name may hold sub-folders.  A file is written under a temporary name and
     moved into place, so a task that runs twice leaves one whole file.  For large numbers of
     documents the table forms in :mod:`dossier.sinks.writers` are the better choice.
     """
@@ -17,11 +17,12 @@ def write_named_files(docs: DataFrame, folder: str, text: str = "text") -> None:
         import os
         import uuid
 
-        os.makedirs(path, exist_ok=True)
         for row in rows:
-            temporary = f"{path}/.{uuid.uuid4().hex}"
+            target = f"{path}/{row['name']}"
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            temporary = f"{os.path.dirname(target)}/.{uuid.uuid4().hex}"
             with open(temporary, "w", encoding="utf-8", newline="") as f:
                 f.write(row["text"])
-            os.replace(temporary, f"{path}/{row['name']}")
+            os.replace(temporary, target)
 
     docs.select("name", docs[text].alias("text")).foreachPartition(write)

@@ -10,7 +10,8 @@ from checks.grouping import TEMPLATE
 from checks.running import echo_clients
 from dossier.operators import generation
 from dossier.operators.rules import rules_frame
-from dossier.plans.run import run_profiles
+from dossier.operators.metrics import run_totals
+from dossier.plans.run import contact_results, run_profiles
 from dossier.schemas import NOTES, RUN_LOG, SECTIONS
 from dossier.sources.local import local_frame
 
@@ -117,6 +118,12 @@ def test_run_equals_loop(spark):
     got_log = {r["eni_id"]: r["processing_status"] for r in result.log.collect()}
     assert got_log == want_log and "failed" in got_log.values()
 
+    totals = run_totals(contact_results(result.iterations)).first()
+    assert totals["notes_processed"] <= list(got_log.values()).count("completed")
+    assert totals["total_failed"] == len({r["contact_id"] for r in result.log.collect() if r["processing_status"] == "failed"})
+    assert totals["total_completed_success"] + totals["total_failed"] == totals["total_scheduled"]
+    assert all(r["generation_time_seconds"] >= 0 for r in result.versions.collect())
+
     # the next run sees no note that is done, and takes up the ones that were cut or failed
     second = start(spark, notes, log.unionByName(result.log))
     done = {i for i, s in got_log.items() if s == "completed"} | logged
