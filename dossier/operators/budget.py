@@ -30,7 +30,8 @@ def budget_cut(notes: DataFrame, budget: int | DataFrame, keys: list[str] = GROU
     """Newest first, the notes of each group up to the first that exceeds the budget.
 
     ``notes`` has ``keys``, ``logged_date``, ``eni_id``, ``tokens`` (1 or more per note) and the
-    columns of ``carry``.  ``budget`` is one number, or a table of ``keys`` and ``budget``.
+    columns of ``carry``.  ``budget`` is one number, or a table of ``keys`` and ``budget``; notes of
+    a group that has no row there are left out.
     Returns ``keys``, ``logged_date``, ``eni_id``, ``tokens``, ``carry`` and ``used_before``, the
     tokens of the group's earlier notes.
 

@@ -24,7 +24,8 @@ def with_position(df: DataFrame, order: list[Column] | None = None,
     sizes = laid_out.groupBy(part).agg((F.max(row) + 1).alias("_n"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return (laid_out.join(starts, part)
+    # one row per partition of the sort, so at most spark.sql.shuffle.partitions rows
+    return (laid_out.join(F.broadcast(starts), part)
             .withColumn(name, F.col("_start") + F.col(row) + 1)
             .drop(part, row, "_start"))
 
