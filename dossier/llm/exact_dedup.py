@@ -28,7 +28,8 @@ def frequent(digests: DataFrame, column: str, most: int = FREQUENT) -> DataFrame
     """
     grouped = (digests.groupBy((F.spark_partition_id() % MERGES).alias("part"))
                .agg(F.expr(f"approx_top_k_accumulate({column}, {COUNTERS})").alias("summary")))
-    return (grouped.agg(F.expr(f"approx_top_k_combine(summary, {COUNTERS})").alias("summary"))
+    # grouped, as Spark cannot merge the summary of a partition without rows
+    return (grouped.groupBy((F.col("part") * 0).alias("all")).agg(F.expr(f"approx_top_k_combine(summary, {COUNTERS})").alias("summary"))
             .select(F.explode(F.expr(f"approx_top_k_estimate(summary, {most})")).alias("top"))
             .select(F.col("top.item").alias(column)))
 
