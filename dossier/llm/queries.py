@@ -1,12 +1,15 @@
 """The operators over their whole tables, each beside its DuckDB oracle where SQL can express it."""
-from dossier.llm import exact_dedup, sharding, url_filter
+from dossier.llm import exact_dedup, line_dedup, packing, sharding, url_filter
 
 QUERIES = {
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_url_filters": url_filter.op4_url_filters,
     "op5_sharding": sharding.op5_sharding,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_packing": packing.op7_packing,
 }
 ORACLES = {
+    "op2_line_dedup": line_dedup.SQL,
     "op4_url_filters": url_filter.SQL,
     "op5_sharding": sharding.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
