@@ -1,12 +1,14 @@
 """The operators over their whole tables, each beside its DuckDB oracle where SQL can express it."""
-from dossier.llm import exact_dedup, line_dedup, packing, sharding, url_filter
+from dossier.llm import exact_dedup, language, line_dedup, packing, sharding, toxicity, url_filter
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_url_filters": url_filter.op4_url_filters,
     "op5_sharding": sharding.op5_sharding,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_packing": packing.op7_packing,
+    "op8_language_id": language.op8_language_id,
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.SQL,
