@@ -1,7 +1,9 @@
 """The operators over their whole tables, each beside its DuckDB oracle where SQL can express it."""
-from dossier.llm import exact_dedup, language, line_dedup, packing, sharding, toxicity, url_filter
+from dossier.llm import (exact_dedup, language, line_dedup, minhash, packing, sharding, toxicity,
+                         url_filter)
 
 QUERIES = {
+    "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_url_filters": url_filter.op4_url_filters,
