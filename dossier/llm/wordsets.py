@@ -7,6 +7,8 @@ _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
+_APART = _WHITE.copy()
+_APART[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text that are hashed in one go; the arrays beside them take some 40 times as much.
@@ -37,11 +39,11 @@ def _blocks(texts):
         yield block
 
 
-def _hash_block(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _hash_block(raws: list[bytes], white: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the block, and the number of words of each text."""
     data = _LOWER[np.frombuffer(b"\n".join(raws), np.uint8)]
     ends = np.cumsum([len(r) + 1 for r in raws])
-    white = _WHITE[data]
+    white = white[data]
     word = ~white
     starts = np.flatnonzero(word & np.concatenate(([True], white[:-1]))) if len(data) else np.zeros(0, int)
     if not len(starts):
@@ -73,14 +75,14 @@ def _grow_powers(n: int) -> None:
 _grow_powers(64)
 
 
-def words(texts):
+def words(texts, punctuation: bool = True):
     """For each text, the hashes of its words in order.
 
     A-Z count as a-z; words end at space, tab, line feed, vertical tab, form feed and carriage
-    return.  A null text has no words.
+    return, and without ``punctuation`` at every ASCII punctuation mark.  A null text has none.
     """
     for raws in _blocks(texts):
-        hashes, counts = _hash_block(raws)
+        hashes, counts = _hash_block(raws, _WHITE if punctuation else _APART)
         yield from np.split(hashes, np.cumsum(counts)[:-1])
 
 
