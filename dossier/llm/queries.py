@@ -1,5 +1,5 @@
 """The operators over their whole tables, each beside its DuckDB oracle where SQL can express it."""
-from dossier.llm import (decontaminate, exact_dedup, language, line_dedup, minhash, packing, sharding, toxicity,
+from dossier.llm import (chat, decontaminate, exact_dedup, language, line_dedup, minhash, packing, sharding, toxicity,
                          url_filter)
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_packing": packing.op7_packing,
     "op8_language_id": language.op8_language_id,
+    "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 ORACLES = {
