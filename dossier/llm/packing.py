@@ -1,7 +1,9 @@
 """Concatenate and cut: documents end to end as tokens, cut into sequences of fixed length."""
 from __future__ import annotations
 
+import unicodedata
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -15,17 +17,28 @@ from dossier.checkpoints import freeze
 from dossier.llm.tables import table
 
 SEQUENCE_TOKENS, END_ID = 2048, 1
-#: Words a Python worker remembers; beyond that it starts afresh.
-CACHE_WORDS = 300_000
+#: Words a Python worker remembers, and as many of those before them.
+CACHE_WORDS = 400_000
+#: What is one token sequence of its own wherever it follows letters.
+PUNCTUATION = ".,;:!?#$%&*()+=/-"
 #: Rows of per-partition totals (16 bytes each) up to which they are broadcast.
 BROADCAST_TOTALS = 500_000
 
 
+def _byte_characters() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable Latin-1 as it is, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordTokenizer:
-    """Ids of texts by a tokenizer that drops white space and ends every word with a marked token.
+    """Ids of texts by a byte-level tokenizer that lowers case and drops white space.
 
     No token spans white space, so a text's ids are those of its chunks between ASCII white
-    space, and each chunk is tokenized once and remembered.
+    space, and each chunk is tokenized once and remembered.  A chunk of letters and
+    PUNCTUATION behind them needs the tokenizer's vocabulary only; all others pass through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -33,61 +46,47 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         n = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if n <= 1 << 16 else "<u4")
-        self.ends = np.zeros(n, bool)
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.ends[i] = token.endswith("</w>")
+        self.code = "HI"[self.kind.itemsize == 4]
+        self.characters = _byte_characters()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
-    def _plain(self, chunks: list[str]) -> None:
-        """Learn chunks one by one."""
-        for chunk, e in zip(chunks, self.tokenizer.encode_batch(chunks, add_special_tokens=False)):
-            self.known[chunk] = np.array(e.ids, self.kind).tobytes()
-
-    def _cores(self, cores: list[str]) -> None:
-        """Learn lower-case words of letters only, many in one call: each ends with one end token."""
-        ids = np.array(self.tokenizer.encode(" ".join(cores), add_special_tokens=False).ids, self.kind)
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(cores) or (len(stops) and stops[-1] != len(ids)):
-            raise ValueError("the tokenizer does not end each word with a marked token")
-        raw, w, at = ids.tobytes(), self.kind.itemsize, 0
-        for core, stop in zip(cores, stops.tolist()):
-            self.cores[core] = raw[at * w:stop * w]
-            at = stop
-
-    def learn(self, chunks: list[str]) -> None:
-        plain, split = [], []
-        for chunk in chunks:
-            core = chunk.rstrip(".,")
-            low = core.lower()
-            tail = chunk[len(core):]
-            # a capital sigma is lowered by its neighbours here, but not by the tokenizer
-            if core.isalpha() and low.isalpha() and len(tail) < 2 and "Σ" not in core:
-                split.append((chunk, low, tail))
-            else:
-                plain.append(chunk)
-        self._plain(plain + [t for t in {t for _, _, t in split} if t and t not in self.known])
-        new = list({low for _, low, _ in split if low not in self.cores})
-        if new:
-            self._cores(new)
-        for chunk, low, tail in split:
-            self.known[chunk] = self.cores[low] + (self.known[tail] if tail else b"")
+    def _whole(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _core(self, low: str) -> bytes:
+        if low not in self.cores:
+            spelt = low if low.isascii() else low.encode().decode("latin-1").translate(self.characters)
+            self.cores[low] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+        return self.cores[low]
+
+    def _chunk(self, chunk: str) -> bytes:
+        core = chunk.rstrip(PUNCTUATION)
+        tail = chunk[len(core):]
+        if core.isalpha() and "\u03a3" not in core:  # capital sigma is lowered by its neighbours in Python only
+            low = (core if core.isascii() else unicodedata.normalize("NFC", core)).lower()
+            if low.isalpha():
+                if tail and tail not in self.known:
+                    self.known[tail] = self._whole(tail)
+                return self._core(low) + (self.known[tail] if tail else b"")
+        return self._whole(chunk)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-            self.cores.clear()
-        known = self.known
+            self.older, self.known, self.cores = self.known, {}, {}
+        known, older = self.known, self.older
         split = [_chunks(text or "") for text in texts]
-        self.learn([c for c in set().union(*split) if c not in known])
+        for chunk in set().union(*split).difference(known):
+            known[chunk] = older[chunk] if chunk in older else self._chunk(chunk)
         return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
 
 def _chunks(text: str) -> list[str]:
     for white in "\t\n\x0b\x0c\r":
         text = text.replace(white, " ")
-    return [c for c in text.split(" ") if c]
+    return text.split(" ")
 
 
 @lru_cache(maxsize=2)
