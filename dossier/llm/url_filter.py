@@ -61,13 +61,13 @@ def prior_weight(groups: DataFrame, *counts: str) -> Column:
     """
     n, bad = counts
     pages, rows = F.sum(n), F.count(F.when(F.col(n) > 0, 1))
-    mean = F.sum(bad) / pages
-    between = (F.sum(F.col(bad) * F.col(bad) / F.col(n)) - pages * mean * mean) / (rows - 1)
-    within = F.sum(F.col(bad) - F.col(bad) * F.col(bad) / F.col(n)) / (pages - rows)
-    size = (pages - F.sum(F.col(n) * F.col(n)) / pages) / (rows - 1)
-    r = (between - within) / (between + (size - 1) * within)
-    weight = F.when(r > 0, F.greatest(F.lit(WEIGHTS[0]), F.least(F.lit(WEIGHTS[1]), 1 / r - 1)))
-    return F.coalesce(F.nanvl(weight, F.lit(None)), F.lit(WEIGHTS[1]))
+    mean = F.try_divide(F.sum(bad), pages)
+    between = F.try_divide(F.sum(F.col(bad) * F.col(bad) / F.col(n)) - pages * mean * mean, rows - 1)
+    within = F.try_divide(F.sum(F.col(bad) - F.col(bad) * F.col(bad) / F.col(n)), pages - rows)
+    size = F.try_divide(pages - F.try_divide(F.sum(F.col(n) * F.col(n)), pages), rows - 1)
+    r = F.try_divide(between - within, between + (size - 1) * within)
+    weight = F.when(r > 0, F.greatest(F.lit(WEIGHTS[0]), F.least(F.lit(WEIGHTS[1]), F.try_divide(F.lit(1.0), r) - 1)))
+    return F.coalesce(weight, F.lit(WEIGHTS[1]))
 
 
 def host_reputation(hosts: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def host_reputation(hosts: DataFrame) -> DataFrame:
     w = {}
     for level, groups in (("suffix", suffixes), ("domain", domains), ("host", hosts)):
         w[level] = groups.filter("n > 0").agg(prior_weight(groups, "n", "bad").alias("w"),
-                                              (F.sum("bad") / F.sum("n")).alias("mean")).first()
+                                              F.try_divide(F.sum("bad"), F.sum("n")).alias("mean")).first()
 
     def shrunk(level: str, prior: Column) -> Column:
         return (F.col("bad") + w[level]["w"] * prior) / (F.col("n") + w[level]["w"])
