@@ -53,21 +53,29 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule], give) -> Co
     return out
 
 
-def prior_weight(groups: DataFrame, *counts: str) -> Column:
+def _sums(groups: DataFrame) -> list[Column]:
+    """Of the groups of a level that have labelled pages, what a prior's weight is made of."""
+    share = F.col("bad") * F.col("bad") / F.col("n")
+    return groups.filter("n > 0").agg(
+        F.count("*").alias("groups"), F.sum("n").cast("double").alias("pages"), F.sum("bad").alias("bad"),
+        F.sum(share).alias("between"), F.sum(F.col("bad") - share).alias("within"),
+        F.sum(F.col("squares") / F.col("n")).alias("squares")).first()
+
+
+def prior_weight(level, above) -> float:
     """How many pages the mean of the level above is worth to the groups of a level.
 
-    The analysis-of-variance estimate of the correlation inside a group, r, gives a beta prior
-    of weight 1/r - 1.
+    The analysis-of-variance estimate of the correlation inside the groups, r, gives a beta prior
+    of weight 1 / r - 1; where it cannot be estimated, the prior weighs most.
     """
-    n, bad = counts
-    pages, rows = F.sum(n), F.count(F.when(F.col(n) > 0, 1))
-    mean = F.try_divide(F.sum(bad), pages)
-    between = F.try_divide(F.sum(F.col(bad) * F.col(bad) / F.col(n)) - pages * mean * mean, rows - 1)
-    within = F.try_divide(F.sum(F.col(bad) - F.col(bad) * F.col(bad) / F.col(n)), pages - rows)
-    size = F.try_divide(pages - F.try_divide(F.sum(F.col(n) * F.col(n)), pages), rows - 1)
-    r = F.try_divide(between - within, between + (size - 1) * within)
-    weight = F.when(r > 0, F.greatest(F.lit(WEIGHTS[0]), F.least(F.lit(WEIGHTS[1]), F.try_divide(F.lit(1.0), r) - 1)))
-    return F.coalesce(weight, F.lit(WEIGHTS[1]))
+    groups = level["groups"] - above["groups"]
+    if groups <= 0 or level["pages"] <= level["groups"]:
+        return WEIGHTS[1]
+    between = (level["between"] - above["between"]) / groups
+    within = level["within"] / (level["pages"] - level["groups"])
+    spread = between + ((level["pages"] - above["squares"]) / groups - 1) * within
+    r = (between - within) / spread if spread > 0 else 0.0
+    return max(WEIGHTS[0], min(WEIGHTS[1], 1 / r - 1)) if r > 0 else WEIGHTS[1]
 
 
 def host_reputation(hosts: DataFrame) -> DataFrame:
@@ -75,30 +83,26 @@ def host_reputation(hosts: DataFrame) -> DataFrame:
 
     ``hosts`` has one row per ``host`` with ``n`` labelled and ``bad`` bad pages.  Each level's
     share is a beta-binomial posterior whose prior mean is the posterior of the level above:
-    all pages, suffix, registered domain, host.  A level's weight is estimated from its groups.
-    Returns ``host, n, bad, mean, low``; ``low`` is the bound that filters.  Without any
-    labelled page, means and bounds are null.
+    all pages, suffix, registered domain, host.  A level's weight is estimated from its groups
+    inside the groups of the level above.  Returns ``host, n, bad, mean, low``; ``low`` is the
+    bound that filters.  Without any labelled page, means and bounds are null.
     """
     hosts = hosts.select("host", "n", "bad", domain_of(F.col("host")).alias("domain"),
-                         suffix_of(F.col("host")).alias("suffix"))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    # one row of four numbers
-    w = {}
-    for level, groups in (("suffix", suffixes), ("domain", domains), ("host", hosts)):
-        w[level] = groups.filter("n > 0").agg(prior_weight(groups, "n", "bad").alias("w"),
-                                              F.try_divide(F.sum("bad"), F.sum("n")).alias("mean")).first()
-
-    def shrunk(level: str, prior: Column) -> Column:
-        return (F.col("bad") + w[level]["w"] * prior) / (F.col("n") + w[level]["w"])
-
-    suffix_mean = suffixes.select("suffix", shrunk(
-        "suffix", F.lit(w["suffix"]["mean"]).cast("double")).alias("prior"))
+                         suffix_of(F.col("host")).alias("suffix"), (F.col("n") * F.col("n")).alias("squares"))
+    up = [F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum(F.col("n") * F.col("n")).alias("squares")]
+    domains = hosts.groupBy("domain", "suffix").agg(*up)
+    suffixes = domains.groupBy("suffix").agg(*up)
+    levels = [_sums(x) for x in (suffixes.agg(*up), suffixes, domains, hosts)]  # a row of numbers each
+    w_suffix, w_domain, w_host = (prior_weight(b, a) for a, b in zip(levels, levels[1:]))
+    mean = levels[0]["bad"] / levels[0]["pages"] if levels[0]["pages"] else None
+
+    def shrunk(weight: float, prior: Column) -> Column:
+        return (F.col("bad") + weight * prior) / (F.col("n") + weight)
+
+    suffix_mean = suffixes.select("suffix", shrunk(w_suffix, F.lit(mean).cast("double")).alias("prior"))
     domain_mean = (domains.join(suffix_mean, "suffix")
-                   .select("domain", shrunk("domain", F.col("prior")).alias("prior")))
-    a = F.col("bad") + w["host"]["w"] * F.col("prior")
-    total = F.col("n") + w["host"]["w"]
-    mean = a / total
+                   .select("domain", shrunk(w_domain, F.col("prior")).alias("prior")))
+    total, mean = F.col("n") + w_host, shrunk(w_host, F.col("prior"))
     return (hosts.join(domain_mean, "domain")
             .select("host", "n", "bad", mean.alias("mean"),
                     (mean - DEVIATIONS * F.sqrt(mean * (1 - mean) / (total + 1))).alias("low")))
@@ -135,16 +139,16 @@ def op4_url_filters(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"), outcomes)
 
 
-_WEIGHT = """least(1000.0, greatest(1.0, 1 / r - 1))"""
+def _sums_sql(level: str) -> str:
+    return f"""s_{level} AS (SELECT count(*) AS k, sum(n)::double AS n, sum(bad * bad / n::double) AS b,
+  sum(bad - bad * bad / n::double) AS i, sum(sq / n::double) AS q FROM "{level}" WHERE n > 0)"""
 
 
-def _weight_sql(level: str) -> str:
-    return f"""w_{level} AS (SELECT CASE WHEN r > 0 AND NOT isnan(r) THEN {_WEIGHT} ELSE 1000.0 END AS w, mean
-  FROM (SELECT (b - i) / (b + (size - 1) * i) AS r, mean FROM (
-    SELECT (sum(bad * bad / n::double) - sum(n) * (sum(bad) / sum(n)) ** 2) / nullif(count(*) - 1, 0) AS b,
-      sum(bad - bad * bad / n::double) / nullif(sum(n) - count(*), 0) AS i,
-      (sum(n) - sum(n * n) / sum(n)) / nullif(count(*) - 1, 0) AS size, sum(bad) / sum(n) AS mean
-    FROM (SELECT n::double AS n, bad::double AS bad FROM {level} WHERE n > 0))))"""
+def _weight_sql(level: str, above: str) -> str:
+    return f"""w_{level} AS (SELECT CASE WHEN r > 0 THEN least(1000.0, greatest(1.0, 1 / r - 1)) ELSE 1000.0 END AS w
+  FROM (SELECT CASE WHEN s > 0 THEN (b - i) / s ELSE 0 END AS r FROM (SELECT *, b + (size - 1) * i AS s FROM (
+    SELECT (c.b - p.b) / nullif(c.k - p.k, 0) AS b, c.i / nullif(c.n - c.k, 0) AS i,
+      (c.n - p.q) / nullif(c.k - p.k, 0) AS size FROM s_{level} c, s_{above} p))))"""
 
 
 def _rule_sql(give) -> str:
@@ -160,14 +164,16 @@ SQL = f"""WITH parts AS (SELECT page_id,
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 lab AS (SELECT doc_id AS page_id, max(1 - quality) AS bad FROM labels WHERE quality IS NOT NULL GROUP BY 1),
-host AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::bigint AS bad,
+host AS (SELECT *, n * n AS sq FROM (SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::bigint AS bad,
     CASE WHEN {_LAST[2]} IN ({_TWO}) THEN {_LAST[3]} ELSE {_LAST[2]} END AS domain,
     CASE WHEN {_LAST[2]} IN ({_TWO}) THEN {_LAST[2]} ELSE {_LAST[1]} END AS suffix
-  FROM parts LEFT JOIN lab USING (page_id) GROUP BY host),
-domain AS (SELECT domain, suffix, sum(n)::bigint AS n, sum(bad)::bigint AS bad FROM host GROUP BY 1, 2),
-suffix AS (SELECT suffix, sum(n)::bigint AS n, sum(bad)::bigint AS bad FROM domain GROUP BY 1),
-{_weight_sql("suffix")}, {_weight_sql("domain")}, {_weight_sql("host")},
-ms AS (SELECT suffix, (bad + w * mean) / (n + w) AS prior FROM suffix, w_suffix),
+  FROM parts LEFT JOIN lab USING (page_id) GROUP BY host)),
+domain AS (SELECT domain, suffix, sum(n)::bigint AS n, sum(bad)::bigint AS bad, sum(n * n)::bigint AS sq FROM host GROUP BY 1, 2),
+suffix AS (SELECT suffix, sum(n)::bigint AS n, sum(bad)::bigint AS bad, sum(n * n)::bigint AS sq FROM domain GROUP BY 1),
+whole AS (SELECT sum(n)::bigint AS n, sum(bad)::bigint AS bad, sum(n * n)::bigint AS sq FROM suffix),
+{", ".join(map(_sums_sql, ("whole", "suffix", "domain", "host")))},
+{_weight_sql("suffix", "whole")}, {_weight_sql("domain", "suffix")}, {_weight_sql("host", "domain")},
+ms AS (SELECT suffix, (s.bad + w * (t.bad / t.n::double)) / (s.n + w) AS prior FROM suffix s, w_suffix, whole t),
 md AS (SELECT domain, (d.bad + w * prior) / (d.n + w) AS prior FROM domain d JOIN ms USING (suffix), w_domain),
 mh AS (SELECT host, h.n AS n, (h.bad + w * prior) / (h.n + w) AS m, h.n + w AS total
   FROM host h JOIN md USING (domain), w_host),
