@@ -203,11 +203,13 @@ def f6(spark, sf):
         "block_tokens", estimate_tokens(F.col("new_data")))
 
 
-@check("f5_note_entry", "notes", f"SELECT eni_id, {ENTRY} AS entry, {tok(ENTRY)} AS tokens FROM notes "
-       "WHERE description IS NOT NULL")
+ANY_ENTRY = f"CASE WHEN description IS NOT NULL THEN {ENTRY} END"
+
+
+@check("f5_note_entry", "notes", f"SELECT eni_id, {ANY_ENTRY} AS entry, {tok(ANY_ENTRY)} AS tokens FROM notes")
 def f5(spark, sf):
     """F4, F5 and F1"""
-    n = frame(spark, sf, "notes").filter("description IS NOT NULL")
+    n = frame(spark, sf, "notes")
     e = note_entry(F.col("description"), F.col("logged_date"), F.col("eni_id"), F.col("eni_source_type"))
     return n.select("eni_id", e.alias("entry"), estimate_tokens(e).alias("tokens"))
 
@@ -293,8 +295,9 @@ ALL_TABLES = "notes run_log rules context profiles"
 
 def prompts(spark, sf):
     p = freeze(pending(spark, sf))
-    return preparation.prepare_prompts(p, freeze(preparation.group_frame(p)), frame(spark, sf, "context"),
-                                       latest(spark, sf), TEMPLATE, WINDOW, RESERVE, CAP)
+    dressed = preparation.with_room(freeze(preparation.group_frame(p)), frame(spark, sf, "context"),
+                                    latest(spark, sf), TEMPLATE, WINDOW, RESERVE, CAP)
+    return preparation.prepare_prompts(p, dressed, TEMPLATE, WINDOW, RESERVE, CAP)
 
 
 @check("f2_render_prompts", ALL_TABLES,
@@ -325,10 +328,10 @@ def a22(spark, sf):
     return budget.preview(prompts(spark, sf), CAP)
 
 
-BLOCK_SQL = """concat('=== ENI GROUP: ', eni_source_type, '/', subtype, ' (', rows_total, ' records) ===', chr(10),
-  CASE WHEN type_context <> '' THEN concat('## ENI Source Type Context (', eni_source_type, ')', chr(10), type_context, chr(10), chr(10)) ELSE '' END,
-  CASE WHEN subtype_context <> '' THEN concat('## ENI Source Subtype Context (', subtype, ')', chr(10), subtype_context, chr(10), chr(10)) ELSE '' END,
-  '## New Data To Process (', rows_used, ' rows)', chr(10), new_data, chr(10))"""
+BLOCK_SQL = """concat('<<< ', eni_source_type, '/', subtype, ': ', rows_total, ' notes waiting >>>', chr(10),
+  CASE WHEN type_context <> '' THEN concat('About notes of type ', eni_source_type, ':', chr(10), type_context, chr(10), chr(10)) ELSE '' END,
+  CASE WHEN subtype_context <> '' THEN concat('About the subtype ', subtype, ':', chr(10), subtype_context, chr(10), chr(10)) ELSE '' END,
+  'Notes to work in (', rows_used, '):', chr(10), new_data, chr(10))"""
 
 
 @check("a17_combine_groups", ALL_TABLES,

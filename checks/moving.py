@@ -9,9 +9,10 @@ from checks.running import stage_sql
 from checks.selection import stamp, stamp_sql
 from checks.storing import LATEST_SQL, _outbox, profiles, results
 from checks.texts import MATTER, fields, matter
-from dossier.checkpoints import run_folder
+from dossier.checkpoints import freeze, run_folder
 from dossier.sinks import builders, files, writers
 from dossier.sources import files as sources
+from dossier.sources.tables import read_profiles
 from dossier.streaming import intake
 
 NOW = datetime(2024, 1, 1, 12, 0, 0)
@@ -125,13 +126,12 @@ def s9(spark, sf):
 
 @check("s10_read_legacy_log", "run_log", "SELECT contact_id, eni_id FROM run_log")
 def s10(spark, sf):
-    """JSON maps, with empty and broken files among them"""
+    """JSON maps, with empty and broken lines among them"""
     dst = run_folder(spark, "legacy")
     one = F.create_map("contact_id", F.array("eni_id"))
-    frame(spark, sf, "run_log").select(F.to_json(one).alias("value")).write.text(dst)
-    rows = spark.read.text(dst).withColumn("value", F.explode(F.array(
-        F.col("value"), F.lit(""), F.lit('{"broken": ['))))
-    return sources.legacy_rows(rows, "value")
+    lines = F.explode(F.array(F.to_json(one), F.lit(""), F.lit('{"broken": [')))
+    frame(spark, sf, "run_log").select(lines.alias("value")).write.text(dst)
+    return sources.read_legacy_log(spark, dst, lines=True)
 
 
 # ---- table sinks ------------------------------------------------------------------------
@@ -155,8 +155,8 @@ def s13(spark, sf):
     """S13"""
     dst = run_folder(spark, "profiles")
     writers.append_profiles(profiles(spark, sf).select("contact_id", "version", "generator", "sections"), dst)
-    return spark.read.parquet(dst).select("contact_id", "version", "generator", "sections.personal",
-                                          "sections.deals")
+    return read_profiles(spark, dst).select("contact_id", "version", "generator", "sections.personal",
+                                            "sections.deals")
 
 
 @check("s14_write_profile_json", "docs", "SELECT name, doc FROM docs")
@@ -196,11 +196,11 @@ def s17(spark, sf):
     return docs.unionByName(totals)
 
 
-@check("m2_rewrite", "profiles", "SELECT contact_id, version FROM profiles WHERE processing_status <> 'failed'")
+@check("m2_rewrite", "profiles", "SELECT contact_id, version FROM profiles")
 def rewrite(spark, sf):
     """M2, M4, M6: the new content of a table goes to a new path"""
     dst = run_folder(spark, "rewritten")
-    writers.rewrite(frame(spark, sf, "profiles").filter("processing_status <> 'failed'"), dst)
+    writers.rewrite(frame(spark, sf, "profiles"), dst)
     return spark.read.parquet(dst).select("contact_id", "version")
 
 
@@ -220,11 +220,25 @@ def t1(spark, sf):
     n = frame(spark, sf, "notes").withColumn("noted_at", F.coalesce("logged_date", F.lit("2024-01-15").cast("date")).cast("timestamp"))
     dst = run_folder(spark, "stream-out")
     q = intake.stream_notes(stream_of(spark, n.unionByName(n), "stream-in"), frame(spark, sf, "run_log"), dst,
-                            run_folder(spark, "stream-state"), lateness="60 days")
+                            run_folder(spark, "stream-state"))
     q.awaitTermination()
     return spark.read.parquet(dst).select("eni_id", "contact_id")
 
 
+@check("t1_late_notes", "notes run_log",
+       "SELECT n.eni_id, n.contact_id FROM notes n WHERE n.eni_id NOT IN (SELECT eni_id FROM run_log WHERE processing_status = 'completed')")
+def t1_late(spark, sf):
+    """T1 in two runs: the older half of the notes comes after the newer one, some come twice"""
+    n = freeze(frame(spark, sf, "notes").withColumn("noted_at", F.col("logged_date").cast("timestamp")))
+    late = (F.dayofmonth("logged_date") < 15) | F.col("logged_date").isNull()
+    src, dst, state = (run_folder(spark, x) for x in ("stream-in", "stream-out", "stream-state"))
+    for part in (n.filter(~late), n.filter(late).unionByName(n.filter(F.pmod(F.xxhash64("eni_id"), F.lit(3)) == 0))):
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(n.schema).parquet(src)
+        intake.stream_notes(stream, frame(spark, sf, "run_log"), dst, state).awaitTermination()
+    return spark.read.parquet(dst).select("eni_id", "contact_id")
+
+
 @check("t2_stream_metrics", "run_events",
        f"SELECT strftime(time_bucket(INTERVAL '1 hour', happened_at), '%Y-%m-%d %H:%M:%S') AS started, {stage_sql()} FROM run_events "
        "GROUP BY time_bucket(INTERVAL '1 hour', happened_at)")
@@ -233,18 +247,34 @@ def t2(spark, sf):
     ev = frame(spark, sf, "run_events").withColumn("timestamp", F.col("happened_at").cast("timestamp")).drop("happened_at")
     dst = run_folder(spark, "stream-out")
     q = intake.stream_metrics(stream_of(spark, ev, "stream-in"), dst, run_folder(spark, "stream-state"),
-                              every="1 hour", lateness="40 days")
+                              every="1 hour")
     q.awaitTermination()
     df = intake.current_metrics(spark.read.parquet(dst))
     return df.withColumn("started", stamp("interval.start")).drop("interval")
 
 
+@check("t2_late_events", "run_events",
+       f"SELECT strftime(time_bucket(INTERVAL '1 hour', happened_at), '%Y-%m-%d %H:%M:%S') AS started, {stage_sql()} FROM run_events "
+       "GROUP BY time_bucket(INTERVAL '1 hour', happened_at)")
+def t2_late(spark, sf):
+    """T2 in two runs: the first half of the month comes after the second"""
+    ev = freeze(frame(spark, sf, "run_events").withColumn("timestamp", F.col("happened_at").cast("timestamp")).drop("happened_at"))
+    src, dst, state = (run_folder(spark, x) for x in ("stream-in", "stream-out", "stream-state"))
+    late = F.dayofmonth("timestamp") < 15
+    for part in (ev.filter(~late), ev.filter(late)):
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        intake.stream_metrics(stream, dst, state, every="1 hour").awaitTermination()
+    df = intake.current_metrics(spark.read.parquet(dst))
+    return df.withColumn("started", stamp("interval.start")).drop("interval")
+
+
 @check("t3_stream_publish", "profiles master", _outbox(""), LATEST_SQL.format(""))
 def t3(spark, sf):
     """T3, drained"""
-    p = profiles(spark, sf).filter("generator = 'structured_insight'").drop(*SECTIONS)
+    p = profiles(spark, sf).drop(*SECTIONS)
     dst = run_folder(spark, "stream-out")
     q = intake.stream_publish(stream_of(spark, p, "stream-in"), frame(spark, sf, "master"), dst,
                               run_folder(spark, "stream-state"))
     q.awaitTermination()
-    return spark.read.parquet(dst).drop("epoch")
+    return spark.read.parquet(dst).drop("epoch", "version")

@@ -8,11 +8,15 @@ from checks.grouping import ALL_SQL, ALL_TABLES, TEMPLATE, latest, pending, prom
 from checks.registry import PENDING, SECTIONS, check, cut, tok
 from checks.selection import stamp, stamp_sql
 from checks.storing import results
-from dossier.checkpoints import freeze
+from dossier.checkpoints import freeze, run_folder
 from dossier.functions.text import estimate_tokens
 from dossier.operators import budget, generation, metrics, publish, quality, rules
 from dossier.operators.budget import GROUP
-from dossier.plans.run import run_profiles
+from dossier.plans import preparation
+from dossier.plans.publication import publish_latest
+from dossier.plans.run import contact_results, run_profiles
+from dossier.sinks import writers
+from dossier.sources.tables import read_profiles
 
 # own choice: the section that notes of each source type go to
 SECTION_OF = {"click": "personal", "view": "business", "purchase": "deals"}
@@ -105,29 +109,29 @@ def x4(spark, sf):
     def step(wave, state):
         return generation.append_merge(state, wave)
 
-    return generation.fold_groups(bullets, section_texts(spark, sf), step, ("contact_id", "section"))
+    return generation.fold_groups(bullets, section_texts(spark, sf), step)
 
 
 @check("v6_token_loss", "responses profiles",
-       f"SELECT ord, {tok('existing')} AS existing_tokens, {tok('response')} AS response_tokens, CAST({tok('existing')} > 0 AND "
+       f"SELECT ord, version, {tok('existing')} AS existing_tokens, {tok('response')} AS response_tokens, CAST({tok('existing')} > 0 AND "
        f"{tok('response')} < {tok('existing')} AS int) AS is_loss, greatest(0, {tok('existing')} - {tok('response')}) AS lost_tokens "
-       "FROM (SELECT r.ord, r.response, p.business AS existing FROM responses r LEFT JOIN profiles p ON p.contact_id = r.contact_id "
-       "AND p.version = 2)")
+       "FROM (SELECT r.ord, p.version, r.response, p.business AS existing FROM responses r LEFT JOIN profiles p "
+       "ON p.contact_id = r.contact_id)")
 def v6(spark, sf):
     """V6"""
-    old = frame(spark, sf, "profiles").filter("version = 2").select("contact_id", F.col("business").alias("existing"))
+    old = frame(spark, sf, "profiles").select("contact_id", "version", F.col("business").alias("existing"))
     df = generation.token_loss(frame(spark, sf, "responses").join(old, "contact_id", "left"))
-    return df.select("ord", "existing_tokens", "response_tokens", F.col("is_loss").cast("int").alias("is_loss"),
+    return df.select("ord", "version", "existing_tokens", "response_tokens", F.col("is_loss").cast("int").alias("is_loss"),
                      "lost_tokens")
 
 
 @check("a16_contact_tokens", "profiles",
        f"SELECT contact_id, CAST(sum({tok('deals')}) AS bigint) AS est_input_tokens, arg_max({tok('business')}, version) AS "
-       "est_insights_tokens, CAST(sum(version) AS bigint) AS generation_time_seconds FROM profiles WHERE generator = "
-       "'structured_insight' GROUP BY contact_id")
+       "est_insights_tokens, CAST(sum(version) AS bigint) AS generation_time_seconds FROM profiles "
+       "GROUP BY contact_id")
 def a16(spark, sf):
     """A16"""
-    it = frame(spark, sf, "profiles").filter("generator = 'structured_insight'").select(
+    it = frame(spark, sf, "profiles").select(
         "contact_id", F.col("version").alias("ordinal"), F.col("version").alias("seconds"),
         estimate_tokens(F.col("deals")).alias("input_tokens"),
         estimate_tokens(F.col("business")).alias("output_tokens"))
@@ -289,14 +293,79 @@ def echo_clients(broken: str):
     return make
 
 
-def whole_run(spark, sf):
+def whole_run(spark, sf, cap=150, contacts=None):
     return run_profiles(
         frame(spark, sf, "notes"), frame(spark, sf, "run_log"), frame(spark, sf, "rules"),
         frame(spark, sf, "context"), with_sections(frame(spark, sf, "profiles")), latest(spark, sf), TEMPLATE,
-        echo_clients("01"), datetime(2024, 2, 1), window=1200, reserve=100, cap=150,
+        echo_clients("01"), datetime(2024, 2, 1), window=1200, reserve=100, cap=cap, contacts=contacts,
         types=list(RULE_MAP), attempts=1, base_delay=0.0)
 
 
+@check("w1_oversized_head", ALL_TABLES,
+       "SELECT p.contact_id, p.eni_source_type, p.subtype, count(*) AS fitting, max(length(p.eni_id)) AS longest FROM pending p "
+       f"WHERE {tok('entry')} <= 18 GROUP BY 1, 2, 3", PENDING)
+def w1_oversized(spark, sf):
+    """W1 in a prompt: notes larger than the room do not keep the others of their group waiting"""
+    p = freeze(pending(spark, sf))
+    wide = preparation.with_room(freeze(preparation.group_frame(p)), frame(spark, sf, "context"), latest(spark, sf),
+                                 TEMPLATE, 10 ** 6, 100, 10 ** 6)
+    large = preparation.oversized_notes(p, wide.withColumn("budget", F.lit(18)))
+    rest = p.join(large.select("eni_id"), "eni_id", "left_anti")
+    out = preparation.prepare_prompts(rest, wide, TEMPLATE, 10 ** 6, 100, 10 ** 6).filter("rows_used > 0")
+    return out.select(*GROUP, F.col("rows_used").alias("fitting"),
+                      F.array_max(F.transform("used_ids", F.length)).alias("longest"))
+
+
+@check("x4_run_oversized", "notes run_log rules", "SELECT eni_id, 1 AS n FROM pending", PENDING)
+def run_oversized(spark, sf):
+    """Every pending note of a run is logged, or deferred with a reason, once"""
+    out = whole_run(spark, sf, cap=19)
+    seen = out.log.select("eni_id").unionByName(out.deferred.filter("reason IS NOT NULL").select("eni_id"))
+    return seen.groupBy("eni_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@check("run_selected", "notes run_log rules",
+       "SELECT eni_id, 1 AS n FROM pending WHERE contact_id IN (SELECT contact_id FROM notes GROUP BY 1 HAVING count(*) > 2)", PENDING)
+def run_selected(spark, sf):
+    """A run over chosen contacts only"""
+    notes = frame(spark, sf, "notes")
+    chosen = notes.groupBy("contact_id").count().filter("count > 2")
+    out = whole_run(spark, sf, contacts=chosen)
+    seen = out.log.select("eni_id").unionByName(out.deferred.select("eni_id"))
+    return seen.groupBy("eni_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@check("run_totals", "notes run_log rules", "SELECT count(DISTINCT contact_id) AS total_scheduled, true AS adds_up FROM pending", PENDING)
+def totals_of_run(spark, sf):
+    """A9 over a run, its publication and its token losses: the parts add up to the whole"""
+    out = whole_run(spark, sf)
+    answers = freeze(out.iterations)
+    dst = run_folder(spark, "profiles")
+    writers.append_profiles(out.versions, dst, datetime(2024, 2, 1))
+    box, _ = publish_latest(read_profiles(spark, dst), frame(spark, sf, "master"), datetime(2024, 2, 1), force=True)
+    losses = generation.token_loss(answers.withColumn("existing", F.to_json("sections")))
+    t = metrics.run_totals(contact_results(out, box, losses))
+    return t.select("total_scheduled", (F.col("total_completed_success") + F.col("total_failed")
+                                        == F.col("total_scheduled")).alias("adds_up"))
+
+
+@check("s13_round_trip", "notes run_log rules", "SELECT true AS all_read_back")
+def round_trip(spark, sf):
+    """S13, S3 and publication over what a run wrote: sections and times come back as they were"""
+    out = whole_run(spark, sf)
+    dst, now = run_folder(spark, "profiles"), datetime(2024, 2, 1)
+    made = freeze(out.versions)
+    writers.append_profiles(made, dst, now)
+    back = read_profiles(spark, dst)
+    same = made.select("contact_id", "version", F.col("sections.personal").alias("p"), F.col("sections.deals").alias("d"))
+    read = back.filter(F.col("updated_at") == F.lit(now)).select(
+        "contact_id", "version", F.col("sections.personal").alias("p"), F.col("sections.deals").alias("d"))
+    box, _ = publish_latest(back, frame(spark, sf, "master"), now, force=True)
+    empty = box.filter("note_content IS NULL").select("contact_id")
+    lost = same.exceptAll(read).select("contact_id").unionByName(read.exceptAll(same).select("contact_id")).unionByName(empty)
+    return lost.agg((F.count(F.lit(1)) == 0).alias("all_read_back"))
+
+
 @check("x4_profile_run", "profiles")
 def run(spark, sf):
     """The run from notes to versions (rows only here; tests check it against a plain loop)."""

@@ -4,10 +4,12 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from checks.bindings import RULE_MAP, frame
-from checks.registry import check
+from checks.registry import SECTIONS, check
+from dossier.checkpoints import run_folder
 from dossier.operators import ordering, rules, selection
 from dossier.operators.versions import profile_count, profile_filter
-from dossier.sources.tables import profile_page, read_table
+from dossier.sinks.writers import append_profiles
+from dossier.sources.tables import read_notes, read_profiles, read_run_log, read_table
 
 DAY = "CAST(logged_date AS varchar) AS logged_date"
 CUTOFF = datetime(1999, 6, 1)
@@ -44,7 +46,9 @@ def with_sources(df):
        f"SELECT eni_id, contact_id, eni_source_type, eni_source_subtype, description, {DAY} FROM notes")
 def s1(spark, sf):
     """S1"""
-    return noted(frame(spark, sf, "notes"))
+    dst = run_folder(spark, "notes")
+    frame(spark, sf, "notes").write.parquet(dst)
+    return noted(read_notes(spark, dst))
 
 
 @check("s2_read_run_log", "run_log",
@@ -52,19 +56,21 @@ def s1(spark, sf):
        "processing_duration_ms FROM run_log")
 def s2(spark, sf):
     """S2"""
-    return frame(spark, sf, "run_log").select(
+    dst = run_folder(spark, "log")
+    frame(spark, sf, "run_log").write.parquet(dst)
+    return read_run_log(spark, dst).select(
         "eni_id", "contact_id", stamp("processed_at").alias("processed_at"),
         "processing_status", "processing_duration_ms")
 
 
 @check("s2_declared_schema_scan", "",
-       "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+       "SELECT o_orderkey, o_orderstatus FROM orders")
 def s2b(spark, sf):
     """A declared schema of two columns is all the scan reads."""
     from pyspark.sql.types import LongType, StringType, StructField, StructType
     schema = StructType([StructField("o_orderkey", LongType()),
                          StructField("o_orderstatus", StringType())])
-    return read_table(spark, f"{sf}/orders.parquet", schema).filter("o_orderstatus = 'F'")
+    return read_table(spark, f"{sf}/orders.parquet", schema)
 
 
 @check("s3_read_profiles", "profiles",
@@ -73,8 +79,10 @@ def s2b(spark, sf):
        "ORDER BY profiles.updated_at DESC, contact_id, generator, version LIMIT 50 OFFSET 20")
 def s3(spark, sf):
     """S3"""
-    df = with_sources(frame(spark, sf, "profiles"))
-    out = profile_page(df, source_types=["click", "view"], status="completed", limit=50, offset=20)
+    dst = run_folder(spark, "profiles")
+    df = with_sources(frame(spark, sf, "profiles")).withColumn("sections", F.struct(*SECTIONS))
+    append_profiles(df, dst)
+    out = read_profiles(spark, dst, source_types=["click", "view"], status="completed", limit=50, offset=20)
     return out.select("contact_id", "version", stamp("updated_at").alias("updated_at"))
 
 
@@ -109,6 +117,28 @@ def s11(spark, sf):
     return ids.select("contact_id")
 
 
+@check("s11_limit_in_text", "run_log",
+       "SELECT contact_id FROM (SELECT contact_id FROM run_log ORDER BY processed_at DESC, contact_id, pos "
+       "LIMIT 300 OFFSET 40) GROUP BY contact_id")
+def s11b(spark, sf):
+    """A LIMIT in the text and an offset beside it skip first"""
+    frame(spark, sf, "run_log").createOrReplaceTempView("pick_log")
+    return selection.select_contacts_sql(
+        spark, "SELECT contact_id FROM pick_log ORDER BY processed_at DESC, contact_id, pos LIMIT 300;", {},
+        limit=7, offset=40).select("contact_id")
+
+
+@check("s11_limit_in_subquery", "run_log",
+       "SELECT contact_id FROM (SELECT contact_id FROM (SELECT * FROM run_log ORDER BY processed_at, contact_id, pos "
+       "LIMIT 500 OFFSET 3) ORDER BY processed_at DESC, contact_id, pos LIMIT 10 OFFSET 20) GROUP BY contact_id")
+def s11c(spark, sf):
+    """A LIMIT of an inner query, or in a comment, is not the text's own"""
+    frame(spark, sf, "run_log").createOrReplaceTempView("pick_log")
+    return selection.select_contacts_sql(
+        spark, "SELECT contact_id FROM (SELECT * FROM pick_log ORDER BY processed_at, contact_id, pos LIMIT 500 OFFSET 3) "
+        "ORDER BY processed_at DESC, contact_id, pos -- limit 5", {}, limit=10, offset=20).select("contact_id")
+
+
 @check("p1_usable_notes", "notes",
        f"SELECT eni_id, description, {DAY} FROM notes WHERE description IS NOT NULL AND trim(description) <> ''")
 def p1(spark, sf):

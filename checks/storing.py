@@ -298,8 +298,8 @@ def p17(spark, sf):
 
 
 @check("j7_with_master", "notes master",
-       "SELECT n.eni_id, m.record_id AS master_record_id, CASE WHEN m.record_id IS NULL THEN concat('No master record found "
-       "for contact ID: ', n.contact_id) END AS sync_error FROM notes n LEFT JOIN master m ON m.contact_id = n.contact_id")
+       "SELECT n.eni_id, m.record_id AS master_record_id, CASE WHEN m.record_id IS NULL THEN concat('no master record "
+       "for contact ', n.contact_id) END AS sync_error FROM notes n LEFT JOIN master m ON m.contact_id = n.contact_id")
 def j7(spark, sf):
     """J7"""
     m = frame(spark, sf, "master")
@@ -310,7 +310,7 @@ def j7(spark, sf):
 def _outbox(where: str) -> str:
     shown = [f"CASE WHEN {s} <> '' THEN {display(s)} END AS {s}" for s in ("deals", "introductions")]
     return (f"SELECT l.contact_id, m.record_id AS master_record_id, 'profile' AS note_type, {note_content()} AS note_content, "
-            f"{', '.join(shown)}, CASE WHEN m.record_id IS NULL THEN concat('No master record found for contact ID: ', "
+            f"{', '.join(shown)}, CASE WHEN m.record_id IS NULL THEN concat('no master record for contact ', "
             f"l.contact_id) END AS sync_error FROM latest l LEFT JOIN master m ON m.contact_id = l.contact_id {where}")
 
 
@@ -455,7 +455,7 @@ def v3(spark, sf):
 
 
 @check("v4_uncited_sections", "profiles",
-       " UNION ALL ".join(f"SELECT contact_id, version, '{s}' AS section, 'Missing citations in {s}' AS finding FROM profiles WHERE "
+       " UNION ALL ".join(f"SELECT contact_id, version, '{s}' AS section, 'no citation in section {s}' AS finding FROM profiles WHERE "
                           f"{s} <> '' AND NOT regexp_matches({s}, '\\[[^,\\]]+,[^\\]]+\\]')" for s in SECTIONS))
 def v4(spark, sf):
     """V4"""
@@ -471,7 +471,7 @@ def v5(spark, sf):
 
 
 @check("v2_context_findings", "notes context",
-       "SELECT type, subtype, path, 'Context file not found' AS finding FROM context WHERE path NOT IN (SELECT DISTINCT "
+       "SELECT type, subtype, path, 'file of the mapping is missing' AS finding FROM context WHERE path NOT IN (SELECT DISTINCT "
        "concat('c/', eni_source_type, '/', eni_source_subtype, '.md') FROM notes WHERE eni_source_subtype IS NOT NULL)")
 def v2(spark, sf):
     """V2: mapped files without a file, where the notes' own pairs stand for the files"""

@@ -354,8 +354,8 @@ def f19b(spark, sf):
 
 @check("f20_rows_text", "notes run_log rules",
        "SELECT contact_id, eni_source_type, subtype, concat('=== ', upper(eni_source_type), CASE WHEN subtype <> 'null' THEN "
-       "concat(' / ', upper(subtype)) ELSE '' END, ' ===', chr(10), string_agg(concat('ENI ID: ', eni_id, chr(10), 'Date: ', "
-       "coalesce(CAST(logged_date AS varchar), 'Unknown'), chr(10), 'Content: ', description), concat(chr(10), chr(10)) "
+       "concat(' / ', upper(subtype)) ELSE '' END, ' ===', chr(10), string_agg(concat('note = ', eni_id, chr(10), 'on = ', "
+       "coalesce(CAST(logged_date AS varchar), '?'), chr(10), 'says = ', description), concat(chr(10), chr(10)) "
        "ORDER BY eni_id)) AS body FROM kept GROUP BY contact_id, eni_source_type, subtype",
        PENDING + ",\n" + cut("pending", "90"))
 def f20(spark, sf):

@@ -56,13 +56,13 @@ def group_header(source_type: Column, subtype: Column) -> Column:
 def row_text(eni_id: Column, date: Column, member: Column | None, content: Column) -> Column:
     """one note as labelled lines; absent parts are left out."""
     member_line = (F.lit(None).cast("string") if member is None
-                   else F.when(F.length(member) > 0, F.concat(F.lit("Member: "), member)))
+                   else F.when(F.length(member) > 0, F.concat(F.lit("member = "), member)))
     return F.concat_ws(
         "\n",
-        F.concat(F.lit("ENI ID: "), F.coalesce(eni_id, F.lit("Unknown"))),
-        F.concat(F.lit("Date: "), F.coalesce(date.cast("string"), F.lit("Unknown"))),
+        F.concat(F.lit("note = "), F.coalesce(eni_id, F.lit("?"))),
+        F.concat(F.lit("on = "), F.coalesce(date.cast("string"), F.lit("?"))),
         member_line,
-        F.concat(F.lit("Content: "), content))
+        F.concat(F.lit("says = "), content))
 
 
 # The labels each prompt layout uses; the closing lines are our own wording.

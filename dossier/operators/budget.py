@@ -212,15 +212,15 @@ def combine_groups(groups: DataFrame) -> DataFrame:
     A contact has at most as many groups as there are rules, each cut to the budget.
     """
     kind, sub = F.col("eni_source_type"), F.col("subtype")
-    header = F.concat(F.lit("=== ENI GROUP: "), kind, F.lit("/"), sub, F.lit(" ("),
-                      F.col("rows_total").cast("string"), F.lit(" records) ===\n"))
+    header = F.concat(F.lit("<<< "), kind, F.lit("/"), sub, F.lit(": "),
+                      F.col("rows_total").cast("string"), F.lit(" notes waiting >>>\n"))
     type_block = F.when(F.length("type_context") > 0, F.concat(
-        F.lit("## ENI Source Type Context ("), kind, F.lit(")\n"), "type_context", F.lit("\n\n")))
+        F.lit("About notes of type "), kind, F.lit(":\n"), "type_context", F.lit("\n\n")))
     sub_block = F.when(F.length("subtype_context") > 0, F.concat(
-        F.lit("## ENI Source Subtype Context ("), sub, F.lit(")\n"), "subtype_context",
+        F.lit("About the subtype "), sub, F.lit(":\n"), "subtype_context",
         F.lit("\n\n")))
-    data = F.concat(F.lit("## New Data To Process ("), F.col("rows_used").cast("string"),
-                    F.lit(" rows)\n"), "new_data", F.lit("\n"))
+    data = F.concat(F.lit("Notes to work in ("), F.col("rows_used").cast("string"),
+                    F.lit("):\n"), "new_data", F.lit("\n"))
     block = F.concat(header, F.coalesce(type_block, F.lit("")),
                      F.coalesce(sub_block, F.lit("")), data)
     return groups.groupBy("contact_id").agg(

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from dossier.checkpoints import freeze
 from dossier.functions.text import bullets, estimate_tokens, is_blank, norm_bullet, ordered_join
-from dossier.operators.rules import union_groups
 from dossier.schemas import SECTIONS
 
 
@@ -105,15 +104,13 @@ def append_merge(existing: DataFrame, new: DataFrame) -> DataFrame:
     return existing.join(added, keys, "full_outer").select(*keys, merged.alias("text"))
 
 
-def newest_state(steps: list[DataFrame], keys: list[str], contacts: DataFrame | None = None,
-                 step: str = "step") -> DataFrame:
-    """Current row per key from the rows of several steps; ``contacts`` limits it to those."""
-    out = union_groups(*steps)
-    if contacts is not None:
-        out = out.join(contacts, "contact_id", "left_semi")
-    rest = [c for c in out.columns if c not in (*keys, step)]
-    row = F.max_by(F.struct(*rest), step).alias("_r")
-    return out.groupBy(*keys).agg(row).select(*keys, "_r.*")
+def next_state(state: DataFrame, changed: DataFrame) -> DataFrame:
+    """The state after a wave: the rows of the contacts it changed are replaced, and it is written.
+
+    One table holds the current state of all contacts, so a wave reads no earlier wave.
+    """
+    rest = state.join(changed.select("contact_id").distinct(), "contact_id", "left_anti")
+    return freeze(rest.select(*state.columns).unionByName(changed.select(*state.columns)))
 
 
 def wave_numbers(groups: DataFrame) -> list[int]:
@@ -122,24 +119,22 @@ def wave_numbers(groups: DataFrame) -> list[int]:
 
 
 def fold_groups(groups: DataFrame, latest: DataFrame,
-                step: Callable[[DataFrame, DataFrame], DataFrame],
-                keys: tuple[str, ...] = ("contact_id",)) -> DataFrame:
+                step: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """Group k of each contact sees the profile that group k - 1 left.
 
     All contacts advance together: wave k is one whole-table step over the groups with ordinal
     k, so the number of waves is the number of rules and not of contacts.  ``groups`` is written
     once, split by wave.  ``step`` takes the wave's rows and the current profiles of the wave's
-    contacts and returns their profiles after it.  Only these are written, so a wave costs what
-    it changes, and the lineage is one wave deep.
+    contacts and returns all their profiles after it.  Each wave writes the current state anew, so K
+    waves read K tables, and the lineage is one wave deep.
     """
-    key = list(keys)
     work = freeze(groups, ("ordinal",))
-    steps = [latest.withColumn("step", F.lit(0))]
+    state = freeze(latest)
     for k in wave_numbers(work):
         wave = work.filter(F.col("ordinal") == k).drop("ordinal")
-        current = newest_state(steps, key, wave.select("contact_id").distinct())
-        steps.append(freeze(step(wave, current).withColumn("step", F.lit(k))))
-    return newest_state(steps, key)
+        current = state.join(wave.select("contact_id").distinct(), "contact_id", "left_semi")
+        state = next_state(state, step(wave, current.select(*state.columns)))
+    return state
 
 
 def token_loss(df: DataFrame, before: str = "existing", after: str = "response") -> DataFrame:

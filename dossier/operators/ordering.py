@@ -24,28 +24,31 @@ def with_position(df: DataFrame, order: list[Column] | None = None,
     sizes = laid_out.groupBy(part).agg((F.max(row) + 1).alias("_n"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    # one row per partition of the sort, so at most spark.sql.shuffle.partitions rows
-    return (laid_out.join(F.broadcast(starts), part)
+    # one row per partition: Spark sees to its size
+    return (laid_out.join(starts, part)
             .withColumn(name, F.col("_start") + F.col(row) + 1)
             .drop(part, row, "_start"))
 
 
-def number_within(df: DataFrame, keys: list[str], ordinal: str, name: str,
-                  width: int = 1 << 16) -> DataFrame:
-    """1-based number of each row within its key, in the order of an integer column.
+def number_within(df: DataFrame, keys: list[str], ordinal: str, name: str) -> DataFrame:
+    """1-based number of each row within its key, in the order of ``ordinal``.
 
-    ``ordinal`` must be unique within the key.  A key may hold any share of the table: rows are
-    numbered inside slices of ``width`` ordinals, so at most ``width`` rows are sorted together,
-    and the sizes of earlier slices are added.
+    ``ordinal`` must be unique within the key; gaps of any width are fine.  A key may hold any
+    share of the table: rows are range-sorted by key and ordinal and frozen once, and each
+    partition's part of a key gets the number of the key's rows in the partitions before it.
+    The only window is over those parts, at most one per partition and key.
     """
-    sliced = df.withColumn("_slice", F.floor(F.col(ordinal) / width))
-    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, "_slice",
+    row, part = "_row", "_part"
+    laid_out = freeze(df.repartitionByRange(*keys, ordinal).sortWithinPartitions(*keys, ordinal)
+                      .withColumn(row, F.monotonically_increasing_id()))
+    laid_out = laid_out.withColumn(part, F.shiftright(row, 33))
+    parts = laid_out.groupBy(*keys, part).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(part).alias("_of"), "_first",
                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(ordinal))
-    return (sliced.withColumn("_inside", inside)
-            .join(starts, [*keys, "_slice"])
-            .withColumn(name, (F.col("_start") + F.col("_inside")).cast("int"))
-            .drop("_slice", "_inside", "_start"))
+    match = F.col(part) == F.col("_of")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return (laid_out.join(starts, match)
+            .withColumn(name, (F.col("_start") + F.col(row) - F.col("_first") + 1).cast("int"))
+            .select(*df.columns, name))

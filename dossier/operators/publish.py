@@ -56,7 +56,7 @@ def with_master(df: DataFrame, master: DataFrame) -> DataFrame:
     """
     first = master.groupBy("contact_id").agg(F.min("record_id").alias("master_record_id"))
     error = F.when(F.col("master_record_id").isNull(),
-                   F.concat(F.lit("No master record found for contact ID: "), "contact_id"))
+                   F.concat(F.lit("no master record for contact "), "contact_id"))
     return df.join(first, "contact_id", "left").withColumn("sync_error", error)
 
 

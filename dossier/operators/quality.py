@@ -39,7 +39,7 @@ def profile_findings(df: DataFrame, keys: list[str]) -> DataFrame:
 def uncited_sections(df: DataFrame, keys: list[str]) -> DataFrame:
     """V4: sections with text and no citation, one row each."""
     return df.select(*keys, F.explode(uncited(F.col("sections"))).alias("section")).withColumn(
-        "finding", F.concat(F.lit("Missing citations in "), "section"))
+        "finding", F.concat(F.lit("no citation in section "), "section"))
 
 
 def document_findings(docs: DataFrame, keys: list[str], doc: str = "doc") -> DataFrame:
@@ -53,7 +53,7 @@ def document_findings(docs: DataFrame, keys: list[str], doc: str = "doc") -> Dat
 def context_findings(mapping: DataFrame, files: DataFrame) -> DataFrame:
     """V2: mapped context files that do not exist."""
     return mapping.join(files.select("path"), "path", "left_anti").select(
-        "type", "subtype", "path", F.lit("Context file not found").alias("finding"))
+        "type", "subtype", "path", F.lit("file of the mapping is missing").alias("finding"))
 
 
 def corpus_stats(files: DataFrame, types: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 Rows of the inventory: P1, P2, P5-P8, P13, P14, J1-J3, A1-A3, W4, W6, W7, O1-O5, U1, S11.
 """
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -192,14 +193,29 @@ def select_contacts_sql(spark: SparkSession, sql: str, variables: dict[str, str]
                         limit: int | None = None, offset: int | None = None) -> DataFrame:
     """Contacts chosen by the caller's SQL, which names its variables as ``:name``.
 
-    LIMIT and OFFSET are added only where the text has none.  Ids become text, empty ones are
-    dropped and the first occurrence of each keeps its place.  The position is that of the
-    result: where the SQL ends in ORDER BY its rows come as one range-sorted table.
+    LIMIT and OFFSET are added to the text where its outermost query has none; those of inner
+    queries do not count.  So a text with LIMIT and an ``offset`` skip first and limit then.
+    Ids become text, empty ones are dropped and the first occurrence of each keeps its place.
+    The position is that of the result: where the SQL ends in ORDER BY its rows come as one
+    range-sorted table.
     """
-    lower = f" {' '.join(sql.lower().split())} "
-    df = spark.sql(sql, args=variables).select(F.col("contact_id").cast("string"))
-    df = page(df, limit if " limit " not in lower else None,
-              offset if " offset " not in lower else None)
+    text = sql.strip().rstrip(";")
+    outer = _outer_words(text)
+    if limit is not None and "limit" not in outer and "offset" not in outer:
+        text, limit = f"{text}\nLIMIT {int(limit)}", None
+    if offset and "offset" not in outer:
+        text = f"{text}\nOFFSET {int(offset)}"
+    df = spark.sql(text, args=variables).select(F.col("contact_id").cast("string"))
+    if limit is not None and "limit" not in outer:  # a text with OFFSET only takes no LIMIT behind it
+        df = df.limit(limit)
     # partitions of a sorted result follow its order, so this id does too
     placed = df.withColumn("pos", F.monotonically_increasing_id())
     return dedup_ordered(placed.filter(F.col("contact_id") != ""))
+
+
+def _outer_words(sql: str) -> set[str]:
+    """Lower-case words of a query outside of brackets, quotes and comments."""
+    plain = re.sub(r"'(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.DOTALL)
+    while (inner := re.sub(r"\([^()]*\)", " ", plain)) != plain:
+        plain = inner
+    return set(re.findall(r"\w+", plain.lower()))

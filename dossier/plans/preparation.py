@@ -36,20 +36,38 @@ def group_frame(pending: DataFrame) -> DataFrame:
                                        F.count(F.lit(1)).alias("rows_total"))
 
 
-def prepare_prompts(pending: DataFrame, groups: DataFrame, context: DataFrame,
-                    latest: DataFrame, template: str, window: int, reserve: int,
+def with_room(groups: DataFrame, context: DataFrame, latest: DataFrame, template: str, window: int,
+              reserve: int, cap: int) -> DataFrame:
+    """Groups with the parts of their prompt and ``budget``, the room it leaves for notes."""
+    dressed = with_base_tokens(with_profile(with_context(groups, context), latest), template)
+    return dressed.withColumn("budget", available_tokens(F.col("base_tokens"), window, reserve, cap))
+
+
+def _sized(pending: DataFrame, dressed: DataFrame) -> DataFrame:
+    """Ids, days and tokens of the notes beside their group's room; no text."""
+    slim = with_entries(pending).select(*GROUP, "logged_date", "eni_id", "tokens")
+    return slim.join(dressed.select(*GROUP, "budget"), GROUP)
+
+
+def oversized_notes(pending: DataFrame, dressed: DataFrame) -> DataFrame:
+    """Notes that are larger than their group's whole room, and so can never be in a prompt."""
+    return _sized(pending, dressed).filter(F.col("tokens") > F.col("budget"))
+
+
+def prepare_prompts(pending: DataFrame, dressed: DataFrame, template: str, window: int, reserve: int,
                     cap: int) -> DataFrame:
-    """Prompts of the given groups, with the ids of the notes that went into them.
+    """Prompts of the groups of :func:`with_room`, with the ids of the notes that went into them.
 
-    ``pending`` holds the notes of those groups.  The room for notes depends on the rest of the
-    prompt, so it is worked out per group before the cut.
+    ``pending`` holds the notes of those groups.  The cut looks at ids and tokens only; the
+    texts of the notes that fit, which the budget bounds, are joined back.  A note that is
+    larger than the room is passed over, see :func:`oversized_notes`, so that it does not keep
+    the notes behind it waiting.
     """
-    dressed = with_base_tokens(with_profile(with_context(groups, context), latest), template)
-    room = dressed.select(*GROUP, available_tokens(F.col("base_tokens"), window, reserve, cap)
-                          .alias("budget"))
-    kept = budget_cut(with_entries(pending), room, GROUP, ["entry"])
-    blocks = group_blocks(kept)
-    full = (dressed.join(blocks, GROUP, "left")
+    fitting = _sized(pending, dressed).filter(F.col("tokens") <= F.col("budget")).drop("budget")
+    kept = budget_cut(fitting, dressed.select(*GROUP, "budget"), GROUP)
+    texts = with_entries(pending).select(*GROUP, "eni_id", "entry")
+    blocks = group_blocks(kept.join(texts, [*GROUP, "eni_id"]))
+    full = (dressed.drop("budget").join(blocks, GROUP, "left")
             .withColumns({"new_data": F.coalesce("new_data", F.lit("")),
                           "rows_used": F.coalesce("rows_used", F.lit(0)),
                           "tokens_used": F.coalesce("tokens_used", F.lit(0))}))

@@ -16,5 +16,5 @@ def publish_latest(versions: DataFrame, master: DataFrame, now: datetime,
     outbox = build_outbox(planned.filter(F.col("action") == "sync"), master)
     skipped = planned.filter(F.col("action") == "skip").select(
         "contact_id", F.lit(True).alias("success"), F.lit("skipped").alias("action"),
-        F.lit("Sync skipped based on skip criteria").alias("error_message"))
+        F.lit("not due yet").alias("error_message"))
     return outbox, sync_results(outbox).unionByName(skipped)

@@ -10,10 +10,11 @@ from dossier.checkpoints import freeze
 from dossier.functions.responses import parse_response
 from dossier.functions.text import contact_all_id, estimate_tokens, group_id
 from dossier.operators.budget import GROUP
-from dossier.operators.generation import generate, newest_state, wave_numbers
+from dossier.operators.generation import generate, next_state, wave_numbers
 from dossier.operators.rules import group_ordinal, union_groups
 from dossier.operators.versions import assign_versions
-from dossier.plans.preparation import group_frame, pending_notes, prepare_prompts
+from dossier.plans.preparation import (group_frame, oversized_notes, pending_notes, prepare_prompts,
+                                       with_room)
 from dossier.schemas import DEFAULT_GENERATOR
 from dossier.sinks.builders import run_log_rows
 
@@ -25,10 +26,16 @@ NEW_DATA_TOKENS = 12_000
 
 @dataclass
 class RunResult:
-    """Frames of one run; the caller appends ``versions`` and ``log`` with the sinks."""
+    """Frames of one run; the caller appends ``versions`` and ``log`` with the sinks.
+
+    Every pending note is in ``log`` or in ``deferred``.  A note that is larger than the room of
+    its prompt is in ``oversized`` too, and logged as failed with that reason.
+    """
     versions: DataFrame
     log: DataFrame
     iterations: DataFrame
+    oversized: DataFrame
+    deferred: DataFrame
 
 
 def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: DataFrame,
@@ -37,35 +44,44 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
                  prompt_key: str = DEFAULT_GENERATOR, window: int = WINDOW_TOKENS,
                  reserve: int = RESERVE_TOKENS, cap: int = NEW_DATA_TOKENS,
                  types: list[str] | None = None, attempts: int = 3, base_delay: float = 1.0,
-                 concurrency: int | None = None) -> RunResult:
-    """Process every pending group of every contact.
+                 concurrency: int | None = None, contacts: DataFrame | None = None) -> RunResult:
+    """Process every pending group of every contact, or of ``contacts`` (contact_id).
 
     ``latest`` has (contact_id, sections).  Wave k handles the k-th group of all contacts at
     once and sees the profiles of wave k - 1.  The pending notes are written once to the shared
-    folder, split by wave, so a wave reads only its own.
+    folder, split by wave, so a wave reads only its own, and so are the profiles of their contacts.
 
     Only notes that fit the budget are logged: ``completed`` when the response could be read,
     else ``failed``; the others come back in the next run.
     """
-    pending = pending_notes(notes, log, rules, types)
+    if contacts is not None:
+        notes = notes.join(contacts.select("contact_id").distinct(), "contact_id", "left_semi")
+    pending = freeze(pending_notes(notes, log, rules, types))
     groups = freeze(group_ordinal(group_frame(pending)))
     work = freeze(pending.join(groups.select(*GROUP, "ordinal"), GROUP), ("ordinal",))
 
-    steps = [latest.select("contact_id", "sections").withColumn("step", F.lit(0))]
+    state = freeze(latest.select("contact_id", "sections").join(
+        groups.select("contact_id").distinct(), "contact_id", "left_semi"))
     done: list[DataFrame] = []
+    large: list[DataFrame] = []
     for k in wave_numbers(groups) or [1]:
         mine = groups.filter(F.col("ordinal") == k)
-        current = newest_state(steps, ["contact_id"], mine.select("contact_id").distinct())
-        prompts = prepare_prompts(work.filter(F.col("ordinal") == k), mine, context, current,
-                                  template, window, reserve, cap)
+        current = state.join(mine.select("contact_id").distinct(), "contact_id", "left_semi")
+        dressed = freeze(with_room(mine, context, current, template, window, reserve, cap))
+        wave = work.filter(F.col("ordinal") == k)
+        large.append(freeze(oversized_notes(wave, dressed)))
+        prompts = prepare_prompts(wave, dressed, template, window, reserve, cap)
         # frozen at once: a client is called one time per prompt, all later steps see its answer
         out = freeze(_answer(prompts, make_client, attempts, base_delay, concurrency))
         done.append(out)
-        steps.append(out.filter(F.col("sections").isNotNull()).select(
-            "contact_id", "sections", F.lit(k).alias("step")))
-    iterations = union_groups(*done)
+        state = next_state(state, out.filter(F.col("sections").isNotNull()).select("contact_id", "sections"))
+    iterations, oversized = union_groups(*done), union_groups(*large)
+    used = iterations.select(F.explode("used_ids").alias("eni_id"))
+    deferred = (pending.select(*GROUP, "eni_id").join(used, "eni_id", "left_anti")
+                .join(oversized.select("eni_id"), "eni_id", "left_anti")
+                .select(*GROUP, "eni_id", F.lit("no room in this run").alias("reason")))
     return RunResult(_new_versions(iterations, versions, prompt_key, now),
-                     _log_rows(iterations, prompt_key, now), iterations)
+                     _log_rows(iterations, oversized, prompt_key, now), iterations, oversized, deferred)
 
 
 def _answer(prompts: DataFrame, make_client, attempts: int, base_delay: float,
@@ -98,7 +114,7 @@ def _new_versions(iterations: DataFrame, versions: DataFrame, prompt_key: str,
     return assign_versions(stamped, versions)
 
 
-def _log_rows(iterations: DataFrame, prompt_key: str, now: datetime) -> DataFrame:
+def _log_rows(iterations: DataFrame, oversized: DataFrame, prompt_key: str, now: datetime) -> DataFrame:
     unread = F.col("sections").isNull()
     used = iterations.select(
         "contact_id", F.explode("used_ids").alias("eni_id"),
@@ -106,23 +122,50 @@ def _log_rows(iterations: DataFrame, prompt_key: str, now: datetime) -> DataFram
         F.when(unread, F.coalesce("error", F.lit("unreadable response"))).alias("error_message"),
         group_id(F.col("eni_source_type"), F.col("subtype"), F.col("contact_id"),
                  F.col("rows_used")).alias("batch_id"))
-    return run_log_rows(used, F.lit(now), prompt_key)
+    large = oversized.select(
+        "contact_id", "eni_id", F.lit("failed").alias("processing_status"),
+        F.concat(F.lit("note of "), "tokens", F.lit(" tokens exceeds the room of "), "budget").alias("error_message"),
+        group_id(F.col("eni_source_type"), F.col("subtype"), F.col("contact_id"), F.lit(0)).alias("batch_id"))
+    return run_log_rows(used.unionByName(large), F.lit(now), prompt_key)
 
 
-def contact_results(iterations: DataFrame) -> DataFrame:
+def contact_results(result: RunResult, outbox: DataFrame | None = None,
+                    token_losses: DataFrame | None = None) -> DataFrame:
     """One result row per contact of a run, as :func:`dossier.operators.metrics.run_totals` takes.
 
-    The errors of a contact are at most one per group, so the rules bound the list.
+    ``outbox`` is what was published of the run, ``token_losses`` the rows of
+    :func:`dossier.operators.generation.token_loss` over its iterations.  The errors of a contact
+    are at most two per group, so the rules bound the list.
     """
     unread = F.col("sections").isNull()
-    error = F.when(unread, F.concat(
-        "eni_source_type", F.lit("/"), "subtype", F.lit(": "),
-        F.coalesce("error", F.lit("unreadable response"))))
+    group = F.concat("eni_source_type", F.lit("/"), "subtype", F.lit(": "))
+    error = F.when(unread, F.concat(group, F.coalesce("error", F.lit("unreadable response"))))
     zero = F.lit(0).cast("long")
-    per = iterations.groupBy("contact_id").agg(
-        F.array_sort(F.collect_list(error)).alias("errors"),
-        F.coalesce(F.sum(F.when(~unread, F.col("rows_used"))), zero).alias("notes_processed"))
+    parts = result.iterations.select(
+        "contact_id", error.alias("error"), F.when(~unread, F.col("rows_used")).cast("long").alias("notes"),
+        F.when(~unread, 1).cast("long").alias("files"))
+    large = result.oversized.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).select(
+        "contact_id", F.concat(group, "n", F.lit(" notes exceed the room of a prompt")).alias("error"),
+        zero.alias("notes"), zero.alias("files"))
+    per = parts.unionByName(large).groupBy("contact_id").agg(
+        F.array_sort(F.collect_list("error")).alias("errors"),
+        F.coalesce(F.sum("notes"), zero).alias("notes_processed"),
+        F.coalesce(F.sum("files"), zero).alias("files_created"))
+    per = _counted(per, outbox if outbox is None else outbox.filter("sync_error IS NULL"),
+                   {"records_published": F.count(F.lit(1))})
+    losses = token_losses if token_losses is None else token_losses.filter("is_loss")
+    per = _counted(per, losses, {"token_loss_events": F.count(F.lit(1))})
     return per.select(
-        "contact_id", (F.size("errors") == 0).alias("success"), "errors", "notes_processed",
-        *[zero.alias(c) for c in ("files_created", "records_published", "token_loss_events",
-                                  "token_loss_groups_skipped", "token_loss_records_skipped")])
+        "contact_id", (F.size("errors") == 0).alias("success"), "errors", "notes_processed", "files_created",
+        "records_published", "token_loss_events",
+        # a run takes every group: none is skipped for what its answer lost
+        zero.alias("token_loss_groups_skipped"), zero.alias("token_loss_records_skipped"))
+
+
+def _counted(per: DataFrame, rows: DataFrame | None, counts: dict) -> DataFrame:
+    """Counts of ``rows`` per contact beside ``per``; 0 where there are none."""
+    zero = F.lit(0).cast("long")
+    if rows is None:
+        return per.withColumns({name: zero for name in counts})
+    found = rows.groupBy("contact_id").agg(*[c.alias(name) for name, c in counts.items()])
+    return per.join(found, "contact_id", "left").withColumns({name: F.coalesce(name, zero) for name in counts})

@@ -4,10 +4,13 @@ Appends add files and never rewrite; a rewrite goes to a new path, which the cal
 Documents are lines of text files that Spark splits and writes in parallel, one line per
 document, with the document's own name beside it.
 """
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossier.operators.metrics import run_totals
+from dossier.schemas import PROFILE_VERSIONS
 from dossier.sinks.builders import contact_report
 
 
@@ -16,9 +19,30 @@ def append_run_log(rows: DataFrame, dst: str) -> None:
     rows.write.mode("append").partitionBy("processing_status").parquet(dst)
 
 
-def append_profiles(rows: DataFrame, dst: str) -> None:
-    """Append profile versions."""
-    rows.write.mode("append").partitionBy("generator").parquet(dst)
+def storage_profiles(rows: DataFrame, now: datetime | None = None) -> DataFrame:
+    """Profile versions as :data:`dossier.schemas.PROFILE_VERSIONS` stores them.
+
+    ``sections`` become ``insights``; what is not given is NULL, but for the two times, which are
+    ``now``.
+    """
+    def stored(field):
+        name, kind = field.name, field.dataType
+        if name == "insights" and "sections" in rows.columns:
+            have = rows.schema["sections"].dataType.names
+            return F.when(F.col("sections").isNotNull(), F.struct(*[
+                (F.col("sections")[f.name] if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in kind])).alias(name)
+        value = F.col(name) if name in rows.columns else F.lit(None)
+        if name in ("created_at", "updated_at") and now is not None:
+            value = F.coalesce(value, F.lit(now))
+        return value.cast(kind).alias(name)
+
+    return rows.select(*[stored(f) for f in PROFILE_VERSIONS])
+
+
+def append_profiles(rows: DataFrame, dst: str, now: datetime | None = None) -> None:
+    """Append profile versions, in the form that ``read_profiles`` reads."""
+    storage_profiles(rows, now).write.mode("append").partitionBy("generator").parquet(dst)
 
 
 def rewrite(df: DataFrame, dst: str) -> None:

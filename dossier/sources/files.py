@@ -72,10 +72,12 @@ def read_catalog(spark: SparkSession, src: str) -> DataFrame:
             .csv(src, header=True))
 
 
-def read_legacy_log(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a JSON map contact -> ids; an empty or broken file gives no rows."""
-    text = spark.read.text(path, wholetext=True)
-    return legacy_rows(text, "value")
+def read_legacy_log(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Rows of a JSON map contact -> ids per file; an empty or broken file gives no rows.
+
+    With ``lines`` every line is a map, so that a log of any size can be split.
+    """
+    return legacy_rows(spark.read.text(path, wholetext=not lines), "value")
 
 
 def legacy_rows(df: DataFrame, doc: str) -> DataFrame:

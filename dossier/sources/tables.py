@@ -31,9 +31,9 @@ def read_profiles(spark: SparkSession, src: str, fmt: str = "parquet",
                   status: str | None = None, order_by: str = "updated_at",
                   ascending: bool = False, limit: int | None = None,
                   offset: int = 0) -> DataFrame:
-    """S3: profile versions with optional filters, order and page."""
-    return profile_page(read_table(spark, src, PROFILE_VERSIONS, fmt), contacts, source_types,
-                        status, order_by, ascending, limit, offset)
+    """S3: profile versions with optional filters, order and page; ``insights`` read as ``sections``."""
+    stored = storage_sections(read_table(spark, src, PROFILE_VERSIONS, fmt))
+    return profile_page(stored, contacts, source_types, status, order_by, ascending, limit, offset)
 
 
 def profile_page(df: DataFrame, contacts=None, source_types=None, status=None,

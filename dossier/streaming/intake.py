@@ -13,32 +13,55 @@ from dossier.operators.metrics import stage_metrics
 from dossier.operators.publish import build_outbox
 from dossier.operators.selection import unprocessed
 from dossier.operators.versions import latest_versions
+from dossier.schemas import DEFAULT_GENERATOR
 
 
-def new_notes(stream: DataFrame, log: DataFrame, time: str = "noted_at",
-              lateness: str = "1 day") -> DataFrame:
-    """Notes of a stream that are not logged yet, each id once within the lateness."""
-    once = (stream.withColumn(time, F.col(time).cast("timestamp"))
-            .withWatermark(time, lateness).dropDuplicatesWithinWatermark(["eni_id"]))
-    return unprocessed(once, log)
+def new_notes(batch: DataFrame, log: DataFrame, delivered: DataFrame | None = None) -> DataFrame:
+    """Notes of a batch that are neither logged nor delivered yet, each id once.
+
+    A note's date plays no part: late notes are as new as others.
+    """
+    fresh = unprocessed(batch.dropDuplicates(["eni_id"]), log)
+    if delivered is None:
+        return fresh
+    return fresh.join(delivered.select("eni_id").distinct(), "eni_id", "left_anti").select(*batch.columns)
 
 
-def stream_notes(stream: DataFrame, log: DataFrame, dst: str, checkpoint: str,
-                 time: str = "noted_at", lateness: str = "1 day") -> StreamingQuery:
-    """Run :func:`new_notes` over what has arrived and append it to ``dst``."""
-    return (new_notes(stream, log, time, lateness).writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(dst))
+def _earlier(batch: DataFrame, dst: str, epoch: int) -> DataFrame | None:
+    """What the batches before this one wrote."""
+    if epoch == 0:
+        return None
+    return batch.sparkSession.read.parquet(dst).filter(F.col("epoch") < epoch)
+
+
+def stream_notes(stream: DataFrame, log: DataFrame, dst: str, checkpoint: str) -> StreamingQuery:
+    """Run :func:`new_notes` over what has arrived and add it to ``dst``, a folder per batch.
+
+    A batch that is run again after a failure overwrites its own folder, so every note is
+    delivered once.
+    """
+    def write(batch: DataFrame, epoch: int) -> None:
+        new_notes(batch, log, _earlier(batch, dst, epoch)).write.mode("overwrite").parquet(f"{dst}/epoch={epoch}")
+
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def interval_metrics(stream: DataFrame, time: str = "timestamp", every: str = "30 seconds",
-                     lateness: str = "10 minutes") -> DataFrame:
-    """Stage metrics per interval of event time; state is dropped past the lateness."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
+                     lateness: str | None = None) -> DataFrame:
+    """Stage metrics per interval of event time.
+
+    Late events change the interval they belong to.  The state is one row per interval, about a
+    million in a year of half minutes; give a ``lateness`` only where later events may be lost.
+    """
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
+    if lateness is not None:
+        timed = timed.withWatermark(time, lateness)
     return stage_metrics(timed, [F.window(time, every).alias("interval")])
 
 
 def stream_metrics(stream: DataFrame, dst: str, checkpoint: str, time: str = "timestamp",
-                   every: str = "30 seconds", lateness: str = "10 minutes") -> StreamingQuery:
+                   every: str = "30 seconds", lateness: str | None = None) -> StreamingQuery:
     """Append every changed interval with the number of its batch.
 
     A batch that is run again after a failure overwrites its own folder, so nothing is counted
@@ -61,14 +84,26 @@ def current_metrics(stored: DataFrame) -> DataFrame:
 
 def stream_publish(stream: DataFrame, master: DataFrame, dst: str, checkpoint: str,
                    every: str | None = None,
-                   send: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+                   send: Callable[[DataFrame], None] | None = None,
+                   generator: str = DEFAULT_GENERATOR) -> StreamingQuery:
     """Turn newly appended versions into outbox records, each batch's latest per contact.
 
+    Only completed versions of ``generator`` count, and only those newer than what an earlier
+    batch published of the contact, so an old version that arrives late is never sent.
+
     ``every`` is the time between publications, such as ``6 hours``; without it what is there is
     published once.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        outbox = build_outbox(latest_versions(batch), master)
+        done = batch.filter((F.col("processing_status") == "completed") & (F.col("generator") == generator))
+        newest = latest_versions(done)
+        earlier = _earlier(batch, dst, epoch)
+        if earlier is not None:
+            sent = earlier.groupBy("contact_id").agg(F.max("version").alias("_sent"))
+            newest = newest.join(sent, "contact_id", "left").filter(
+                F.col("_sent").isNull() | (F.col("version") > F.col("_sent"))).drop("_sent")
+        numbers = newest.select("contact_id", "version")
+        outbox = build_outbox(newest, master).join(numbers, "contact_id")
         outbox.write.mode("overwrite").parquet(f"{dst}/epoch={epoch}")
         if send is not None:
             send(batch.sparkSession.read.parquet(f"{dst}/epoch={epoch}"))

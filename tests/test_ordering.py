@@ -20,7 +20,7 @@ def test_number_within_a_hot_key(spark):
     rnd = random.Random(2)
     rows = [("hot" if i % 3 else f"k{i % 11}", n) for i, n in enumerate(rnd.sample(range(10**6), 4000))]
     df = spark.createDataFrame(rows, "k STRING, ord LONG")
-    got = {(r["k"], r["ord"]): r["n"] for r in ordering.number_within(df, ["k"], "ord", "n", width=1000).collect()}
+    got = {(r["k"], r["ord"]): r["n"] for r in ordering.number_within(df, ["k"], "ord", "n").collect()}
     for key in {k for k, _ in rows}:
         for n, o in enumerate(sorted(o for k, o in rows if k == key), 1):
             assert got[(key, o)] == n
