@@ -16,7 +16,7 @@ from dossier.llm.wordsets import mix
 #: Lengths of the n-grams, and bits of their hash.
 LENGTHS, BITS = (3, 4, 5, 6), 18
 #: Labelled documents of each class that are learned from, at most.
-PER_CLASS = 4000
+PER_CLASS = 2000
 #: n-grams that get a weight: those whose ratio says most.
 WEIGHTED = 16384
 #: Steps, their size, and the penalty on squared weights.
@@ -59,63 +59,71 @@ class ToxicityModel:
 
 
 def _counted(frames):
-    """Distinct n-grams of each text with their counts."""
+    """Distinct n-grams of each text with their counts, a few texts at a time."""
     for frame in frames:
-        rows = []
-        for doc_id, label, text in zip(frame["doc_id"], frame["label"], frame["text"]):
-            grams = list(_grams(text or ""))
-            found, n = np.unique(np.concatenate(grams), return_counts=True) if grams else (np.zeros(0, int),) * 2
-            rows.append((doc_id, label, found, n))
-        yield pd.DataFrame(rows, columns=["doc_id", "label", "grams", "n"])
-
-
-def fit(labelled: DataFrame, per_class: int = PER_CLASS) -> ToxicityModel | None:
-    """Learn from ``doc_id, text, label`` (0 or 1); None unless both classes are there.
-
-    Ratios and weights come from the same bounded sample: at most ``per_class`` documents of each
-    class, weighted so that the classes keep their shares of all labelled rows.  Sparse counts
-    of the sample are written once; Spark sums them by class, and only the weighted n-grams of
-    the sample come to the driver.
+        for at in range(0, len(frame), 32):
+            part = frame.iloc[at:at + 32]
+            rows = []
+            for text in part["text"]:
+                grams = list(_grams(text or ""))
+                rows.append(np.unique(np.concatenate(grams or [np.zeros(0, np.int32)]), return_counts=True))
+            yield pd.DataFrame({"row": part["row"].to_numpy(), "label": part["label"].to_numpy(),
+                                "weight": part["weight"].to_numpy(),
+                                "total": [int(n.sum()) for _, n in rows], "grams": [g for g, _ in rows],
+                                "n": [n.astype(np.int32) for _, n in rows]})
+
+
+def fit(labelled: DataFrame) -> ToxicityModel | None:
+    """Learn from a bounded sample ``doc_id, text, label, weight``; None unless both labels are there.
+
+    ``weight`` is how many labelled documents a row stands for.  Sparse counts of the sample are
+    written once; Spark sums them by class, the weighted ones are fitted in one task, and only
+    sums and weights of n-grams come to the driver.
     """
-    sizes = {int(r["label"]): r["count"] for r in labelled.groupBy("label").count().collect()}
-    if set(sizes) != {0, 1}:
+    texts = labelled.select(F.xxhash64("doc_id").alias("row"), F.col("label").cast("int"), "weight", "text")
+    counted = freeze(texts.mapInPandas(
+        _counted, "row bigint, label int, weight double, total bigint, grams array<int>, n array<int>"))
+    n_docs = {r["label"]: r["count"] for r in counted.groupBy("label").count().collect()}
+    if set(n_docs) != {0, 1}:
         return None
-    counted = freeze(labelled.select(F.col("doc_id").cast("string"), F.col("label").cast("int"), "text").mapInPandas(
-        _counted, "doc_id string, label int, grams array<int>, n array<int>"))
     by_gram = (counted.select("label", F.explode("grams").alias("gram")).groupBy("gram")
                .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")).toPandas())
     seen = np.ones((2, 1 << BITS))
     seen[1, by_gram["gram"]] += by_gram["pos"]
     seen[0, by_gram["gram"]] += by_gram["neg"]
-    kept_docs = counted.groupBy("label").count().collect()
-    n_docs = {r["label"]: r["count"] for r in kept_docs}
     ratio = np.log(seen[1] / (n_docs[1] + 2)) - np.log(seen[0] / (n_docs[0] + 2))
     said = np.abs(ratio) * np.sqrt(np.minimum(seen.sum(axis=0), 200))
     chosen = np.sort(np.argsort(-said, kind="stable")[:WEIGHTED])
-    place = np.full(1 << BITS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-
-    def slim(frames):
-        for f in frames:
-            keep = [place[np.asarray(g, int)] >= 0 for g in f["grams"]]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "label": f["label"], "total": [int(np.sum(n)) for n in f["n"]],
-                                "grams": [place[np.asarray(g, int)][k] for g, k in zip(f["grams"], keep)],
-                                "n": [np.asarray(n)[k] for n, k in zip(f["n"], keep)]})
-
-    sample = (counted.mapInPandas(slim, "doc_id string, label int, total bigint, grams array<int>, n array<int>")
-              .toPandas().sort_values(["doc_id", "label"]))
-    label = sample["label"].to_numpy(float)
-    share = np.where(label == 1, sizes[1] / n_docs[1], sizes[0] / n_docs[0])
-    share = share / share.sum()
-    lengths = [len(g) for g in sample["grams"]]
-    row = np.repeat(np.arange(len(sample)), lengths)
-    column = np.concatenate([np.asarray(g, int) for g in sample["grams"]])
-    value = (np.concatenate([np.asarray(n, float) for n in sample["n"]])
-             / np.maximum(sample["total"].to_numpy(float), 1)[row] * SCALE * ratio[chosen][column])
-    weights, bias = _descend(row, column, value, label, share, len(chosen))
+    ratios = ratio[chosen]
+    places = counted.sparkSession.createDataFrame(
+        pd.DataFrame({"gram": chosen.astype(np.int32), "place": np.arange(len(chosen), dtype=np.int32)}))
+    of_text = ["row", "label", "weight", "total"]
+    cells = (counted.select(*of_text, F.explode(F.arrays_zip("grams", "n")).alias("at"))
+             .select(*of_text, F.col("at.grams").alias("gram"), "at.n").join(F.broadcast(places), "gram")
+             .select(*of_text, "place", "n"))
+    # a row for each text, so that texts without any weighted n-gram count as well
+    cells = cells.unionByName(counted.select(*of_text, F.lit(-1).alias("place"), F.lit(0).alias("n")))
+    # the sample is bounded, and so is the one group that is fitted
+    fitted = (cells.groupBy(F.lit(0).alias("all")).applyInPandas(
+        lambda frame: _fitted(frame, ratios), "place int, weight double").toPandas().sort_values("place"))
+    weights = fitted["weight"].to_numpy()
     out = np.zeros(1 << BITS, np.float32)
-    out[chosen] = weights * ratio[chosen]
-    return ToxicityModel(out, float(bias))
+    out[chosen] = weights[1:] * ratios
+    return ToxicityModel(out, float(weights[0]))
+
+
+def _fitted(frame: pd.DataFrame, ratios: np.ndarray) -> pd.DataFrame:
+    """The bias, at place -1, and the weight of every n-gram."""
+    frame = frame.sort_values(["row", "label", "place"], ignore_index=True)
+    first = frame["place"] == -1
+    texts = frame[first]
+    row = (np.cumsum(first.to_numpy()) - 1)[~first]
+    cells = frame[~first]
+    column = cells["place"].to_numpy()
+    value = (cells["n"].to_numpy(np.float64) / np.maximum(cells["total"].to_numpy(), 1) * SCALE * ratios[column])
+    share = texts["weight"].to_numpy() / texts["weight"].sum()
+    weights, bias = _descend(row, column, value, texts["label"].to_numpy(float), share, len(ratios))
+    return pd.DataFrame({"place": np.arange(-1, len(ratios)), "weight": np.append(bias, weights)})
 
 
 def _descend(row, column, value, label, share, width):
@@ -131,14 +139,17 @@ def _descend(row, column, value, label, share, width):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """``doc_id, text, label`` of a bounded sample of the labelled documents that are not held out.
+    """``doc_id, text, label, weight`` of a bounded sample of the labelled documents that are not held out.
 
     A document labelled twice counts as toxic if one label says so; null labels are left out.
     The sample is drawn from the labels, so only its ids, 2 * per_class at most, are broadcast.
     """
     known = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
-    sample = bounded_sample(known, "label", per_class)
+    sample = bounded_sample(known, "label", per_class).withColumn("weight", F.lit(1.0))
+    for value, n in known.groupBy("label").count().collect():
+        sample = sample.withColumn("weight", F.when(F.col("label") == value, max(1.0, n / per_class))
+                                   .otherwise(F.col("weight")))
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
 
