@@ -95,9 +95,9 @@ def j9(spark, sf):
 
 
 @check("v1_rule_findings", "notes rules",
-       "SELECT 'warning' AS level, finding, CASE finding WHEN 'not_configured' THEN concat('Type not configured "
-       "for processing: ', eni_source_type) WHEN 'not_in_data' THEN concat('Configured type not found in data: ', "
-       "eni_source_type) ELSE concat('Configured subtype not found in data: ', eni_source_type, '/', subtype) END "
+       "SELECT 'warning' AS level, finding, CASE finding WHEN 'not_configured' THEN concat('type without a rule: "
+       "', eni_source_type) WHEN 'not_in_data' THEN concat('type of a rule without notes: ', "
+       "eni_source_type) ELSE concat('subtype of a rule without notes: ', eni_source_type, '/', subtype) END "
        "AS message FROM found", TYPES)
 def v1(spark, sf):
     """V1"""

@@ -43,6 +43,14 @@ def w2(spark, sf):
         "contact_id", "ord", "version")
 
 
+@check("w2_sparse_ordinals", "profiles",
+       "SELECT ord, CAST(row_number() OVER (ORDER BY ord) AS int) AS version FROM (SELECT ord * 1000003 AS ord FROM new_rows)", NEW_SQL)
+def w2_sparse(spark, sf):
+    """W2 on one contact that holds every row, with gaps of a million between the ordinals"""
+    new = new_rows(spark, sf).withColumns({"contact_id": F.lit("CNT-1"), "ord": F.col("ord") * 1000003})
+    return versions.assign_versions(new, frame(spark, sf, "profiles")).select("ord", "version")
+
+
 @check("w3_with_latest", "profiles",
        "SELECT contact_id, generator, version, CAST(row_number() OVER (PARTITION BY contact_id, generator ORDER BY "
        "version DESC) = 1 AS int) AS is_latest FROM profiles")

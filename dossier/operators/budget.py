@@ -7,6 +7,7 @@ which the budget runs out is looked at row by row, in slices.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dossier.checkpoints import freeze
 from dossier.functions.prompts import token_stats
 from dossier.functions.sections import profile_json
 from dossier.functions.text import (estimate_tokens, note_entry, ordered_join, render)
@@ -43,9 +44,21 @@ def budget_cut(notes: DataFrame, budget: int | DataFrame, keys: list[str] = GROU
        budget: that one must stay, as it ends the group for all notes behind it, and what follows
        it in the slice cannot fit in the group either.
     3. What is left of a group, its whole days and its shrunk slices, is ranked exactly.
+
+    The notes are written once, so what they come from is evaluated once; the cut reads their
+    ids, days and tokens, and ``carry`` is read for the notes that fit.
     """
     carry = carry or []
-    slim = notes.select(*keys, "logged_date", "eni_id", "tokens", *carry)
+    frozen = freeze(notes.select(*keys, "logged_date", "eni_id", "tokens", *carry)
+                    .withColumn("_row", F.monotonically_increasing_id()))
+    kept = _cut(frozen.drop(*carry), budget, keys)
+    if carry:
+        kept = kept.join(frozen.select("_row", *carry), "_row")
+    return kept.select(*keys, "logged_date", "eni_id", "tokens", *carry, "used_before")
+
+
+def _cut(slim: DataFrame, budget: int | DataFrame, keys: list[str]) -> DataFrame:
+    """The cut of :func:`budget_cut` over a written table of ids, days and tokens."""
     newer = (Window.partitionBy(*keys).orderBy(F.desc_nulls_last("logged_date"))
              .rowsBetween(Window.unboundedPreceding, -1))
     days = (slim.groupBy(*keys, "logged_date")
@@ -76,8 +89,7 @@ def budget_cut(notes: DataFrame, budget: int | DataFrame, keys: list[str] = GROU
                          <= F.col("_room"))))
     ranked = (shrunk.withColumn("_to_here", running(keys))
               .filter(F.col("_to_here") <= F.col("_room")))
-    return ranked.withColumn("used_before", F.col("_to_here") - F.col("tokens")).select(
-        *keys, "logged_date", "eni_id", "tokens", *carry, "used_before")
+    return ranked.withColumn("used_before", F.col("_to_here") - F.col("tokens"))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,11 +112,12 @@ def group_stats(grouped: DataFrame, budget: int, keys: list[str] = GROUP) -> Dat
     The id list is that of the notes that fit, which the budget bounds.
     """
     sized = grouped if "tokens" in grouped.columns else with_entries(grouped)
-    kept = budget_cut(sized, budget, keys)
+    slim = freeze(sized.select(*keys, "logged_date", "eni_id", "tokens"))
+    kept = _cut(slim, budget, keys)
     used = kept.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows_used"), F.sum("tokens").alias("tokens_used"),
         F.array_sort(F.collect_list("eni_id")).alias("used_ids"))
-    return (group_totals(sized, keys).join(used, keys, "left")
+    return (group_totals(slim, keys).join(used, keys, "left")
             .select(*keys, "rows_total",
                     F.coalesce("rows_used", F.lit(0)).alias("rows_used"),
                     F.coalesce("tokens_used", F.lit(0)).alias("tokens_used"),

@@ -11,17 +11,21 @@ from dossier.functions.text import bullets, estimate_tokens, is_blank, norm_bull
 from dossier.schemas import SECTIONS
 
 
+#: Calls whose answers a task hands on together.
+BATCH_CALLS = 32
+
+
 def generate(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]],
              attempts: int = 3, base_delay: float = 1.0, concurrency: int | None = None,
-             prompt: str = "prompt") -> DataFrame:
+             prompt: str = "prompt", threads: int = 1) -> DataFrame:
     """Add ``response``, ``error``, ``attempts`` and ``seconds`` to each prompt.
 
     ``seconds`` is the time of the last call.
 
-    ``make_client`` runs once per partition and returns a function from prompt to text.  A call
-    that raises or returns nothing is tried again with doubling delays; when all tries fail the
-    row gets an error and the others go on.  ``concurrency`` bounds how many partitions, and so
-    how many calls, run at a time.
+    ``make_client`` runs once per partition and thread and returns a function from prompt to text.
+    A call that raises or returns nothing is tried again with doubling delays; when all tries fail
+    the row gets an error and the others go on.  A task makes ``threads`` calls at a time and hands
+    on its answers every few calls.  ``concurrency`` bounds the calls of all tasks together.
 
     A retried task calls the client again: a client that must not be called twice for one prompt
     has to be idempotent.  Freeze the result before using it more than once.
@@ -32,33 +36,38 @@ def generate(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]]
         T.StructField("seconds", T.DoubleType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import threading
         import time
-
-        call = make_client()
-        for batch in batches:
-            texts, errors, tries, times = [], [], [], []
-            for text in batch[prompt]:
-                answer, problem, n, started = None, None, 0, time.monotonic()
-                while n < attempts and not answer:
-                    if n:
-                        time.sleep(base_delay * 2 ** (n - 1))
-                    n += 1
-                    started = time.monotonic()
-                    try:
-                        answer = call(text)
-                        problem = None if answer else "empty response"
-                    except Exception as e:  # a failed call is a failed row, never a failed job
-                        answer, problem = None, f"{type(e).__name__}: {e}"
-                times.append(time.monotonic() - started)
-                texts.append(answer or None)
-                errors.append(problem)
-                tries.append(n)
-            yield batch.assign(response=pd.Series(texts, dtype=object, index=batch.index),
-                               error=pd.Series(errors, dtype=object, index=batch.index),
-                               attempts=pd.Series(tries, dtype="int32", index=batch.index),
-                               seconds=pd.Series(times, dtype="float64", index=batch.index))
-
-    spread = prompts if concurrency is None else prompts.repartition(concurrency)
+        from concurrent.futures import ThreadPoolExecutor
+
+        own = threading.local()
+
+        def ask(text: str) -> tuple:
+            if not hasattr(own, "call"):
+                own.call = make_client()
+            answer, problem, n, started = None, None, 0, time.monotonic()
+            while n < attempts and not answer:
+                if n:
+                    time.sleep(base_delay * 2 ** (n - 1))
+                n += 1
+                started = time.monotonic()
+                try:
+                    answer = own.call(text)
+                    problem = None if answer else "empty response"
+                except Exception as e:  # a failed call is a failed row, never a failed job
+                    answer, problem = None, f"{type(e).__name__}: {e}"
+            return answer or None, problem, n, time.monotonic() - started
+
+        with ThreadPoolExecutor(threads) as pool:
+            for whole in batches:
+                for begin in range(0, len(whole), BATCH_CALLS):
+                    batch = whole.iloc[begin:begin + BATCH_CALLS]
+                    done = list(pool.map(ask, batch[prompt]))
+                    columns = zip(("response", "error", "attempts", "seconds"), ("object", "object", "int32", "float64"))
+                    yield batch.assign(**{name: pd.Series([d[i] for d in done], dtype=kind, index=batch.index)
+                                          for i, (name, kind) in enumerate(columns)})
+
+    spread = prompts if concurrency is None else prompts.repartition(max(1, concurrency // threads))
     return spread.mapInPandas(run, schema)
 
 

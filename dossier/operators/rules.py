@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from dossier.checkpoints import freeze
 from dossier.functions.text import norm_subtype
 from dossier.schemas import NULL_SUBTYPE, RULES
 from dossier.sources.local import local_frame
@@ -81,7 +82,8 @@ def reconcile_rules(notes: DataFrame, rules: DataFrame) -> DataFrame:
 
     A rule's own ``null`` row stands for the type, not for a listed subtype.
     """
-    data = with_subtype(notes).select("eni_source_type", "subtype").distinct()
+    # a handful of rows, read three times
+    data = freeze(with_subtype(notes).select("eni_source_type", "subtype").distinct())
     types = key_diff(data.select("eni_source_type"), rules.select("eni_source_type"))
     one_sided = types.filter(F.col("side") != "both").select(
         F.when(F.col("side") == "first", "not_configured").otherwise("not_in_data").alias("finding"),
@@ -97,10 +99,10 @@ def reconcile_rules(notes: DataFrame, rules: DataFrame) -> DataFrame:
 def rule_findings(notes: DataFrame, rules: DataFrame) -> DataFrame:
     """V1: J9 as readable findings."""
     text = (F.when(F.col("finding") == "not_configured",
-                   F.concat(F.lit("Type not configured for processing: "), "eni_source_type"))
+                   F.concat(F.lit("type without a rule: "), F.coalesce("eni_source_type", F.lit("(no type)"))))
             .when(F.col("finding") == "not_in_data",
-                  F.concat(F.lit("Configured type not found in data: "), "eni_source_type"))
-            .otherwise(F.concat(F.lit("Configured subtype not found in data: "),
+                  F.concat(F.lit("type of a rule without notes: "), "eni_source_type"))
+            .otherwise(F.concat(F.lit("subtype of a rule without notes: "),
                                 "eni_source_type", F.lit("/"), "subtype")))
     return reconcile_rules(notes, rules).select(F.lit("warning").alias("level"), "finding",
                                                 text.alias("message"))
