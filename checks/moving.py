@@ -10,6 +10,7 @@ from checks.selection import stamp, stamp_sql
 from checks.storing import LATEST_SQL, _outbox, profiles, results
 from checks.texts import MATTER, fields, matter
 from dossier.checkpoints import freeze, run_folder
+from dossier.operators.ordering import with_position
 from dossier.sinks import builders, files, writers
 from dossier.sources import files as sources
 from dossier.sources.tables import read_profiles
@@ -62,11 +63,17 @@ def s6(spark, sf):
         "name", "contact_id", "eni_id", "length")
 
 
-@check("o6_files_newest")
+@check("o6_files_newest", "profiles",
+       "SELECT contact_id, count(*) AS files, true AS in_order FROM profiles GROUP BY contact_id")
 def o6(spark, sf):
-    """O6 (rows only: file times differ from run to run)"""
-    df = sources.files_newest(sources.list_summaries(spark, summaries(spark, sf)))
-    return df.select("name", "contact_id")
+    """File times differ from run to run, so it is the order that is checked: none is older than the next"""
+    placed = with_position(sources.files_newest(sources.list_summaries(spark, summaries(spark, sf))))
+    placed = placed.select("contact_id", "path", "modificationTime", "pos")
+    after = placed.select((F.col("pos") - 1).alias("pos"), F.col("modificationTime").alias("later"), F.col("path").alias("next"))
+    newer = (F.col("modificationTime") > F.col("later")) | (
+        (F.col("modificationTime") == F.col("later")) & (F.col("path") < F.col("next")))
+    return placed.join(after, "pos", "left").groupBy("contact_id").agg(
+        F.count(F.lit(1)).alias("files"), F.bool_and(F.col("later").isNull() | newer).alias("in_order"))
 
 
 @check("s15_write_documents", "profiles",
