@@ -10,23 +10,27 @@ from dossier.checkpoints import freeze
 def connected(edges: DataFrame) -> DataFrame:
     """``v, component`` for every vertex of ``edges`` (``a, b``): the smallest vertex reachable.
 
-    Every round takes the smallest label among the neighbours and then the label of that label,
-    so long chains shrink by halves.  Labels are written to the shared folder each round, and
-    only a count comes to the driver.  Messages to a vertex of many edges are reduced before
-    they are shuffled.
+    Every round points each vertex to its smallest neighbour, if that is smaller, follows the
+    pointer of that neighbour, and contracts the edges to the vertices pointed at; edges inside a
+    contracted group are gone, so the graph shrinks from round to round.  Each round is written
+    to the shared folder; only whether edges are left comes to the driver.
     """
-    both = freeze(edges.select("a", "b").filter("a <> b").distinct())
-    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = freeze(both.groupBy("a").agg(F.min("b").alias("low"))
-                    .select(F.col("a").alias("v"), F.least("a", "low").alias("component")))
-    while True:
-        heard = (both.join(labels, both["b"] == labels["v"]).groupBy("a")
-                 .agg(F.min("component").alias("heard")))
-        near = labels.join(heard, labels["v"] == heard["a"]).select(
-            "v", F.col("component").alias("before"), F.least("component", "heard").alias("component"))
-        root = near.select(F.col("v").alias("of"), F.col("component").alias("root"))
-        after = freeze(near.join(root, near["component"] == root["of"], "left").select(
-            "v", "before", F.coalesce(F.least("component", "root"), "component").alias("component")))
-        labels = after.select("v", "component")
-        if after.filter("before <> component").isEmpty():
-            return labels
+    edges = freeze(edges.select("a", "b").filter("a <> b").distinct())
+    labels = None
+    while labels is None or not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = freeze(both.groupBy("a").agg(F.min("b").alias("low"))
+                      .select(F.col("a").alias("v"), F.least("a", "low").alias("to")))
+        onward = near.select(F.col("v").alias("of"), F.col("to").alias("on"))
+        step = freeze(near.join(onward, near["to"] == onward["of"], "left")
+                      .select("v", F.coalesce("on", "to").alias("to")))
+        if labels is None:
+            labels = step.withColumnRenamed("to", "component")
+        else:
+            labels = freeze(labels.join(step.withColumnRenamed("v", "of"), F.col("component") == F.col("of"), "left")
+                            .select(labels["v"], F.coalesce("to", "component").alias("component")))
+        from_a = step.select(F.col("v").alias("a"), F.col("to").alias("to_a"))
+        from_b = step.select(F.col("v").alias("b"), F.col("to").alias("to_b"))
+        edges = freeze(edges.join(from_a, "a").join(from_b, "b").filter("to_a <> to_b")
+                       .select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct())
+    return labels

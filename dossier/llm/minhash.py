@@ -19,7 +19,7 @@ SIMILAR = 80
 TREES, DEPTH, LEAST = 32, 8, 3
 #: Rows of a region of an order that are all paired; in larger ones a row is paired with so many
 #: neighbours on either side, which share its longest prefixes, and with the region's hub.
-REGION, NEIGHBOURS = 32, 4
+REGION, NEIGHBOURS = 12, 3
 #: A pair found in small regions is a candidate when so many orders found it.
 VOTES = 4
 #: Documents of a cluster that one task compares with one another.
@@ -187,9 +187,14 @@ def _small_cluster(frame: pd.DataFrame, similar: int) -> pd.DataFrame:
 
 
 def _against_hub(frames, similar: int):
+    """Whether each member is linked with its hub, and its shingles that the hub has not."""
     for f in frames:
-        link = [bool(_linked([x], [y], similar)[0, 0]) for x, y in zip(_sets(f["shingles"]), _sets(f["hub_shingles"]))]
-        yield pd.DataFrame({"a": f["hub"], "b": f["v"], "linked": link})
+        sets, hubs = _sets(f["shingles"]), _sets(f["hub_shingles"])
+        own = [np.setdiff1d(x, y, assume_unique=True) for x, y in zip(sets, hubs)]
+        common = np.array([len(x) - len(o) for x, o in zip(sets, own)], np.int64)
+        sizes = np.array([len(x) + len(y) for x, y in zip(sets, hubs)], np.int64)
+        yield pd.DataFrame({"cluster": f["cluster"], "a": f["hub"], "b": f["v"],
+                            "linked": 100 * common >= similar * (sizes - common), "others": [o.tobytes() for o in own]})
 
 
 def _grid_cell(frame: pd.DataFrame, similar: int) -> pd.DataFrame:
@@ -210,7 +215,7 @@ def _grid_cell(frame: pd.DataFrame, similar: int) -> pd.DataFrame:
 
 def _tokens(batches):
     for batch in batches:
-        for cluster, v, raw in zip(*(batch.column(c).to_pylist() for c in ("cluster", "v", "shingles"))):
+        for cluster, v, raw in zip(*(batch.column(c).to_pylist() for c in ("cluster", "b", "others"))):
             token = pa.array(np.frombuffer(raw, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(token), x)) for x in (cluster, v)] + [token], ["cluster", "v", "token"])
@@ -232,11 +237,12 @@ def _large_clusters(members: DataFrame, edges: DataFrame, similar: int) -> DataF
                  F.countDistinct("v").alias("size")).select("cluster", "size", (-F.col("hub.rank")).alias("hub")))
     hub_sets = hubs.join(members.select(F.col("v").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub")
     star = freeze(members.join(hub_sets.select("cluster", "hub", "hub_shingles"), "cluster")
-                  .select("hub", "v", "shingles", "hub_shingles")
-                  .mapInPandas(lambda frames: _against_hub(frames, similar), "a bigint, b bigint, linked boolean"))
+                  .select("cluster", "hub", "v", "shingles", "hub_shingles")
+                  .mapInPandas(lambda frames: _against_hub(frames, similar),
+                               "cluster bigint, a bigint, b bigint, linked boolean, others binary"))
     links = star.filter("linked").select("a", "b")
     away = star.filter("NOT linked").select(F.col("b").alias("v"))
-    tokens = members.select("cluster", "v", "shingles").mapInArrow(_tokens, "cluster bigint, v bigint, token bigint")
+    tokens = star.select("cluster", "b", "others").mapInArrow(_tokens, "cluster bigint, v bigint, token bigint")
     own = (tokens.groupBy("cluster", "token").agg(F.count("*").alias("df"), F.min("v").alias("v"))
            .filter("df = 1").groupBy("v").agg(F.count("*").alias("own")))
     least = members.groupBy("cluster").agg(F.min("n").alias("least"))
@@ -283,7 +289,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR,
     edges = freeze(forest_pairs(classes))
     clusters = freeze(connected(edges).withColumnRenamed("component", "cluster"))
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    wanted = clusters.join(sizes, "cluster")
+    # texts are dealt out, not sorted; whether the other side is small must not change the plan
+    wanted = clusters.join(sizes, "cluster").hint("shuffle_hash")
     members = freeze(source.join(wanted, source["doc_id"] == wanted["v"]).select("cluster", "size", "v", "text")
                      .mapInArrow(lambda batches: _with_sets(batches, width),
                                  "cluster bigint, size bigint, v bigint, n bigint, shingles binary"))
