@@ -18,7 +18,7 @@ from dossier.llm.tables import table
 
 SEQUENCE_TOKENS, END_ID = 2048, 1
 #: Words a Python worker remembers, and as many of those before them.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 #: What is one token sequence of its own wherever it follows letters.
 PUNCTUATION = ".,;:!?#$%&*()+=/-"
 #: Rows of per-partition totals (16 bytes each) up to which they are broadcast.
@@ -48,9 +48,14 @@ class WordTokenizer:
         self.kind = np.dtype("<u2" if n <= 1 << 16 else "<u4")
         self.code = "HI"[self.kind.itemsize == 4]
         self.characters = _byte_characters()
-        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self._start_afresh()
+
+    def _start_afresh(self) -> None:
+        self.known, self.cores = _Known(self._seen_before), {}
+
+    def _seen_before(self, chunk: str) -> bytes:
+        return self.older[chunk] if chunk in self.older else self._chunk(chunk)
 
     def _whole(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
@@ -67,20 +72,27 @@ class WordTokenizer:
         if core.isalpha() and "\u03a3" not in core:  # capital sigma is lowered by its neighbours in Python only
             low = (core if core.isascii() else unicodedata.normalize("NFC", core)).lower()
             if low.isalpha():
-                if tail and tail not in self.known:
-                    self.known[tail] = self._whole(tail)
-                return self._core(low) + (self.known[tail] if tail else b"")
+                return self._core(low) + self.known[tail] if tail else self._core(low)
         return self._whole(chunk)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
         if len(self.known) > CACHE_WORDS:
-            self.older, self.known, self.cores = self.known, {}, {}
-        known, older = self.known, self.older
-        split = [_chunks(text or "") for text in texts]
-        for chunk in set().union(*split).difference(known):
-            known[chunk] = older[chunk] if chunk in older else self._chunk(chunk)
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+            self.older = dict(self.known)
+            self._start_afresh()
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, _chunks(text or ""))) for text in texts]
+
+
+class _Known(dict):
+    """What is looked up for the first time is asked for and remembered."""
+
+    def __init__(self, ask):
+        self.ask = ask
+
+    def __missing__(self, chunk):
+        found = self[chunk] = self.ask(chunk)
+        return found
 
 
 def _chunks(text: str) -> list[str]:
