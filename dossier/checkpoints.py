@@ -1,6 +1,8 @@
 """Where frozen intermediate results go."""
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,26 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of frozen tables that an enclosing :func:`released_after` removes.
+_KEPT: list[list[str]] = []
+
+
+@contextmanager
+def released_after(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that were frozen inside, once what comes of them has been written.
+
+    ``with released_after(spark): append_profiles(run_profiles(...).versions, dst)``
+    """
+    _KEPT.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _KEPT.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def freeze(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from the written table.
 
@@ -38,6 +60,8 @@ def freeze(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """
     spark = df.sparkSession
     folder = run_folder(spark, "frozen")
+    if _KEPT:
+        _KEPT[-1].append(folder)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder).select(*df.columns)

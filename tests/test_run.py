@@ -179,3 +179,49 @@ def test_client_is_called_once_per_prompt_in_a_run(spark, tmp_path):
                           dt.datetime(2024, 2, 1))
     assert result.versions.count() == 9 and result.log.count() == 9
     assert len(list(tmp_path.iterdir())) == 9
+
+
+def test_oversized_note_does_not_keep_others_waiting(spark):
+    notes = [("E1", "CNT-000001", "click", None, "long " * 800, dt.date(2024, 1, 9)), ("E2", "CNT-000001", "click", None, "short", dt.date(2024, 1, 2)),
+             ("E3", "CNT-000002", "click", None, "long " * 900, None)]
+    result = start(spark, notes, spark.createDataFrame([], RUN_LOG))
+    log = {r["eni_id"]: (r["processing_status"], r["error_message"]) for r in result.log.collect()}
+    assert set(log) == {"E1", "E2", "E3"} and log["E1"][0] == log["E3"][0] == "failed"
+    assert "exceeds the room" in log["E1"][1] and "exceeds" not in (log["E2"][1] or "")
+    assert result.deferred.count() == 0 and result.oversized.count() == 2
+    per = {r["contact_id"]: r for r in contact_results(result).collect()}
+    assert set(per) == {"CNT-000001", "CNT-000002"} and not per["CNT-000002"]["success"]
+
+
+def test_threads_and_cap_of_calls(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def make():
+        import os
+        import time
+        import uuid
+
+        def call(text):
+            mine = f"{folder}/{uuid.uuid4().hex}"
+            open(mine, "w").close()
+            at_once = len(os.listdir(folder))
+            time.sleep(0.05)
+            os.remove(mine)
+            return str(at_once)
+
+        return call
+
+    df = spark.range(60).selectExpr("cast(id AS string) AS prompt")
+    most = [int(r["response"]) for r in generation.generate(df, make, concurrency=6, threads=3).collect()]
+    assert len(most) == 60 and 1 < max(most) <= 6
+
+
+def test_frozen_tables_are_removed(spark):
+    import os
+
+    from dossier.checkpoints import freeze, released_after
+    with released_after(spark):
+        frozen = freeze(spark.range(5))
+        where = os.path.dirname(frozen.inputFiles()[0].removeprefix("file://"))
+        assert frozen.count() == 5 and os.path.isdir(where)
+    assert not os.path.exists(where)
