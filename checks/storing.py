@@ -393,15 +393,15 @@ def s14(spark, sf):
 
 @check("s14_profile_document_parsed", "responses",
        "SELECT ord, json_extract_string(response, '$.personal') AS personal, json_extract_string(response, '$.business') AS "
-       "business, contact_id FROM responses WHERE json_valid(response) AND json_type(response) = 'OBJECT'")
+       "business, json_extract_string(response, '$[0]') AS first, contact_id FROM responses WHERE json_valid(response)")
 def s14b(spark, sf):
-    """S14 for responses that are JSON objects, read back"""
-    df = frame(spark, sf, "responses").filter(
-        F.schema_of_variant(F.try_parse_json("response")).startswith("OBJECT"))
+    """S14 for responses that are JSON, objects and arrays, read back"""
+    df = frame(spark, sf, "responses").filter(F.try_parse_json("response").isNotNull())
     doc = builders.profile_document(F.col("contact_id"), F.lit("E1"), F.col("response"), F.lit("now"))
     v = F.try_parse_json(doc)
     return df.select("ord", F.try_variant_get(v, "$.insights.personal", "string").alias("personal"),
                      F.try_variant_get(v, "$.insights.business", "string").alias("business"),
+                     F.try_variant_get(v, "$.insights[0]", "string").alias("first"),
                      F.try_variant_get(v, "$.metadata.contact_id", "string").alias("contact_id"))
 
 
