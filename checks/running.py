@@ -14,7 +14,7 @@ from dossier.operators import budget, generation, metrics, publish, quality, rul
 from dossier.operators.budget import GROUP
 from dossier.plans import preparation
 from dossier.plans.publication import publish_latest
-from dossier.plans.run import contact_results, run_profiles
+from dossier.plans.run import contact_results, run_combined, run_profiles
 from dossier.sinks import writers
 from dossier.sources.tables import read_profiles
 
@@ -293,6 +293,16 @@ def echo_clients(broken: str):
     return make
 
 
+def json_clients():
+    def make():
+        def call(text):
+            return f'```json\n{{"personal": "{len(text)} characters"}}\n```'
+
+        return call
+
+    return make
+
+
 def whole_run(spark, sf, cap=150, contacts=None):
     return run_profiles(
         frame(spark, sf, "notes"), frame(spark, sf, "run_log"), frame(spark, sf, "rules"),
@@ -316,6 +326,22 @@ def w1_oversized(spark, sf):
                       F.array_max(F.transform("used_ids", F.length)).alias("longest"))
 
 
+@check("run_combined", "notes run_log rules", "SELECT eni_id, 1 AS n, true AS one_version FROM pending", PENDING)
+def combined(spark, sf):
+    """A run of one call per contact: every pending note is logged or deferred, a contact gets one version"""
+    out = run_combined(
+        frame(spark, sf, "notes"), frame(spark, sf, "run_log"), frame(spark, sf, "rules"), frame(spark, sf, "context"),
+        with_sections(frame(spark, sf, "profiles")), latest(spark, sf), TEMPLATE, json_clients(), datetime(2024, 2, 1),
+        window=1200, reserve=100, cap=150, types=list(RULE_MAP), attempts=1, base_delay=0.0)
+    done = F.col("processing_status") == "completed"
+    seen = out.log.select("eni_id", "contact_id", done.alias("done")).unionByName(
+        out.deferred.select("eni_id", "contact_id", F.lit(False).alias("done")))
+    versions = out.versions.filter("sections.personal > ''").groupBy("contact_id").agg(F.count(F.lit(1)).alias("made"))
+    return seen.join(versions, "contact_id", "left").groupBy("eni_id").agg(
+        F.count(F.lit(1)).cast("int").alias("n"), F.bool_and(
+            F.when(F.col("done"), F.coalesce(F.col("made") == 1, F.lit(False))).otherwise(True)).alias("one_version"))
+
+
 @check("x4_run_oversized", "notes run_log rules", "SELECT eni_id, 1 AS n FROM pending", PENDING)
 def run_oversized(spark, sf):
     """Every pending note of a run is logged, or deferred with a reason, once"""

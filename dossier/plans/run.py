@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossier.checkpoints import freeze
-from dossier.functions.responses import parse_response
-from dossier.functions.text import contact_all_id, estimate_tokens, group_id
-from dossier.operators.budget import GROUP
+from dossier.functions.responses import parse_response, parse_response_simple
+from dossier.functions.text import contact_all_id, estimate_tokens, group_id, render
+from dossier.operators.budget import GROUP, PROMPT_KEYS, combine_groups, with_profile
 from dossier.operators.generation import generate, next_state, wave_numbers
 from dossier.operators.rules import group_ordinal, union_groups
 from dossier.operators.versions import assign_versions
@@ -76,12 +76,57 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
         done.append(out)
         state = next_state(state, out.filter(F.col("sections").isNotNull()).select("contact_id", "sections"))
     iterations, oversized = union_groups(*done), union_groups(*large)
-    used = iterations.select(F.explode("used_ids").alias("eni_id"))
-    deferred = (pending.select(*GROUP, "eni_id").join(used, "eni_id", "left_anti")
-                .join(oversized.select("eni_id"), "eni_id", "left_anti")
-                .select(*GROUP, "eni_id", F.lit("no room in this run").alias("reason")))
     return RunResult(_new_versions(iterations, versions, prompt_key, now),
-                     _log_rows(iterations, oversized, prompt_key, now), iterations, oversized, deferred)
+                     _log_rows(iterations, oversized, prompt_key, now), iterations, oversized,
+                     _deferred(pending, iterations, oversized))
+
+
+def run_combined(notes: DataFrame, log: DataFrame, rules: DataFrame, context: DataFrame,
+                 versions: DataFrame, latest: DataFrame, template: str,
+                 make_client: Callable[[], Callable[[str], str]], now: datetime,
+                 prompt_key: str = DEFAULT_GENERATOR, window: int = WINDOW_TOKENS,
+                 reserve: int = RESERVE_TOKENS, cap: int = NEW_DATA_TOKENS,
+                 types: list[str] | None = None, attempts: int = 3, base_delay: float = 1.0,
+                 concurrency: int | None = None) -> RunResult:
+    """One call per contact, whose prompt holds the notes of all its groups.
+
+    Every group is cut to the room it would have alone, so a prompt is at most as many times the
+    ``cap`` as there are rules.
+    """
+    pending = freeze(pending_notes(notes, log, rules, types))
+    groups = freeze(group_frame(pending))
+    dressed = freeze(with_room(groups, context, latest, template, window, reserve, cap))
+    oversized = freeze(oversized_notes(pending, dressed))
+    blocks = freeze(prepare_prompts(pending, dressed, template, window, reserve, cap)
+                    .filter(F.col("rows_used") > 0))
+    # bounded by the rules and their budgets
+    per = blocks.groupBy("contact_id").agg(
+        F.array_sort(F.flatten(F.collect_list("used_ids"))).alias("used_ids"),
+        F.array_sort(F.collect_set("eni_source_type")).alias("eni_source_types"),
+        F.array_sort(F.collect_set("subtype")).alias("eni_source_subtypes"))
+    whole = with_profile(combine_groups(blocks).join(per, "contact_id"), latest)
+    prompt = render(F.lit(template), list(zip(PROMPT_KEYS, [
+        F.col("profile_json"), F.lit(""), F.lit(""), F.col("combined")])))
+    sendable = whole.select(
+        "contact_id", F.lit("all").alias("eni_source_type"), F.lit("all").alias("subtype"),
+        F.lit(1).alias("ordinal"), "rows_total", "rows_used", "used_ids", "eni_source_types",
+        "eni_source_subtypes", prompt.alias("prompt")).withColumn(
+        "input_tokens", estimate_tokens(F.col("prompt")).cast("long"))
+    answered = parse_response_simple(generate(sendable, make_client, attempts, base_delay, concurrency), tail="error")
+    iterations = freeze(answered.drop("prompt").withColumns({
+        "output_tokens": estimate_tokens(F.col("response")).cast("long"),
+        "error": F.coalesce("error", "parse_error")}))
+    return RunResult(_new_versions(iterations, versions, prompt_key, now),
+                     _log_rows(iterations, oversized, prompt_key, now), iterations, oversized,
+                     _deferred(pending, iterations, oversized))
+
+
+def _deferred(pending: DataFrame, iterations: DataFrame, oversized: DataFrame) -> DataFrame:
+    """Pending notes that are in no prompt of the run, though they could be in one."""
+    used = iterations.select(F.explode("used_ids").alias("eni_id"))
+    return (pending.select(*GROUP, "eni_id").join(used, "eni_id", "left_anti")
+            .join(oversized.select("eni_id"), "eni_id", "left_anti")
+            .select(*GROUP, "eni_id", F.lit("no room in this run").alias("reason")))
 
 
 def _answer(prompts: DataFrame, make_client, attempts: int, base_delay: float,
@@ -100,8 +145,9 @@ def _new_versions(iterations: DataFrame, versions: DataFrame, prompt_key: str,
     stamped = iterations.filter(F.col("sections").isNotNull()).select(
         "contact_id", F.lit(DEFAULT_GENERATOR).alias("generator"),
         F.col("ordinal").alias("ord"), contact_all_id(F.col("contact_id")).alias("eni_id"),
-        F.array("eni_source_type").alias("eni_source_types"),
-        F.array("subtype").alias("eni_source_subtypes"),
+        *(["eni_source_types", "eni_source_subtypes"] if "eni_source_types" in iterations.columns else
+          [F.array("eni_source_type").alias("eni_source_types"),
+           F.array("subtype").alias("eni_source_subtypes")]),
         F.concat("eni_source_type", F.lit("/"), "subtype").alias("context_files"),
         F.lit(prompt_key).alias("system_prompt_key"),
         F.lit("completed").alias("processing_status"),
