@@ -18,7 +18,7 @@ from dossier.llm.tables import table
 
 SEQUENCE_TOKENS, END_ID = 2048, 1
 #: Words a Python worker remembers, and as many of those before them.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 #: What is one token sequence of its own wherever it follows letters.
 PUNCTUATION = ".,;:!?#$%&*()+=/-"
 #: Rows of per-partition totals (16 bytes each) up to which they are broadcast.
