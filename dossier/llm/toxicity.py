@@ -23,6 +23,8 @@ WEIGHTED = 16384
 STEPS, RATE, PENALTY = 250, 0.05, 3e-4
 #: n-grams count per so many of the text's.
 SCALE = 1000.0
+#: Places, among those of n-grams, of a text's weight and label.
+WEIGHT, LABEL = -2, -1
 #: Code points hashed in one go.
 BLOCK_CHARS = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -80,7 +82,7 @@ def fit(labelled: DataFrame) -> ToxicityModel | None:
     written once; Spark sums them by class, the weighted ones are fitted in one task, and only
     sums and weights of n-grams come to the driver.
     """
-    texts = labelled.select(F.xxhash64("doc_id").alias("row"), F.col("label").cast("int"), "weight", "text")
+    texts = labelled.select(F.monotonically_increasing_id().alias("row"), F.col("label").cast("int"), "weight", "text")
     counted = freeze(texts.mapInPandas(
         _counted, "row bigint, label int, weight double, total bigint, grams array<int>, n array<int>"))
     n_docs = {r["label"]: r["count"] for r in counted.groupBy("label").count().collect()}
@@ -97,12 +99,13 @@ def fit(labelled: DataFrame) -> ToxicityModel | None:
     ratios = ratio[chosen]
     places = counted.sparkSession.createDataFrame(
         pd.DataFrame({"gram": chosen.astype(np.int32), "place": np.arange(len(chosen), dtype=np.int32)}))
-    of_text = ["row", "label", "weight", "total"]
-    cells = (counted.select(*of_text, F.explode(F.arrays_zip("grams", "n")).alias("at"))
-             .select(*of_text, F.col("at.grams").alias("gram"), "at.n").join(F.broadcast(places), "gram")
-             .select(*of_text, "place", "n"))
-    # a row for each text, so that texts without any weighted n-gram count as well
-    cells = cells.unionByName(counted.select(*of_text, F.lit(-1).alias("place"), F.lit(0).alias("n")))
+    cells = (counted.select("row", "total", F.explode(F.arrays_zip("grams", "n")).alias("at"))
+             .select("row", F.col("at.grams").alias("gram"), (F.col("at.n") / F.col("total")).cast("float").alias("value"))
+             .join(F.broadcast(places), "gram").select("row", "place", "value"))
+    # two rows for each text before its cells, so that texts without any weighted n-gram count as well
+    of_text = F.array(*[F.struct(F.lit(place).alias("place"), F.col(c).cast("float").alias("value"))
+                        for place, c in ((WEIGHT, "weight"), (LABEL, "label"))])
+    cells = cells.unionByName(counted.select("row", F.explode(of_text).alias("t")).select("row", "t.*"))
     # the sample is bounded, and so is the one group that is fitted
     fitted = (cells.groupBy(F.lit(0).alias("all")).applyInPandas(
         lambda frame: _fitted(frame, ratios), "place int, weight double").toPandas().sort_values("place"))
@@ -114,15 +117,16 @@ def fit(labelled: DataFrame) -> ToxicityModel | None:
 
 def _fitted(frame: pd.DataFrame, ratios: np.ndarray) -> pd.DataFrame:
     """The bias, at place -1, and the weight of every n-gram."""
-    frame = frame.sort_values(["row", "label", "place"], ignore_index=True)
-    first = frame["place"] == -1
-    texts = frame[first]
-    row = (np.cumsum(first.to_numpy()) - 1)[~first]
-    cells = frame[~first]
-    column = cells["place"].to_numpy()
-    value = (cells["n"].to_numpy(np.float64) / np.maximum(cells["total"].to_numpy(), 1) * SCALE * ratios[column])
-    share = texts["weight"].to_numpy() / texts["weight"].sum()
-    weights, bias = _descend(row, column, value, texts["label"].to_numpy(float), share, len(ratios))
+    row, place, value = (frame[c].to_numpy() for c in ("row", "place", "value"))
+    order = np.lexsort((place, row))
+    place, value = place[order], value[order]
+    share = value[place == WEIGHT].astype(float)
+    label = value[place == LABEL].astype(float)
+    cells = place >= 0
+    text = (np.cumsum(place == WEIGHT) - 1)[cells].astype(np.int32)
+    column = place[cells]
+    value = value[cells] * SCALE * ratios[column]
+    weights, bias = _descend(text, column, value, label, share / share.sum(), len(ratios))
     return pd.DataFrame({"place": np.arange(-1, len(ratios)), "weight": np.append(bias, weights)})
 
 
