@@ -15,9 +15,7 @@ from dossier.llm.tables import held_out, table
 ORDER = 3
 #: Labelled documents of each language that are learned from, at most.
 PER_LANGUAGE = 1000
-#: Cells (context, symbol, language) of the table of code lengths, at most: 4 bytes each.
-MAX_CELLS = 6_000_000
-#: Bytes of text that are coded in one go.
+#: Bytes of text that are coded in one go, for up to 8 languages.
 BLOCK_BYTES = 1 << 19
 #: Stands before the text, where there is no context yet.
 START = b"\n" * ORDER
@@ -27,44 +25,84 @@ def _raw(text: str | None) -> bytes:
     return (text or "").lower().encode("utf-8", "surrogatepass")
 
 
+def _runs(raw: bytes) -> np.ndarray:
+    """All runs of ORDER + 1 bytes as numbers, the first byte highest."""
+    a = np.frombuffer(raw, np.uint8).astype(np.uint32)
+    gram = a[:-ORDER].copy()
+    for k in range(1, ORDER + 1):
+        gram = (gram << np.uint32(8)) | a[k:len(a) - ORDER + k]
+    return gram
+
+
+@dataclass
+class Sparse:
+    """Bits by key and language, only where there are any: the rows of a key begin at ``first``."""
+
+    keys: np.ndarray  # sorted
+    first: np.ndarray
+    lang: np.ndarray
+    bits: np.ndarray
+
+    @staticmethod
+    def of(cell: np.ndarray, count: int, bits: np.ndarray) -> Sparse:
+        """From sorted ``key * count + language``."""
+        keys, first = np.unique(cell // count, return_index=True)
+        return Sparse(keys, np.append(first, len(cell)), (cell % count).astype(np.int32), bits.astype(np.float32))
+
+    def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of the asked key, language and bits of all rows of ``asked``."""
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[at] == asked)
+        begin, n = self.first[at[hit]], np.diff(self.first)[at[hit]]
+        rows = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(hit, n), self.lang[rows], self.bits[rows]
+
+
 @dataclass
 class LanguageModel:
-    """Code lengths in bits, under frozen counts, of every symbol after every kept context.
+    """Code lengths in bits, under frozen counts, of every seen symbol and of the escape.
 
-    ``symbol`` maps a byte to its number, 0 for bytes never seen; ``state`` maps the last ORDER
-    symbols to the row of the longest kept context that ends them.
+    For each order, ``symbols`` has the bytes seen after a context (key: both) and ``escapes`` one
+    row for a context and language.  Nothing is left out, and no language takes another's room.
     """
 
     languages: list[str]
-    symbol: np.ndarray
-    state: np.ndarray
-    bits: np.ndarray
+    symbols: list[Sparse]
+    escapes: list[Sparse]
 
     def code_lengths(self, texts: list[str | None]) -> np.ndarray:
         """Bits of each text under each language."""
         out = np.zeros((len(texts), len(self.languages)))
+        most = max(ORDER + 1, BLOCK_BYTES * 8 // max(8, len(self.languages)))
         block, size = [], 0
         for k, text in enumerate(texts):
             raw = START + _raw(text)
-            for at in range(ORDER, max(len(raw), ORDER + 1), BLOCK_BYTES):
-                part = raw[at - ORDER:at + BLOCK_BYTES]
+            for at in range(ORDER, max(len(raw), ORDER + 1), most):
+                part = raw[at - ORDER:at + most]
                 if len(part) > ORDER:
                     block.append((k, part))
                     size += len(part)
-                if size >= BLOCK_BYTES:
+                if size >= most:
                     self._add(block, out)
                     block, size = [], 0
         if block:
             self._add(block, out)
         return out
 
+    def _costs(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each run after those before it, under each language."""
+        costs = np.full((len(gram), len(self.languages)), 8.0)  # order -1 gives each byte 8 bits
+        for order in range(ORDER + 1):
+            key = gram & ((1 << 8 * (order + 1)) - 1)
+            row, lang, bits = self.escapes[order].find(key >> 8)
+            costs[row, lang] += bits
+            row, lang, bits = self.symbols[order].find(key)
+            costs[row, lang] = bits
+        return costs.astype(np.float32)
+
     def _add(self, block, out) -> None:
-        a = self.symbol[np.frombuffer(b"".join(p for _, p in block), np.uint8)].astype(np.int32)
-        width = int(self.symbol.max()) + 1
-        context = a[:-ORDER].copy()
-        for k in range(1, ORDER):
-            context = context * width + a[k:k - ORDER]
-        costs = self.bits[self.state[context] * width + a[ORDER:]]
+        gram, at = np.unique(_runs(b"".join(p for _, p in block)), return_inverse=True)
+        costs = self._costs(gram.astype(np.int64))[at]
         lengths = np.array([len(p) for _, p in block])
         starts = np.cumsum(lengths) - lengths
         # the bytes between two texts, which are the next one's context, are not coded
@@ -77,15 +115,8 @@ def _grams(frames):
     """Counts of the runs of ORDER + 1 bytes per language."""
     for frame in frames:
         for lang, texts in frame.groupby("lang")["text"]:
-            found = []
-            for text in texts:
-                a = np.frombuffer(START + _raw(text), np.uint8).astype(np.int64)
-                gram = a[:-ORDER].copy()
-                for k in range(1, ORDER + 1):
-                    gram = gram * 256 + a[k:len(a) - ORDER + k]
-                found.append(gram)
-            gram, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pd.DataFrame({"lang": lang, "gram": gram, "n": n})
+            gram, n = np.unique(np.concatenate([_runs(START + _raw(t)) for t in texts]), return_counts=True)
+            yield pd.DataFrame({"lang": lang, "gram": gram.astype(np.int64), "n": n})
 
 
 def fit(labelled: DataFrame) -> LanguageModel | None:
@@ -94,68 +125,23 @@ def fit(labelled: DataFrame) -> LanguageModel | None:
     ``labelled`` is a bounded sample, and so is the number of its grams that reach the driver.
     """
     grams = (labelled.mapInPandas(_grams, "lang string, gram bigint, n bigint")
-             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas().sort_values(["lang", "gram"]))
+             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     if grams.empty:
         return None
     languages = sorted(grams["lang"].unique())
-    lang = grams["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
+    count = len(languages)
+    lang = grams["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64)
     gram, n = grams["gram"].to_numpy(), grams["n"].to_numpy(float)
-    present = np.unique(np.concatenate([(gram >> (8 * k)) & 255 for k in range(ORDER + 1)]))
-    symbol = np.zeros(256, np.uint8)
-    symbol[present] = np.arange(1, len(present) + 1)
-    width, count = len(present) + 1, len(languages)
-    kept = _kept_contexts(gram, n, width * count)
-    # code lengths of each order from those of the order below; order -1 gives each byte 8 bits
-    base = np.full((1, width, count), 1 / 256)
-    found = {}
+    symbols, escapes = [], []
     for order in range(ORDER + 1):
-        contexts = kept[order]
-        at = np.searchsorted(contexts, (gram >> 8) & ((1 << 8 * order) - 1))
-        at = np.minimum(at, len(contexts) - 1)
-        hit = contexts[at] == ((gram >> 8) & ((1 << 8 * order) - 1))
-        seen = np.zeros((len(contexts), width, count))
-        np.add.at(seen, (at[hit], symbol[gram[hit] & 255], lang[hit]), n[hit])
-        total, kinds = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
-        shorter = base[_rows_of_suffix(contexts, kept[order - 1], order)] if order else base[np.zeros(1, int)]
-        escape = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
-        base = np.where(seen > 0, seen / np.maximum(total + kinds, 1), escape * shorter)
-        found[order] = base
-    offsets = np.cumsum([0] + [len(kept[o]) for o in range(ORDER + 1)])
-    bits = np.concatenate([-np.log2(found[o]) for o in range(ORDER + 1)]).astype(np.float32)
-    return LanguageModel(languages, symbol, _states(kept, offsets, symbol, width), bits.reshape(-1, count))
-
-
-def _rows_of_suffix(contexts, shorter, order):
-    """For each context, the row of its longest proper suffix, which is kept whenever it is."""
-    return np.searchsorted(shorter, contexts & ((1 << 8 * (order - 1)) - 1))
-
-
-def _kept_contexts(gram, n, cells_each):
-    """The contexts of each order, the most frequent first, as far as the table goes."""
-    kept, room = {0: np.zeros(1, np.int64)}, MAX_CELLS // cells_each - 1
-    for order in range(1, ORDER + 1):
-        contexts, inverse = np.unique((gram >> 8) & ((1 << 8 * order) - 1), return_inverse=True)
-        often = np.bincount(inverse, n)
-        if order > 1:
-            parent = contexts & ((1 << 8 * (order - 1)) - 1)
-            held = np.isin(parent, kept[order - 1])
-            contexts, often = contexts[held], often[held]
-        order_of = np.argsort(-often, kind="stable")[:max(room, 0)]
-        kept[order] = np.sort(contexts[order_of])
-        room -= len(kept[order])
-        if not len(kept[order]):
-            kept[order] = kept[order - 1][:1]
-    return kept
-
-
-def _states(kept, offsets, symbol, width):
-    """The row of the longest kept context for all runs of ORDER symbols."""
-    state = np.zeros((width,) * ORDER, np.int32)
-    for order in range(1, ORDER + 1):
-        rows = np.arange(len(kept[order])) + offsets[order]
-        at = tuple(symbol[(kept[order] >> (8 * (order - 1 - k))) & 255] for k in range(order))
-        state[(slice(None),) * (ORDER - order) + at] = rows
-    return state.ravel()
+        cell, back = np.unique((gram & ((1 << 8 * (order + 1)) - 1)) * count + lang, return_inverse=True)
+        seen = np.bincount(back, n)
+        node, back = np.unique((cell // count >> 8) * count + cell % count, return_inverse=True)
+        kinds = np.bincount(back)
+        whole = np.bincount(back, seen) + kinds
+        symbols.append(Sparse.of(cell, count, np.log2(whole[back] / seen)))
+        escapes.append(Sparse.of(node, count, np.log2(whole / kinds)))
+    return LanguageModel(languages, symbols, escapes)
 
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:

@@ -83,6 +83,24 @@ def test_code_lengths(spark):
     assert np.allclose(got, [plain_bits(counts, model.languages, t) for t in texts], rtol=1e-5)
 
 
+def test_every_context_of_many_languages_counts(spark):
+    """40 languages over 90 symbols: a table of all contexts, symbols and languages would be too large to be full."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789 .,;:!?-+*/=()[]{}<>_~^%$#@&|" + "äöüßéèçñøåæœłžšč"
+    train = [("".join(rng.choices(letters, k=600)), f"l{k:02}") for k in range(40)]
+    model = language.fit(spark.createDataFrame(train, "text string, lang string"))
+    counts = defaultdict(lambda: defaultdict(Counter))
+    for text, lang in train:
+        raw = language.START + text.encode()
+        for i in range(language.ORDER, len(raw)):
+            for order in range(language.ORDER + 1):
+                counts[lang][raw[i - order:i]][raw[i]] += 1
+    texts = [train[3][0][50:250], train[39][0], "€ unseen \x00"]
+    got = model.code_lengths(texts)
+    assert np.allclose(got, [plain_bits(counts, model.languages, t) for t in texts], rtol=1e-5)
+    assert [model.languages[b] for b in got[:2].argmin(axis=1)] == ["l03", "l39"]
+
+
 def test_language_of_awkward_texts(spark, monkeypatch):
     docs = awkward_frame(spark)
     model = language.fit(spark.createDataFrame([("alpha beta", "en"), ("été", "fr")], "text string, lang string"))
