@@ -43,8 +43,8 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 tokens."""
-    return packing.pack(docs, packing.default_tokenizer())
+    """The pieces of all documents in sequences of 2048 tokens, with their tokens."""
+    return packing.pack(docs, packing.default_tokenizer(), with_ids=True)
 
 
 STAGES = [

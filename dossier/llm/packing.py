@@ -2,8 +2,8 @@
 from __future__ import annotations
 
 import unicodedata
-import zlib
 from array import array
+from collections import deque
 from functools import lru_cache
 
 import numpy as np
@@ -21,6 +21,8 @@ SEQUENCE_TOKENS, END_ID = 2048, 1
 CACHE_WORDS = 200_000
 #: What is one token sequence of its own wherever it follows letters.
 PUNCTUATION = ".,;:!?#$%&*()+=/-"
+#: Sequences handed on at once, those of one document apart.
+BATCH_SEQUENCES = 256
 #: Rows of per-partition totals (16 bytes each) up to which they are broadcast.
 BROADCAST_TOTALS = 500_000
 
@@ -145,95 +147,107 @@ def _width(ids: bytes, n: int) -> str:
     return "<u2" if len(ids) == 2 * n else "<u4"
 
 
-def _pieces(batches, size: int, with_ids: bool):
-    for batch in batches:
-        cols = {k: [] for k in ("row", "start", "length", "crc", "tokens", "sequence", "offset", "ids")}
-        for row, (ids, n, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("ids", "n", "at")))):
-            values = np.frombuffer(ids, _width(ids, n)).astype("<u4")
-            start = 0
-            while start < n:
-                sequence, offset = divmod(at + start, size)
-                length = min(n - start, size - offset)
-                raw = values[start:start + length].tobytes()
-                for k, v in zip(cols, (row, start, length, zlib.crc32(raw), n, sequence, offset,
-                                       raw if with_ids else b"")):
-                    cols[k].append(v)
-                start += length
-        out = [batch.column("doc_id").take(pa.array(cols["row"], pa.int64())),
-               *[pa.array(cols[k], pa.int64()) for k in ("start", "length", "crc", "tokens", "sequence", "offset")]]
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        if with_ids:
-            out, names = [*out, pa.array(cols["ids"], pa.binary())], [*names, "ids"]
-        yield pa.RecordBatch.from_arrays(out, names)
-
-
-def pack(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE_TOKENS, end_id: int = END_ID,
-         with_ids: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The pieces of all documents, each within one sequence of ``size`` ids.
+def _windows(batches, size: int):
+    """Whole sequences of one contiguous stretch of rows, and boundary records for the others.
 
-    Only the last sequence has room left, so padding is less than ``size`` ids in all.  A null or
-    empty text is its end id alone.  Every row is packed, repeated ids and null ids too; an empty
-    table has no pieces.  Other columns are not read.  Returns ``doc_id, start, length,
-    ids_crc32, doc_tokens, sequence_id, offset`` and, with ``with_ids``, the piece's ids as
-    little-endian 32-bit numbers.
+    Each record lists the pieces that lie in it, in order.
     """
-    kind = docs.schema[doc_id].dataType.simpleString()
-    columns = ", ".join(f"{c} bigint" for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))
-    return positions(docs, tokenizer_path, end_id, text, doc_id).mapInArrow(
-        lambda batches: _pieces(batches, size, with_ids),
-        f"doc_id {kind}, {columns}" + (", ids binary" if with_ids else ""))
-
-
-def _windows(batches, size: int):
-    """Whole sequences of one contiguous stretch of rows, and boundary records for the others."""
-    held, at = [], None
+    held, length, at, docs = [], 0, None, deque()
 
     def cut(final: bool):
-        nonlocal held, at
-        ids = np.concatenate(held) if held else np.zeros(0, "<u4")
-        while len(ids) and at is not None:
+        nonlocal held, length, at
+        ids, done = np.concatenate(held) if held else np.zeros(0, "<u4"), 0
+        while done < len(ids):
             sequence, offset = divmod(at, size)
-            length = min(size - offset, len(ids))
-            if offset + length < size and not final:
+            n = min(size - offset, len(ids) - done)
+            if offset + n < size and not final:
+                break
+            yield sequence, offset, ids[done:done + n].tobytes(), n == size, pieces(at, at + n)
+            done, at = done + n, at + n
+        held, length = [ids[done:]], len(ids) - done
+
+    def pieces(begin: int, end: int):
+        found = []
+        while docs and docs[0][2] < end:
+            doc_id, n, first = docs[0]
+            start, stop = max(begin, first), min(end, first + n)
+            found.append((doc_id, start - first, stop - start, n, start % size))
+            if first + n > end:
                 break
-            yield sequence, offset, ids[:length].tobytes(), length == size
-            ids, at = ids[length:], at + length
-        held = [ids] if len(ids) else []
-
-    def batch_of(rows):
-        seq, off, ids, whole = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(seq, pa.int64()), pa.array(off, pa.int64()),
-                                           pa.array(ids, pa.binary()), pa.array(whole)],
-                                          ["sequence_id", "offset", "ids", "whole"])
+            docs.popleft()
+        return found
+
+    def batch_of(rows, kind):
+        seq, off, ids, whole, parts = zip(*rows)
+        columns = list(zip(*(p for ps in parts for p in ps)))
+        ends = np.cumsum([0] + [len(ps) for ps in parts])
+        of = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, [kind] + [pa.int64()] * 4)],
+                                        ["doc_id", "start", "length", "doc_tokens", "offset"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(seq, pa.int64()), pa.array(off, pa.int64()), pa.array(ids, pa.binary()), pa.array(whole),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), of)],
+            ["sequence_id", "offset", "ids", "whole", "pieces"])
+    kind = None
     for batch in batches:
-        rows = []
-        for ids, n, begin in zip(*(batch.column(c).to_pylist() for c in ("ids", "n", "at"))):
-            if at is None or begin != at + sum(map(len, held)):
+        rows, kind = [], batch.schema.field("doc_id").type
+        for doc_id, ids, n, begin in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "n", "at"))):
+            if at is None or begin != at + length:
                 rows += cut(True)
                 at = begin
             held.append(np.frombuffer(ids, _width(ids, n)).astype("<u4"))
-            if sum(map(len, held)) >= size:
+            docs.append((doc_id, n, begin))
+            length += n
+            if length >= size:
                 rows += cut(False)
+            if len(rows) >= BATCH_SEQUENCES:
+                yield batch_of(rows, kind)
+                rows = []
         if rows:
-            yield batch_of(rows)
+            yield batch_of(rows, kind)
     if rows := list(cut(True)):
-        yield batch_of(rows)
+        yield batch_of(rows, kind)
 
 
-def sequences(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE_TOKENS, end_id: int = END_ID,
-              text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``sequence_id, ids`` (little-endian 32-bit) of every sequence; the last may be shorter.
+def _written(docs: DataFrame, tokenizer_path: str, size: int, end_id: int, text: str, doc_id: str) -> DataFrame:
+    """``sequence_id, ids, pieces`` of every sequence, cut from the documents' ids and written.
 
     Sequences inside a partition are cut where they are; only the boundary records between
     partitions, one sequence each, are shuffled together.
     """
+    kind = docs.schema[doc_id].dataType.simpleString()
     cut = freeze(positions(docs, tokenizer_path, end_id, text, doc_id).mapInArrow(
         lambda batches: _windows(batches, size),
-        "sequence_id bigint, offset bigint, ids binary, whole boolean"))
+        "sequence_id bigint, offset bigint, ids binary, whole boolean, pieces array<struct<"
+        f"doc_id: {kind}, start: bigint, length: bigint, doc_tokens: bigint, offset: bigint>>"))
     rest = (cut.filter("NOT whole").groupBy("sequence_id")
-            .agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
-            .select("sequence_id", F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"])).alias("ids")))
-    return cut.filter("whole").select("sequence_id", "ids").unionByName(rest)
+            .agg(F.array_sort(F.collect_list(F.struct("offset", "ids", "pieces"))).alias("parts"))
+            .select("sequence_id", F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"])).alias("ids"),
+                    F.flatten("parts.pieces").alias("pieces")))
+    return cut.filter("whole").select("sequence_id", "ids", "pieces").unionByName(rest)
+
+
+def sequences(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE_TOKENS, end_id: int = END_ID,
+              text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``sequence_id, ids`` (little-endian 32-bit) of every sequence; the last may be shorter."""
+    return _written(docs, tokenizer_path, size, end_id, text, doc_id).select("sequence_id", "ids")
+
+
+def pack(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE_TOKENS, end_id: int = END_ID,
+         with_ids: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The pieces of all documents, each within one written sequence of ``size`` ids.
+
+    Only the last sequence has room left, so padding is less than ``size`` ids in all.  A null or
+    empty text is its end id alone.  Every row is packed, repeated ids and null ids too; an empty
+    table has no pieces.  Other columns are not read.  Returns ``doc_id, start, length,
+    ids_crc32, doc_tokens, sequence_id, offset`` and, with ``with_ids``, the piece's ids as
+    little-endian 32-bit numbers; checksums and ids are those of the sequence at that place.
+    """
+    pieces = (_written(docs, tokenizer_path, size, end_id, text, doc_id)
+              .select("sequence_id", "ids", F.explode("pieces").alias("p"))
+              .select("sequence_id", "p.*", F.expr(
+                  "substring(ids, cast(4 * p.offset + 1 AS int), cast(4 * p.length AS int))").alias("ids")))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", *(["ids"] if with_ids else []))
 
 
 def default_tokenizer() -> str:

@@ -147,6 +147,25 @@ def test_sequences(spark):
     assert all(len(rows[i]) == 256 for i in range(n // 64))
 
 
+def test_pieces_are_those_of_the_written_sequences(spark, monkeypatch):
+    """Digests and the pipeline's tokens come from the sequences, not from the documents' ids."""
+    path, written = packing.default_tokenizer(), []
+    monkeypatch.setattr(packing, "freeze", lambda df, freeze=packing.freeze: written.append(freeze(df)) or written[-1])
+    docs = awkward_frame(spark).repartition(4)
+    pieces = packing.pack(docs, path, size=64, with_ids=True).collect()
+    cut = [x for x in written if "whole" in x.columns]
+    assert len(cut) == 1
+    records = defaultdict(bytes)
+    for r in sorted(cut[0].collect(), key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset * 4 == len(records[r.sequence_id]) and r.whole == (len(r.ids) == 256)
+        records[r.sequence_id] += r.ids
+    for p in pieces:
+        assert p.ids == records[p.sequence_id][4 * p.offset:4 * (p.offset + p.length)] and p.ids_crc32 == zlib.crc32(p.ids)
+    assert sum(p.length for p in pieces) * 4 == sum(map(len, records.values()))
+    last = corpus_pipeline.pack_sequences(spark, docs, SF).collect()
+    assert all(len(p.ids) == 4 * p.length and p.ids_crc32 == zlib.crc32(p.ids) for p in last)
+
+
 def plain_leaks(texts, items):
     def norm(t):
         return " " + " ".join(re.sub(r"[!-/:-@\[-`{-~]", " ", (t or "").lower()).split()) + " "
