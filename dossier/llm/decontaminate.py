@@ -54,11 +54,15 @@ class Index:
 
 
 def build_index(items: list[tuple[object, str, str]]) -> Index | None:
-    """Index ``(id, question, answer)``; items of fewer than SHINGLE words are left out."""
+    """Index ``(id, question, answer)``; items without words are left out.
+
+    An item of fewer than SHINGLE words has its whole word sequence as its one shingle.
+    """
     q = list(words([x[1].lower() for x in items], punctuation=False))
     a = list(words([x[2].lower() for x in items], punctuation=False))
     whole = [np.concatenate([x, y]) if raw[1] != raw[2] else x for x, y, raw in zip(q, a, items)]
-    keep = [i for i, w in enumerate(whole) if len(w) >= SHINGLE]
+    keep = [i for i, w in enumerate(whole) if len(w)]
+    asked = [w if len(w) < SHINGLE else x for x, w in zip(q, whole)]
     if not keep:
         return None
     segments = [(k, part) for k, i in enumerate(keep) for part in _segments(whole[i])]
@@ -91,8 +95,8 @@ def build_index(items: list[tuple[object, str, str]]) -> Index | None:
     pair, back = np.unique(cells[rare], return_inverse=True)
     high = np.zeros(len(pair))
     np.maximum.at(high, back, impact[rare])
-    return Index([items[i][0] for i in keep], [np.unique(shingles(q[i], SHINGLE)) for i in keep],
-                 [np.unique(a[i]) for i in keep], np.array([max(1, min(SHINGLE, len(q[i]))) for i in keep]),
+    return Index([items[i][0] for i in keep], [np.unique(shingles(asked[i], SHINGLE)) for i in keep],
+                 [np.unique(a[i]) for i in keep], np.array([max(1, min(SHINGLE, len(asked[i]))) for i in keep]),
                  np.array([len(whole[i]) for i in keep]), terms,
                  np.array([k for k, _ in segments]),
                  cells[order], segment[order], impact[order], rest,
@@ -203,9 +207,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     reaches the BM25 threshold of one of its segments, and the passage with its surroundings
     holds QUESTION of the question's word shingles and ANSWER of the answer's words.  Items are
     ``text``, whose last sentence is taken for the answer, or ``question, answer``.  Words are
-    compared in lower case, without ASCII punctuation.  Null and empty texts hold nothing; items
-    of fewer than SHINGLE words, or without an id, are not searched for; repeated rows answer
-    alike.  A large benchmark is searched for in blocks of items, a pass over the texts each.
+    compared in lower case, without ASCII punctuation.  Of an item of fewer than SHINGLE words the
+    passage must hold all words in a row.  Null and empty texts hold nothing; items without
+    words, or without an id, are not searched for; repeated rows answer alike.  A large benchmark is searched for in blocks of items, a pass over the texts each.
     """
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()

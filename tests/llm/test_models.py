@@ -197,6 +197,27 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(frame(spark), benchmark.filter("false")).count() == 0
 
 
+def test_leaks_of_short_items(spark):
+    """Items of one to four words are searched for as a whole, without the cut of plain_leaks."""
+    rng = random.Random(12)
+    items = [("a", "Who wrote Emma?", "Austen"), ("b", "Zyx", ""), ("c", "", "Quux corge"), ("d", "!?", "."),
+             ("e", "Capital of Peru?", "Lima"), ("f", sentence(rng, 30), "long enough")]
+    texts = [f"{sentence(rng, 100)} who wrote Emma -- Austen, {sentence(rng, 200)}", "who once wrote emma austen",
+             "zyx", f"{sentence(rng, 62)} QUUX corge {sentence(rng, 3)}", "corge quux", "Capital of Peru, not Lima",
+             "capital of peru LIMA", None, ""]
+    benchmark = spark.createDataFrame(items, "item_id string, question string, answer string")
+
+    def norm(t):
+        return " " + " ".join(re.sub(r"[!-/:-@\[-`{-~]", " ", (t or "").lower()).split()) + " "
+    want = {(d, i) for d, t in enumerate(texts) for i, q, a in items
+            if norm(q + " " + a).strip() and norm(q + " " + a) in norm(t)}
+    assert want == {(0, "a"), (2, "b"), (3, "c"), (6, "e")}
+    rows = decontaminate.find_leaks(frame(spark, texts), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == sorted(want)
+    left = decontaminate.without_leaks(frame(spark, texts), benchmark)
+    assert {r.doc_id for r in left.collect()} == {1, 4, 5, 7, 8}
+
+
 def test_leaks_of_edited_passages(spark):
     rng = random.Random(4)
     question, answer = sentence(rng, 40), sentence(rng, 8)
