@@ -16,7 +16,7 @@ from dossier.llm.wordsets import mix
 #: Lengths of the n-grams, and bits of their hash.
 LENGTHS, BITS = (3, 4, 5, 6), 18
 #: Labelled documents of each class that are learned from, at most.
-PER_CLASS = 2000
+PER_CLASS = 4000
 #: n-grams that get a weight: those whose ratio says most.
 WEIGHTED = 16384
 #: Steps, their size, and the penalty on squared weights.

@@ -35,6 +35,14 @@ def test_toxicity_of_awkward_texts(spark):
     assert toxicity.score_toxicity(frame(spark, []), model).count() == 0
 
 
+def test_toxicity_learns_from_four_thousand_of_a_class(spark):
+    docs = spark.range(6000).selectExpr("id AS doc_id", "'text' AS text")
+    labels = spark.range(6000).selectExpr("id AS doc_id", "1 AS quality", "int(id < 100) AS toxic")
+    found = Counter(r.label for r in toxicity.training_rows(docs, labels).select("label").collect())
+    toxic = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(100))
+    assert found == {0: 4000, 1: toxic}
+
+
 def test_toxicity_of_a_text_is_that_of_its_blocks(monkeypatch):
     rng = np.random.default_rng(1)
     model = toxicity.ToxicityModel(rng.normal(size=1 << toxicity.BITS).astype(np.float32) / 1000, 0.0)
