@@ -1,6 +1,7 @@
 """Concatenate and cut: documents end to end as tokens, cut into sequences of fixed length."""
 from __future__ import annotations
 
+import re
 import unicodedata
 from array import array
 from collections import deque
@@ -8,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +19,14 @@ from dossier.checkpoints import freeze
 from dossier.llm.tables import table
 
 SEQUENCE_TOKENS, END_ID = 2048, 1
-#: Words a Python worker remembers, and as many of those before them.
-CACHE_WORDS = 200_000
+#: Words a task remembers, and as many of those before them.
+CACHE_WORDS = 150_000
+#: Bytes of text whose chunks are looked up together, and chunks whose ids are laid out in one go.
+TEXT_BYTES, BLOCK_CHUNKS = 16 << 20, 1 << 20
 #: What is one token sequence of its own wherever it follows letters.
 PUNCTUATION = ".,;:!?#$%&*()+=/-"
+_MARKS = re.escape(PUNCTUATION)
+_SIMPLE, _PARTS = re.compile(f"[A-Za-z0-9{_MARKS}]+"), re.compile(f"[a-z]+|[0-9]|[{_MARKS}]+")
 #: Sequences handed on at once, those of one document apart.
 BATCH_SEQUENCES = 256
 #: Rows of per-partition totals (16 bytes each) up to which they are broadcast.
@@ -50,40 +56,65 @@ class WordTokenizer:
         self.kind = np.dtype("<u2" if n <= 1 << 16 else "<u4")
         self.code = "HI"[self.kind.itemsize == 4]
         self.characters = _byte_characters()
-        self.older: dict[str, bytes] = {}
-        self._start_afresh()
-
-    def _start_afresh(self) -> None:
-        self.known, self.cores = _Known(self._seen_before), {}
-
-    def _seen_before(self, chunk: str) -> bytes:
-        return self.older[chunk] if chunk in self.older else self._chunk(chunk)
+        self.forget()
 
     def _whole(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _core(self, low: str) -> bytes:
-        if low not in self.cores:
+    def _word(self, low: str) -> bytes:
+        """Ids of a lower-case word of letters, of a digit or of a run of punctuation."""
+        found = self.older.get(low)
+        if found is None:
             spelt = low if low.isascii() else low.encode().decode("latin-1").translate(self.characters)
-            self.cores[low] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
-        return self.cores[low]
+            found = array(self.code, [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+        return found
 
     def _chunk(self, chunk: str) -> bytes:
-        core = chunk.rstrip(PUNCTUATION)
-        tail = chunk[len(core):]
-        if core.isalpha() and "\u03a3" not in core:  # capital sigma is lowered by its neighbours in Python only
-            low = (core if core.isascii() else unicodedata.normalize("NFC", core)).lower()
-            if low.isalpha():
-                return self._core(low) + self.known[tail] if tail else self._core(low)
+        if _SIMPLE.fullmatch(chunk):
+            return b"".join(map(self.known.__getitem__, _PARTS.findall(chunk.lower())))
+        if not chunk.isascii():
+            core = chunk.rstrip(PUNCTUATION)
+            low = unicodedata.normalize("NFC", core).lower()
+            # capital sigma is lowered by its neighbours in Python only
+            if core.isalpha() and low.isalpha() and "\u03a3" not in core:
+                tail = chunk[len(core):]
+                return self.known[low] + self.known[tail] if tail else self.known[low]
         return self._whole(chunk)
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian ids of each text, without the end id."""
+    def forget(self) -> None:
+        """Let go of the remembered words, as a worker may do other work next."""
+        self.older: dict[str, bytes] = {}
+        self.known = _Known(self._word)
+
+    def ids(self, texts: pa.Array, end_id: int) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """Little-endian ids of each text with ``end_id`` behind them, and how many there are.
+
+        Equal chunks of the texts are found by Arrow, so each is looked up once; their ids are laid
+        out by position, a bounded number of chunks at a time.
+        """
         if len(self.known) > CACHE_WORDS:
             self.older = dict(self.known)
-            self._start_afresh()
-        ids_of = self.known.__getitem__
-        return [b"".join(map(ids_of, _chunks(text or ""))) for text in texts]
+            self.known = _Known(self._word)
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        found = [*map(self._chunk, chunks.dictionary.to_pylist()), np.array([end_id], self.kind).tobytes()]
+        pool = np.frombuffer(b"".join(found), self.kind)
+        length = np.array([len(f) for f in found], np.int64) // self.kind.itemsize
+        first = np.cumsum(length) - length
+        size = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.insert(chunks.indices.to_numpy(zero_copy_only=False), np.cumsum(size), len(found) - 1)
+        n = np.add.reduceat(length[at], np.cumsum(size + 1) - size - 1) if len(at) else np.zeros(0, np.int64)
+        out, done = np.empty(int(n.sum()), self.kind), 0
+        for begin in range(0, len(at), BLOCK_CHUNKS):
+            some = at[begin:begin + BLOCK_CHUNKS]
+            lengths = length[some]
+            stop = np.cumsum(lengths)
+            total = int(lengths.sum())
+            out[done:done + total] = pool[np.arange(total) + np.repeat(first[some] - (stop - lengths), lengths)]
+            done += total
+        offsets = np.concatenate([[0], np.cumsum(n)]) * self.kind.itemsize
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)]), n
 
 
 class _Known(dict):
@@ -97,31 +128,36 @@ class _Known(dict):
         return found
 
 
-def _chunks(text: str) -> list[str]:
-    for white in "\t\n\x0b\x0c\r":
-        text = text.replace(white, " ")
-    return text.split(" ")
-
-
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
     """One per Python worker."""
     return WordTokenizer(path)
 
 
+def _shares(texts: pa.Array, most: int):
+    """Slices of ``texts`` of about ``most`` bytes, or of one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield at, stop - at
+        at = stop
+
+
 def _tokenized(batches, path: str, end_id: int):
     words, start, part = tokenizer(path), 0, TaskContext.get().partitionId()
-    end = np.array([end_id], words.kind).tobytes()
-    for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            rows = batch.slice(at, 64)
-            ids = [i + end for i in words.ids(rows.column("text").to_pylist())]
-            n = np.array([len(i) // words.kind.itemsize for i in ids], np.int64)
-            before = start + np.cumsum(n) - n
-            start += int(n.sum())
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(ids, pa.binary()), pa.array(n), pa.array(before),
-                 pa.array(np.full(len(ids), part))], ["doc_id", "ids", "n", "before", "part"])
+    try:
+        for batch in batches:
+            for at, rows in _shares(batch.column("text"), TEXT_BYTES):
+                ids, n = words.ids(batch.column("text").slice(at, rows), end_id)
+                before = start + np.cumsum(n) - n
+                start += int(n.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, rows), ids.cast(pa.binary()), pa.array(n), pa.array(before),
+                     pa.array(np.full(len(n), part))], ["doc_id", "ids", "n", "before", "part"])
+    finally:
+        words.forget()
 
 
 def positions(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, text: str = "text",

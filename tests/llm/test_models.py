@@ -43,6 +43,62 @@ def test_toxicity_learns_from_four_thousand_of_a_class(spark):
     assert found == {0: 4000, 1: toxic}
 
 
+def test_toxicity_takes_the_smallest_hashes_and_no_other_labels(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'text' AS text")
+    labels = spark.range(3000).selectExpr("id AS doc_id", "1 AS quality", "int(id % 4) AS toxic")
+    rows = toxicity.training_rows(docs, labels, per_class=50).select("doc_id", "label", "weight").collect()
+    hashes = {r.id: r.h for r in spark.range(3000).selectExpr("id", "xxhash64(id) AS h").collect()}
+    for label in (0, 1):
+        known = [i for i in range(3000) if i % 4 == label and zlib.crc32(str(i).encode()) % 5]
+        assert {r.doc_id for r in rows if r.label == label} == set(sorted(known, key=hashes.get)[:50])
+        assert {r.weight for r in rows if r.label == label} == {len(known) / 50}
+    assert {r.label for r in rows} == {0, 1}
+
+
+def plain_fit(docs):
+    """The classifier by dictionaries: ``docs`` of (text, label), all n-grams weighted."""
+    grams = [Counter(g for block in toxicity._grams(t) for g in block.tolist()) for t, _ in docs]
+    labels = [y for _, y in docs]
+    seen = {y: Counter(g for c, l in zip(grams, labels) if l == y for g in c) for y in (0, 1)}
+    ratio = {g: np.log((1 + seen[1][g]) / (labels.count(1) + 2)) - np.log((1 + seen[0][g]) / (labels.count(0) + 2))
+             for c in grams for g in c}
+    x = [{g: toxicity.SCALE * n / sum(c.values()) * ratio[g] for g, n in c.items()} for c in grams]
+    w, b = dict.fromkeys(ratio, 0.0), 0.0
+    first, second, step = {}, {}, 0
+    for step in range(1, toxicity.STEPS + 1):
+        slope = [(1 / (1 + np.exp(-(sum(w[g] * v for g, v in c.items()) + b))) - y) / len(docs) for c, y in zip(x, labels)]
+        slopes = {g: toxicity.PENALTY * w[g] for g in w}
+        for c, s in zip(x, slope):
+            for g, v in c.items():
+                slopes[g] += v * s
+        slopes[None] = sum(slope)
+        for g, s in slopes.items():
+            first[g] = 0.9 * first.get(g, 0) + 0.1 * s
+            second[g] = 0.999 * second.get(g, 0) + 0.001 * s * s
+            move = toxicity.RATE * first[g] / (1 - 0.9 ** step) / (np.sqrt(second[g] / (1 - 0.999 ** step)) + 1e-8)
+            if g is None:
+                b -= move
+            else:
+                w[g] -= move
+
+    def score(text):
+        c = Counter(g for block in toxicity._grams(text) for g in block.tolist())
+        z = sum(toxicity.SCALE * n / sum(c.values()) * ratio.get(g, 0) * w.get(g, 0) for g, n in c.items()) + b
+        return 1 / (1 + np.exp(-z))
+    return score
+
+
+def test_toxicity_fit_and_scores_against_a_plain_loop(spark):
+    rng = random.Random(2)
+    words = {0: "kind warm calm green".split(), 1: "vile foul nasty green".split()}
+    docs = [(" ".join(rng.choices(words[y], k=4)), y) for y in (0, 1) * 8]
+    rows = [(i, t, y, 1.0) for i, (t, y) in enumerate(docs)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string, label int, weight double").repartition(3))
+    want = plain_fit(docs)
+    for text in ["kind", "nasty foul", "green vile warm", "unseen words", *[t for t, _ in docs]]:
+        assert model.score(text) == pytest.approx(want(text), abs=2e-4)
+
+
 def test_toxicity_of_a_text_is_that_of_its_blocks(monkeypatch):
     rng = np.random.default_rng(1)
     model = toxicity.ToxicityModel(rng.normal(size=1 << toxicity.BITS).astype(np.float32) / 1000, 0.0)
@@ -58,6 +114,17 @@ def test_language_on_held_out_documents(spark):
     assert sum(r.lang_pred == r.lang for r in rows) >= 0.98 * len(rows)
 
 
+def test_language_learns_from_rows_not_from_ids(spark):
+    """Ids that repeat with texts of two languages: every text is learned under its own."""
+    docs = spark.createDataFrame([(i, "abc abc", "aa") for i in range(40)] + [(i, "xyz xyz", "xx") for i in range(40)],
+                                 "doc_id bigint, text string, lang string")
+    rows = [tuple(r) for r in language.training_rows(docs, per_language=9).collect()]
+    assert Counter(rows) == {("abc abc", "aa"): 9, ("xyz xyz", "xx"): 9}
+    more = docs.withColumns({"_guess": docs["doc_id"], "guess": docs["lang"], "row": docs["text"]})
+    found = language.identify_languages(more, language.fit(language.training_rows(docs))).collect()
+    assert all(r.lang_pred == r.lang == r.guess and r._guess == r.doc_id and r.row == r.text for r in found)
+
+
 def plain_bits(counts, languages, text):
     """Code length by walking the context tree of each language."""
     out = []
@@ -124,6 +191,20 @@ def test_language_of_awkward_texts(spark, monkeypatch):
     assert np.allclose(model.code_lengths([text, "x"]), want)
 
 
+def test_words_are_looked_up_alike_in_blocks(monkeypatch):
+    import pyarrow as pa
+    texts = [None, "", "  one\ttwo  ", "One two, THREE\x0b four!\r\n", "ΑΣ ααα\x00 é" * 50, *awkward_texts()]
+    words = packing.WordTokenizer(packing.default_tokenizer())
+    want = [words.tokenizer.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+    monkeypatch.setattr(packing, "BLOCK_CHUNKS", 5)
+    ids, n = words.ids(pa.array(texts), 7)
+    assert [np.frombuffer(raw, words.kind).tolist() for raw in ids.to_pylist()] == want
+    assert n.tolist() == [len(w) for w in want]
+    words.forget()
+    assert not words.known and not words.older
+    assert words.ids(pa.array([], pa.string()), 7)[1].tolist() == []
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
     path = packing.default_tokenizer()
