@@ -5,17 +5,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Ranges of hashes that rows are counted in.
+RANGES = 4096
+
 
 def bounded_sample(rows: DataFrame, group: str, most: int, key: str = "doc_id") -> DataFrame:
     """The ``most`` rows of every value of ``group`` whose keys have the smallest hashes.
 
-    ``group`` is a label with few values.  A first cut by hash keeps about four times as many, so
-    that no large class is sorted whole.
+    ``group`` is a label with few values.  Rows are counted by group and range of hashes; all of the
+    lower ranges belong to the sample, and only the one range in which it ends is ranked, so no
+    large class is sorted and no task ranks more than about one row in RANGES of it.
     """
-    share = F.lit(1.0)
-    for value, n in rows.groupBy(group).count().collect():
-        share = F.when(F.col(group) == value, min(1.0, 4.0 * most / n)).otherwise(share)
-    at = F.pmod(F.xxhash64(key), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (rows.filter(at < share)
-            .withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(key), key)))
-            .filter(F.col("_rank") <= most).drop("_rank"))
+    at = F.shiftright(F.xxhash64(key), 52) + RANGES // 2
+    counts: dict = {}
+    for value, place, n in rows.groupBy(group, at.alias("place")).count().collect():
+        counts.setdefault(value, {})[place] = n
+    last, room = F.lit(RANGES), F.lit(0)
+    for value, by_range in counts.items():
+        before = 0
+        for place in sorted(by_range):
+            if before + by_range[place] > most:
+                mine = F.col(group).eqNullSafe(F.lit(value))
+                last, room = F.when(mine, place).otherwise(last), F.when(mine, most - before).otherwise(room)
+                break
+            before += by_range[place]
+    placed = rows.withColumns({"_at": at, "_last": last, "_room": room})
+    ranked = (placed.filter("_at = _last")
+              .withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(key), key)))
+              .filter("_rank <= _room").drop("_rank"))
+    return placed.filter("_at < _last").unionByName(ranked).drop("_at", "_last", "_room")

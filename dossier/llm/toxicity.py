@@ -5,6 +5,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ WEIGHTED = 16384
 STEPS, RATE, PENALTY = 250, 0.05, 3e-4
 #: n-grams count per so many of the text's.
 SCALE = 1000.0
-#: Places, among those of n-grams, of a text's weight and label.
-WEIGHT, LABEL = -2, -1
+#: Cells, one of a text and n-gram, that a step looks at in one go.
+BLOCK_CELLS = 1 << 20
 #: Code points hashed in one go.
 BLOCK_CHARS = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -96,47 +98,78 @@ def fit(labelled: DataFrame) -> ToxicityModel | None:
     ratio = np.log(seen[1] / (n_docs[1] + 2)) - np.log(seen[0] / (n_docs[0] + 2))
     said = np.abs(ratio) * np.sqrt(np.minimum(seen.sum(axis=0), 200))
     chosen = np.sort(np.argsort(-said, kind="stable")[:WEIGHTED])
-    ratios = ratio[chosen]
-    places = counted.sparkSession.createDataFrame(
-        pd.DataFrame({"gram": chosen.astype(np.int32), "place": np.arange(len(chosen), dtype=np.int32)}))
-    cells = (counted.select("row", "total", F.explode(F.arrays_zip("grams", "n")).alias("at"))
-             .select("row", F.col("at.grams").alias("gram"), (F.col("at.n") / F.col("total")).cast("float").alias("value"))
-             .join(F.broadcast(places), "gram").select("row", "place", "value"))
-    # two rows for each text before its cells, so that texts without any weighted n-gram count as well
-    of_text = F.array(*[F.struct(F.lit(place).alias("place"), F.col(c).cast("float").alias("value"))
-                        for place, c in ((WEIGHT, "weight"), (LABEL, "label"))])
-    cells = cells.unionByName(counted.select("row", F.explode(of_text).alias("t")).select("row", "t.*"))
-    # the sample is bounded, and so is the one group that is fitted
-    fitted = (cells.groupBy(F.lit(0).alias("all")).applyInPandas(
-        lambda frame: _fitted(frame, ratios), "place int, weight double").toPandas().sort_values("place"))
+    place = np.full(1 << BITS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    shared = counted.sparkSession.sparkContext.broadcast((place, ratio[chosen].astype(np.float32)))
+    rows = freeze(counted.mapInArrow(
+        lambda batches: _weighted(batches, shared), "label int, weight double, cells int, places binary, values binary"))
+    n, cells, share = rows.agg(F.count("*"), F.sum("cells"), F.sum("weight")).first()
+    # the sample is bounded, and so are its weighted cells: one row a text, fitted where all texts are
+    fitted = (rows.coalesce(1).mapInArrow(lambda batches: _fitted(batches, n, cells, share, len(chosen)),
+                                          "place int, weight double").toPandas().sort_values("place"))
     weights = fitted["weight"].to_numpy()
     out = np.zeros(1 << BITS, np.float32)
-    out[chosen] = weights[1:] * ratios
+    out[chosen] = weights[1:] * ratio[chosen]
     return ToxicityModel(out, float(weights[0]))
 
 
-def _fitted(frame: pd.DataFrame, ratios: np.ndarray) -> pd.DataFrame:
+def _weighted(batches, shared):
+    """One row a text: places and scaled values of those of its n-grams that get a weight."""
+    place, ratio = shared.value
+    for batch in batches:
+        at, grams, counts = batch.column("grams"), batch.column("grams").flatten(), batch.column("n").flatten()
+        size = pc.list_value_length(at).to_numpy()
+        found = place[grams.to_numpy()]
+        value = counts.to_numpy() / np.repeat(np.maximum(batch.column("total").to_numpy(), 1), size)
+        known = found >= 0
+        cells = np.diff(np.concatenate([[0], np.cumsum(known)])[np.concatenate([[0], np.cumsum(size)])])
+        places = found[known]
+        values = (SCALE * value[known] * ratio[places]).astype("<f4")
+        ends = pa.py_buffer(np.concatenate([[0], 4 * np.cumsum(cells)]).astype(np.int32))
+        raw = [pa.BinaryArray.from_buffers(pa.binary(), len(cells), [None, ends, pa.py_buffer(x)])
+               for x in (places.astype("<i4"), values)]
+        yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("weight"), pa.array(cells, pa.int32()), *raw],
+                                         ["label", "weight", "cells", "places", "values"])
+
+
+def _fitted(batches, n: int, cells: int, share: float, width: int):
     """The bias, at place -1, and the weight of every n-gram."""
-    row, place, value = (frame[c].to_numpy() for c in ("row", "place", "value"))
-    order = np.lexsort((place, row))
-    place, value = place[order], value[order]
-    share = value[place == WEIGHT].astype(float)
-    label = value[place == LABEL].astype(float)
-    cells = place >= 0
-    text = (np.cumsum(place == WEIGHT) - 1)[cells].astype(np.int32)
-    column = place[cells]
-    value = value[cells] * SCALE * ratios[column]
-    weights, bias = _descend(text, column, value, label, share / share.sum(), len(ratios))
-    return pd.DataFrame({"place": np.arange(-1, len(ratios)), "weight": np.append(bias, weights)})
-
-
-def _descend(row, column, value, label, share, width):
-    """Logistic regression by gradient steps with running moments."""
+    places, values = np.empty(cells, np.int32), np.empty(cells, np.float32)
+    ends, label, weight, row, at = np.zeros(n + 1, np.int64), np.empty(n), np.empty(n), 0, 0
+    for batch in batches:
+        for own, of, raw, value in zip(*(batch.column(c).to_pylist() for c in ("label", "weight", "places", "values"))):
+            size = len(raw) // 4
+            places[at:at + size] = np.frombuffer(raw, "<i4")
+            values[at:at + size] = np.frombuffer(value, "<f4")
+            label[row], weight[row] = own, of
+            row, at = row + 1, at + size
+            ends[row] = at
+    weights, bias = _descend(ends, places, values, label, weight / share, width)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, width), pa.int32()), pa.array(np.append(bias, weights))],
+                                     ["place", "weight"])
+
+
+def _blocks(ends: np.ndarray):
+    """Ranges of texts of about BLOCK_CELLS cells, and of their cells."""
+    at = 0
+    while at < len(ends) - 1:
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK_CELLS, side="right")) - 1)
+        yield slice(at, stop), slice(int(ends[at]), int(ends[stop]))
+        at = stop
+
+
+def _descend(ends, column, value, label, share, width):
+    """Logistic regression by gradient steps with running moments, over a bounded part of the cells at a time."""
+    blocks = [(texts, cells, np.repeat(np.arange(texts.stop - texts.start), np.diff(ends[texts.start:texts.stop + 1])))
+              for texts, cells in _blocks(ends)]
     w, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
-        z = np.bincount(row, value * w[column], minlength=len(label)) + w[-1]
-        slope = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) * share
-        g = np.append(np.bincount(column, value * slope[row], minlength=width) + PENALTY * w[:-1], slope.sum())
+        g = np.append(PENALTY * w[:-1], 0.0)
+        for texts, cells, row in blocks:
+            z = np.bincount(row, value[cells] * w[column[cells]], minlength=texts.stop - texts.start) + w[-1]
+            slope = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label[texts]) * share[texts]
+            g[:-1] += np.bincount(column[cells], value[cells] * slope[row], minlength=width)
+            g[-1] += slope.sum()
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         w = w - RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
     return w[:-1], w[-1]
@@ -145,10 +178,11 @@ def _descend(row, column, value, label, share, width):
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """``doc_id, text, label, weight`` of a bounded sample of the labelled documents that are not held out.
 
-    A document labelled twice counts as toxic if one label says so; null labels are left out.
-    The sample is drawn from the labels, so only its ids, 2 * per_class at most, are broadcast.
+    A document labelled twice counts as toxic if one label says so; labels other than 0 and 1 are
+    left out.  The sample is drawn from the labels, so only its ids, 2 * per_class at most, are
+    broadcast.
     """
-    known = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
+    known = (labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
     sample = bounded_sample(known, "label", per_class).withColumn("weight", F.lit(1.0))
     for value, n in known.groupBy("label").count().collect():
