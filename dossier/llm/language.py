@@ -145,11 +145,13 @@ def fit(labelled: DataFrame) -> LanguageModel | None:
 
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """``text, lang`` of a bounded sample of the documents that are not held out."""
-    known = docs.select("doc_id", "lang").filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(
+    """``text, lang`` of a bounded sample of the documents that are not held out; of rows, not of ids.
+
+    Ids and languages alone are counted; texts are read once, for the rows that are drawn.
+    """
+    known = docs.select("doc_id", "lang", "text").filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(
         ~held_out(F.col("doc_id")))
-    sample = bounded_sample(known, "lang", per_language)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "lang")
+    return bounded_sample(known, "lang", per_language).select("text", "lang")
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
@@ -158,7 +160,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None) -> DataFram
     The language under which the whole text's code is shortest, and its posterior probability
     for equal priors; of equally short ones the first by name.  A null text, and a text without
     a letter, is ``und`` with score 0; so is every text without a model.  Repeated rows get the
-    same answer; columns of the two names are replaced.
+    same answer; columns of the two names are replaced, all others are kept whatever their names.
     """
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if model is None:
@@ -173,9 +175,10 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None) -> DataFram
         odds = np.exp2(np.clip(bits.min(axis=1, keepdims=True) - bits, -1000, 0)).sum(axis=1)
         return pd.DataFrame({"lang": [m.languages[b] for b in best], "score": 1 / odds})
 
-    return (docs.withColumn("_guess", guess("text"))
-            .withColumns({"lang_pred": F.when(has_letter, F.col("_guess.lang")).otherwise("und"),
-                          "score": F.when(has_letter, F.col("_guess.score")).otherwise(0.0)}).drop("_guess"))
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
+    found = docs.select(F.struct(*docs.columns).alias("row"), has_letter.alias("letters"), guess("text").alias("guess"))
+    return found.select(*kept, F.when(F.col("letters"), F.col("guess.lang")).otherwise("und").alias("lang_pred"),
+                        F.when(F.col("letters"), F.col("guess.score")).otherwise(0.0).alias("score"))
 
 
 def op8_language_id(spark, sf_dir):
