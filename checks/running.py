@@ -48,24 +48,41 @@ def x1(spark, sf):
     return generation.generate(df, count_clients(700), attempts=2, base_delay=0.0, concurrency=8).drop("prompt", "seconds")
 
 
+@check("x1_ledger", ALL_TABLES,
+       "SELECT contact_id, eni_source_type, subtype, CASE WHEN length(prompt) % 2 = 0 THEN '## Deals' WHEN length(prompt) < 700 THEN "
+       "concat('## Personal', chr(10), length(prompt), ' characters') END AS response, CASE WHEN length(prompt) % 2 = 1 AND "
+       "length(prompt) >= 700 THEN 'empty response' END AS error, CASE WHEN length(prompt) % 2 = 1 AND length(prompt) >= 700 THEN 2 "
+       "ELSE 1 END AS attempts FROM prompts", ALL_SQL)
+def x1_ledger(spark, sf):
+    """Prompts that a stopped run has asked already are answered from its ledger, the others are asked in chunks"""
+    df, ledger = prompts(spark, sf).select(*GROUP, "prompt"), run_folder(spark, "ledger")
+    asked = df.filter(F.length("prompt") % 2 == 0)
+    generation.generate_once(asked, lambda: lambda text: "## Deals", ledger, "run 1", 40)
+    generation.generate_once(df, lambda: lambda text: "## Other", ledger, "run 2", 10 ** 6)
+    out = generation.generate_once(df, count_clients(700), ledger, "run 1", 40, attempts=2, base_delay=0.0)
+    return out.drop("prompt", "seconds")
+
+
 NORM = "lower(regexp_replace(regexp_replace({}, '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g'))"
-BULLET_SQL = f"""latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY version DESC) AS r FROM profiles
-  WHERE generator = 'structured_insight') WHERE r = 1),
-texts AS ({" UNION ALL ".join(f"SELECT contact_id, '{s}' AS section, {s} AS text FROM latest" for s in SECTIONS)}),
-seen AS (SELECT DISTINCT contact_id, section, {NORM.format('b')} AS norm FROM (SELECT contact_id, section, unnest(string_split(
+BULLET_SQL = f"""latest AS MATERIALIZED (SELECT p.* FROM profiles p JOIN (SELECT contact_id, max(version) AS version FROM profiles
+  WHERE generator = 'structured_insight' GROUP BY 1) t ON t.contact_id = p.contact_id AND t.version = p.version
+  WHERE p.generator = 'structured_insight'),
+texts AS MATERIALIZED ({" UNION ALL ".join(f"SELECT contact_id, '{s}' AS section, {s} AS text FROM latest" for s in SECTIONS)}),
+seen AS MATERIALIZED (SELECT contact_id, section, {NORM.format('b')} AS norm FROM (SELECT contact_id, section, unnest(string_split(
   replace(text, concat(chr(10), '- '), concat(chr(1), '- ')), chr(1))) AS b FROM texts) WHERE regexp_matches(b, '\\S'))"""
 
 
 def merge_sql(source: str) -> str:
     """Existing texts with the unseen bullets of (contact_id, section, o1, o2, bullet) appended."""
-    return f"""normed AS (SELECT *, {NORM.format('bullet')} AS norm FROM {source}),
-firsts AS (SELECT *, row_number() OVER (PARTITION BY contact_id, section, norm ORDER BY o1, o2) AS nth FROM normed),
-fresh AS (SELECT f.* FROM firsts f LEFT JOIN seen s ON s.contact_id = f.contact_id AND s.section = f.section AND s.norm = f.norm
-  WHERE nth = 1 AND s.norm IS NULL),
-added AS (SELECT contact_id, section, string_agg(bullet, '' ORDER BY o1, o2) AS added FROM fresh GROUP BY 1, 2),
-merged AS (SELECT coalesce(t.contact_id, a.contact_id) AS contact_id, coalesce(t.section, a.section) AS section, CASE WHEN a.added IS
-  NULL THEN t.text ELSE concat(coalesce(t.text, ''), CASE WHEN t.text <> '' AND NOT ends_with(t.text, chr(10)) THEN chr(10) ELSE ''
-  END, a.added) END AS text FROM texts t FULL JOIN added a ON a.contact_id = t.contact_id AND a.section = t.section)"""
+    return f"""met AS MATERIALIZED (SELECT contact_id, section, norm, max(old) AS old, min(struct_pack(o1 := o1, o2 := o2, bullet := bullet))
+    AS first FROM (SELECT contact_id, section, {NORM.format('bullet')} AS norm, 0 AS old, o1, o2, bullet FROM {source}
+    UNION ALL SELECT contact_id, section, norm, 1, NULL, NULL, NULL FROM seen) GROUP BY 1, 2, 3),
+added AS MATERIALIZED (SELECT contact_id, section, string_agg(first.bullet, '' ORDER BY first.o1, first.o2) AS added FROM met
+    WHERE old = 0 GROUP BY 1, 2),
+merged AS (SELECT contact_id, section, CASE WHEN added IS NULL THEN text ELSE concat(coalesce(text, ''), CASE WHEN text <> '' AND
+  NOT ends_with(text, chr(10)) THEN chr(10) ELSE '' END, added) END AS text FROM (SELECT contact_id, section, max(text) AS text,
+  max(added) AS added FROM (SELECT contact_id, section, text, NULL AS added FROM texts UNION ALL SELECT contact_id, section, NULL,
+  added FROM added) GROUP BY 1, 2))"""
 
 
 def section_texts(spark, sf):
@@ -326,6 +343,22 @@ def w1_oversized(spark, sf):
                       F.array_max(F.transform("used_ids", F.length)).alias("longest"))
 
 
+@check("w1_repeated_ids", ALL_TABLES,
+       "SELECT contact_id, eni_source_type, subtype, CAST(min(n) AS bigint) AS rows_total, count(*) AS rows_used, "
+       "CAST(sum(tokens) AS bigint) AS tokens_used FROM kept GROUP BY 1, 2, 3",
+       PENDING + f""", doubled AS (SELECT *, count(*) OVER (PARTITION BY contact_id, eni_source_type, subtype) AS n FROM
+  (SELECT * FROM pending UNION ALL SELECT * FROM pending WHERE eni_source_type <> 'view')),
+fitting AS (SELECT * FROM doubled WHERE {tok('entry')} <= 45), """ + cut("fitting", "45"))
+def w1_repeated(spark, sf):
+    """W1 in a prompt: rows that repeat an id are notes of their own, and none counts twice"""
+    p = pending(spark, sf)
+    p = freeze(p.unionByName(p.filter("eni_source_type <> 'view'")))
+    room = preparation.with_room(freeze(preparation.group_frame(p)), frame(spark, sf, "context"), latest(spark, sf),
+                                 TEMPLATE, 10 ** 6, 100, 45)
+    out = preparation.prepare_prompts(p, room, TEMPLATE, 10 ** 6, 100, 45).filter("rows_used > 0")
+    return out.select(*GROUP, "rows_total", "rows_used", "tokens_used")
+
+
 @check("run_combined", "notes run_log rules", "SELECT eni_id, 1 AS n, true AS one_version FROM pending", PENDING)
 def combined(spark, sf):
     """A run of one call per contact: every pending note is logged or deferred, a contact gets one version"""

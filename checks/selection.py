@@ -139,6 +139,17 @@ def s11c(spark, sf):
         "ORDER BY processed_at DESC, contact_id, pos -- limit 5", {}, limit=10, offset=20).select("contact_id")
 
 
+@check("s11_limit_column", "run_log",
+       "SELECT contact_id FROM (SELECT contact_id FROM (SELECT contact_id, processed_at, pos AS \"limit\", pos FROM run_log) t "
+       "WHERE t.\"limit\" >= 0 ORDER BY processed_at, contact_id, pos LIMIT 7 OFFSET 2) GROUP BY contact_id")
+def s11d(spark, sf):
+    """A column called limit is no clause, under WITH and without brackets around it"""
+    frame(spark, sf, "run_log").createOrReplaceTempView("pick_log")
+    return selection.select_contacts_sql(
+        spark, "WITH t AS (SELECT contact_id, processed_at, pos AS limit, pos FROM pick_log LIMIT ALL) SELECT contact_id "
+        "FROM t WHERE t.limit >= 0 ORDER BY processed_at, contact_id, pos", {}, limit=7, offset=2).select("contact_id")
+
+
 @check("p1_usable_notes", "notes",
        f"SELECT eni_id, description, {DAY} FROM notes WHERE description IS NOT NULL AND trim(description) <> ''")
 def p1(spark, sf):
@@ -325,13 +336,17 @@ def o2(spark, sf):
     return selection.selection_order(df).select("contact_id", "pos")
 
 
-@check("o3_page", "notes run_log",
-       "SELECT 'page' AS part, contact_id FROM (SELECT contact_id FROM cl ORDER BY seen_at NULLS FIRST, contact_id "
-       "LIMIT 30 OFFSET 15) UNION ALL SELECT 'rest', contact_id FROM (SELECT contact_id FROM cl ORDER BY "
-       "seen_at NULLS FIRST, contact_id OFFSET 45)", LATEST)
+LOGGED = """logged AS (SELECT contact_id, max(processed_at) AS seen_at FROM run_log
+  WHERE processing_status = 'completed' GROUP BY contact_id)"""
+
+
+@check("o3_page", "run_log",
+       "SELECT 'page' AS part, contact_id FROM (SELECT contact_id FROM logged ORDER BY seen_at NULLS FIRST, contact_id "
+       "LIMIT 30 OFFSET 15) UNION ALL SELECT 'rest', contact_id FROM (SELECT contact_id FROM logged ORDER BY "
+       "seen_at NULLS FIRST, contact_id OFFSET 45)", LOGGED)
 def o3(spark, sf):
-    """O3: a page, and all after it."""
-    df = last_seen(spark, sf)
+    """O3: a page of the contacts of the log, and all after it."""
+    df = selection.last_processed(frame(spark, sf, "run_log"))
     first = selection.selection_page(df, 30, 15).select(F.lit("page").alias("part"), "contact_id")
     rest = selection.selection_page(df, None, 45).select(F.lit("rest").alias("part"), "contact_id")
     return first.unionByName(rest)

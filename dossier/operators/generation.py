@@ -1,14 +1,15 @@
 """Generating profiles from prompts or notes."""
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dossier.checkpoints import freeze
 from dossier.functions.text import bullets, estimate_tokens, is_blank, norm_bullet, ordered_join
-from dossier.schemas import SECTIONS
+from dossier.schemas import CALLS, SECTIONS
 
 
 #: Calls whose answers a task hands on together.
@@ -28,7 +29,8 @@ def generate(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]]
     on its answers every few calls.  ``concurrency`` bounds the calls of all tasks together.
 
     A retried task calls the client again: a client that must not be called twice for one prompt
-    has to be idempotent.  Freeze the result before using it more than once.
+    has to be idempotent, or its calls go through :func:`generate_once`.  Freeze the result before using
+    it more than once.
     """
     schema = T.StructType([
         *prompts.schema.fields, T.StructField("response", T.StringType()),
@@ -71,6 +73,39 @@ def generate(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]]
     return spread.mapInPandas(run, schema)
 
 
+def read_calls(spark: SparkSession, ledger: str, run_id: str) -> DataFrame:
+    """The calls of one run that a ledger holds; no other run's files are read."""
+    spark.createDataFrame([], CALLS).write.mode("append").partitionBy("run_id").parquet(ledger)  # there may be none yet
+    return spark.read.schema(CALLS).parquet(ledger).filter(F.col("run_id") == run_id)
+
+
+def generate_once(prompts: DataFrame, make_client: Callable[[], Callable[[str], str]], ledger: str, run_id: str,
+                  chunk_calls: int = 10_000, attempts: int = 3, base_delay: float = 1.0,
+                  concurrency: int | None = None, prompt: str = "prompt", threads: int = 1) -> DataFrame:
+    """X1-X3 with a ledger: :func:`generate`, but no prompt of a run is paid for twice.
+
+    Answers and failures are appended to ``ledger`` under the digest of their prompt, a chunk of
+    about ``chunk_calls`` calls at a time, each committed before the next begins.  What a run has in
+    the ledger is looked up by an anti-join and not asked again, so a run that was stopped goes
+    on where its last chunk ended when it is started with the same ``run_id``; equal prompts are one call.
+    A run under another id asks anew.  Only the chunk that was running when a run stopped is asked again.
+    """
+    spark = prompts.sparkSession
+    keyed = freeze(prompts.withColumn("call_key", F.sha2(F.coalesce(F.col(prompt), F.lit("")), 256)))
+    known = read_calls(spark, ledger, run_id).select("call_key").distinct()
+    todo = freeze(keyed.groupBy("call_key").agg(F.any_value(prompt).alias("prompt")).join(known, "call_key", "left_anti"))
+    chunks = math.ceil(todo.count() / chunk_calls)
+    for k in range(chunks):
+        part = todo.filter(F.pmod(F.xxhash64("call_key"), F.lit(chunks)) == k)
+        (generate(part, make_client, attempts, base_delay, concurrency, threads=threads)
+         .select("call_key", "response", "error", "attempts", "seconds", F.lit(run_id).alias("run_id"))
+         .write.mode("append").partitionBy("run_id").parquet(ledger))
+    # a chunk that was written twice, as after a driver that died while it committed, counts once
+    calls = read_calls(spark, ledger, run_id).groupBy("call_key").agg(
+        F.max_by(F.struct("response", "error", "attempts", "seconds"), F.col("response").isNotNull()).alias("call"))
+    return keyed.join(calls, "call_key").select(*prompts.columns, "call.*")
+
+
 def section_rows(profiles: DataFrame) -> DataFrame:
     """One row per (contact, section) from profiles with a ``sections`` struct."""
     pairs = F.array(*[F.struct(F.lit(s).alias("section"), F.col("sections")[s].alias("text"))

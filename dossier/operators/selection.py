@@ -2,7 +2,6 @@
 
 Rows of the inventory: P1, P2, P5-P8, P13, P14, J1-J3, A1-A3, W4, W6, W7, O1-O5, U1, S11.
 """
-import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -200,22 +199,22 @@ def select_contacts_sql(spark: SparkSession, sql: str, variables: dict[str, str]
     range-sorted table.
     """
     text = sql.strip().rstrip(";")
-    outer = _outer_words(text)
-    if limit is not None and "limit" not in outer and "offset" not in outer:
-        text, limit = f"{text}\nLIMIT {int(limit)}", None
-    if offset and "offset" not in outer:
-        text = f"{text}\nOFFSET {int(offset)}"
-    df = spark.sql(text, args=variables).select(F.col("contact_id").cast("string"))
-    if limit is not None and "limit" not in outer:  # a text with OFFSET only takes no LIMIT behind it
-        df = df.limit(limit)
+    own = _own_bounds(spark, text)
+    behind = [f"LIMIT {int(limit)}"] if limit is not None and not own else []
+    behind += [f"OFFSET {int(offset)}"] if offset and "Offset" not in own else []
+    chosen = spark.sql("\n".join([text, *behind]), args=variables).select(F.col("contact_id").cast("string"))
+    if limit is not None and own == {"Offset"}:  # SQL takes no LIMIT behind an OFFSET
+        chosen = chosen.limit(limit)
     # partitions of a sorted result follow its order, so this id does too
-    placed = df.withColumn("pos", F.monotonically_increasing_id())
+    placed = chosen.withColumn("pos", F.monotonically_increasing_id())
     return dedup_ordered(placed.filter(F.col("contact_id") != ""))
 
 
-def _outer_words(sql: str) -> set[str]:
-    """Lower-case words of a query outside of brackets, quotes and comments."""
-    plain = re.sub(r"'(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.DOTALL)
-    while (inner := re.sub(r"\([^()]*\)", " ", plain)) != plain:
-        plain = inner
-    return set(re.findall(r"\w+", plain.lower()))
+def _own_bounds(spark: SparkSession, sql: str) -> set[str]:
+    """Which of Limit and Offset the outermost query of a text has, as Spark parses it."""
+    node, found = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql), set()
+    while (kind := node.getClass().getSimpleName()) in ("UnresolvedWith", "GlobalLimit", "LocalLimit", "Offset"):
+        if kind != "UnresolvedWith":
+            found.add(kind.removeprefix("Global").removeprefix("Local"))
+        node = node.child()
+    return found

@@ -2,6 +2,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dossier.checkpoints import freeze
 from dossier.functions.prompts import available_tokens
 from dossier.operators.budget import (GROUP, budget_cut, group_blocks, group_stats,
                                       with_base_tokens, with_context, with_entries, with_profile,
@@ -9,6 +10,9 @@ from dossier.operators.budget import (GROUP, budget_cut, group_blocks, group_sta
 from dossier.operators.rules import assign_groups
 from dossier.operators.selection import non_null, unprocessed, usable_notes
 
+#: The number of a pending note's row, which tells rows of one id apart.
+NOTE_ROW = "note_row"
+
 
 def pending_notes(notes: DataFrame, log: DataFrame, rules: DataFrame,
                   types: list[str] | None = None) -> DataFrame:
@@ -45,28 +49,33 @@ def with_room(groups: DataFrame, context: DataFrame, latest: DataFrame, template
 
 def _sized(pending: DataFrame, dressed: DataFrame) -> DataFrame:
     """Ids, days and tokens of the notes beside their group's room; no text."""
-    slim = with_entries(pending).select(*GROUP, "logged_date", "eni_id", "tokens")
+    number = [NOTE_ROW] if NOTE_ROW in pending.columns else []
+    slim = with_entries(pending).select(*GROUP, "logged_date", "eni_id", "tokens", *number)
     return slim.join(dressed.select(*GROUP, "budget"), GROUP)
 
 
 def oversized_notes(pending: DataFrame, dressed: DataFrame) -> DataFrame:
     """Notes that are larger than their group's whole room, and so can never be in a prompt."""
-    return _sized(pending, dressed).filter(F.col("tokens") > F.col("budget"))
+    return _sized(pending, dressed).filter(F.col("tokens") > F.col("budget")).drop(NOTE_ROW)
 
 
 def prepare_prompts(pending: DataFrame, dressed: DataFrame, template: str, window: int, reserve: int,
                     cap: int) -> DataFrame:
     """Prompts of the groups of :func:`with_room`, with the ids of the notes that went into them.
 
-    ``pending`` holds the notes of those groups.  The cut looks at ids and tokens only; the
-    texts of the notes that fit, which the budget bounds, are joined back.  A note that is
+    ``pending`` holds the notes of those groups, with the number NOTE_ROW of each row where they
+    are written already; else they are numbered and written here.  The cut looks at ids and tokens
+    only; the texts of the notes that fit, which the budget bounds, are joined back by that
+    number, so rows that repeat an id, or have none, are notes of their own.  A note that is
     larger than the room is passed over, see :func:`oversized_notes`, so that it does not keep
     the notes behind it waiting.
     """
+    if NOTE_ROW not in pending.columns:
+        pending = freeze(pending.withColumn(NOTE_ROW, F.monotonically_increasing_id()))
     fitting = _sized(pending, dressed).filter(F.col("tokens") <= F.col("budget")).drop("budget")
-    kept = budget_cut(fitting, dressed.select(*GROUP, "budget"), GROUP)
-    texts = with_entries(pending).select(*GROUP, "eni_id", "entry")
-    blocks = group_blocks(kept.join(texts, [*GROUP, "eni_id"]))
+    kept = budget_cut(fitting, dressed.select(*GROUP, "budget"), GROUP, [NOTE_ROW])
+    texts = with_entries(pending).select(NOTE_ROW, "entry")
+    blocks = group_blocks(kept.join(texts, NOTE_ROW))
     full = (dressed.drop("budget").join(blocks, GROUP, "left")
             .withColumns({"new_data": F.coalesce("new_data", F.lit("")),
                           "rows_used": F.coalesce("rows_used", F.lit(0)),

@@ -10,10 +10,10 @@ from dossier.checkpoints import freeze
 from dossier.functions.responses import parse_response, parse_response_simple
 from dossier.functions.text import contact_all_id, estimate_tokens, group_id, render
 from dossier.operators.budget import GROUP, PROMPT_KEYS, combine_groups, with_profile
-from dossier.operators.generation import generate, next_state, wave_numbers
+from dossier.operators.generation import generate, generate_once, next_state, wave_numbers
 from dossier.operators.rules import group_ordinal, union_groups
 from dossier.operators.versions import assign_versions
-from dossier.plans.preparation import (group_frame, oversized_notes, pending_notes, prepare_prompts,
+from dossier.plans.preparation import (NOTE_ROW, group_frame, oversized_notes, pending_notes, prepare_prompts,
                                        with_room)
 from dossier.schemas import DEFAULT_GENERATOR
 from dossier.sinks.builders import run_log_rows
@@ -29,7 +29,9 @@ class RunResult:
     """Frames of one run; the caller appends ``versions`` and ``log`` with the sinks.
 
     Every pending note is in ``log`` or in ``deferred``.  A note that is larger than the room of
-    its prompt is in ``oversized`` too, and logged as failed with that reason.
+    its prompt is in ``oversized`` too, and logged as failed with that reason; so is a note without
+    an id, which no later run could tell from one that was not processed.  Rows that repeat an id
+    are notes of their own in the prompt and one row of the log.
     """
     versions: DataFrame
     log: DataFrame
@@ -44,7 +46,8 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
                  prompt_key: str = DEFAULT_GENERATOR, window: int = WINDOW_TOKENS,
                  reserve: int = RESERVE_TOKENS, cap: int = NEW_DATA_TOKENS,
                  types: list[str] | None = None, attempts: int = 3, base_delay: float = 1.0,
-                 concurrency: int | None = None, contacts: DataFrame | None = None) -> RunResult:
+                 concurrency: int | None = None, contacts: DataFrame | None = None,
+                 ledger: str | None = None, run_id: str | None = None, chunk_calls: int = 10_000) -> RunResult:
     """Process every pending group of every contact, or of ``contacts`` (contact_id).
 
     ``latest`` has (contact_id, sections).  Wave k handles the k-th group of all contacts at
@@ -53,10 +56,18 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
 
     Only notes that fit the budget are logged: ``completed`` when the response could be read,
     else ``failed``; the others come back in the next run.
+
+    With a ``ledger``, a folder, and a ``run_id`` answers are saved as they come, a chunk of calls at a time: a run
+    that was stopped in any wave and is started again with the same inputs and ``run_id`` takes
+    them from there, see :func:`dossier.operators.generation.generate_once`.
     """
+    if (ledger is None) != (run_id is None):
+        raise ValueError("a ledger needs a run_id, and a run_id a ledger")
+    ask = (lambda prompts: generate(prompts, make_client, attempts, base_delay, concurrency)) if ledger is None else (
+        lambda prompts: generate_once(prompts, make_client, ledger, run_id, chunk_calls, attempts, base_delay, concurrency))
     if contacts is not None:
         notes = notes.join(contacts.select("contact_id").distinct(), "contact_id", "left_semi")
-    pending = freeze(pending_notes(notes, log, rules, types))
+    pending, nameless = _identified(pending_notes(notes, log, rules, types))
     groups = freeze(group_ordinal(group_frame(pending)))
     work = freeze(pending.join(groups.select(*GROUP, "ordinal"), GROUP), ("ordinal",))
 
@@ -72,12 +83,12 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
         large.append(freeze(oversized_notes(wave, dressed)))
         prompts = prepare_prompts(wave, dressed, template, window, reserve, cap)
         # frozen at once: a client is called one time per prompt, all later steps see its answer
-        out = freeze(_answer(prompts, make_client, attempts, base_delay, concurrency))
+        out = freeze(_answer(prompts, ask))
         done.append(out)
         state = next_state(state, out.filter(F.col("sections").isNotNull()).select("contact_id", "sections"))
     iterations, oversized = union_groups(*done), union_groups(*large)
     return RunResult(_new_versions(iterations, versions, prompt_key, now),
-                     _log_rows(iterations, oversized, prompt_key, now), iterations, oversized,
+                     _log_rows(iterations, oversized, nameless, prompt_key, now), iterations, oversized,
                      _deferred(pending, iterations, oversized))
 
 
@@ -93,7 +104,7 @@ def run_combined(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
     Every group is cut to the room it would have alone, so a prompt is at most as many times the
     ``cap`` as there are rules.
     """
-    pending = freeze(pending_notes(notes, log, rules, types))
+    pending, nameless = _identified(pending_notes(notes, log, rules, types))
     groups = freeze(group_frame(pending))
     dressed = freeze(with_room(groups, context, latest, template, window, reserve, cap))
     oversized = freeze(oversized_notes(pending, dressed))
@@ -117,25 +128,30 @@ def run_combined(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
         "output_tokens": estimate_tokens(F.col("response")).cast("long"),
         "error": F.coalesce("error", "parse_error")}))
     return RunResult(_new_versions(iterations, versions, prompt_key, now),
-                     _log_rows(iterations, oversized, prompt_key, now), iterations, oversized,
+                     _log_rows(iterations, oversized, nameless, prompt_key, now), iterations, oversized,
                      _deferred(pending, iterations, oversized))
 
 
+def _identified(pending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pending notes, written once with a number for each row, and apart from them those without an id."""
+    numbered = freeze(pending.withColumn(NOTE_ROW, F.monotonically_increasing_id()))
+    return numbered.filter("eni_id IS NOT NULL"), numbered.filter("eni_id IS NULL")
+
+
 def _deferred(pending: DataFrame, iterations: DataFrame, oversized: DataFrame) -> DataFrame:
     """Pending notes that are in no prompt of the run, though they could be in one."""
     used = iterations.select(F.explode("used_ids").alias("eni_id"))
     return (pending.select(*GROUP, "eni_id").join(used, "eni_id", "left_anti")
             .join(oversized.select("eni_id"), "eni_id", "left_anti")
-            .select(*GROUP, "eni_id", F.lit("no room in this run").alias("reason")))
+            .select(*GROUP, "eni_id", F.lit("no room in this run").alias("reason")).distinct())
 
 
-def _answer(prompts: DataFrame, make_client, attempts: int, base_delay: float,
-            concurrency: int | None) -> DataFrame:
+def _answer(prompts: DataFrame, ask: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Responses and their sections for the groups that have at least one note."""
     sendable = prompts.filter(F.col("rows_used") > 0).select(
         *GROUP, "ordinal", "rows_total", "rows_used", "used_ids", "prompt",
         F.col("token_stats.rendered_full_tokens").cast("long").alias("input_tokens"))
-    answered = parse_response(generate(sendable, make_client, attempts, base_delay, concurrency))
+    answered = parse_response(ask(sendable))
     return answered.drop("prompt").withColumn(
         "output_tokens", estimate_tokens(F.col("response")).cast("long"))
 
@@ -160,19 +176,23 @@ def _new_versions(iterations: DataFrame, versions: DataFrame, prompt_key: str,
     return assign_versions(stamped, versions)
 
 
-def _log_rows(iterations: DataFrame, oversized: DataFrame, prompt_key: str, now: datetime) -> DataFrame:
+def _log_rows(iterations: DataFrame, oversized: DataFrame, nameless: DataFrame, prompt_key: str,
+              now: datetime) -> DataFrame:
     unread = F.col("sections").isNull()
     used = iterations.select(
-        "contact_id", F.explode("used_ids").alias("eni_id"),
+        "contact_id", F.explode(F.array_distinct("used_ids")).alias("eni_id"),
         F.when(unread, "failed").otherwise("completed").alias("processing_status"),
         F.when(unread, F.coalesce("error", F.lit("unreadable response"))).alias("error_message"),
         group_id(F.col("eni_source_type"), F.col("subtype"), F.col("contact_id"),
                  F.col("rows_used")).alias("batch_id"))
+    no_group = group_id(F.col("eni_source_type"), F.col("subtype"), F.col("contact_id"), F.lit(0)).alias("batch_id")
+    failed = F.lit("failed").alias("processing_status")
+    without = nameless.select("contact_id", "eni_id", failed, F.lit("note without an id").alias("error_message"), no_group)
     large = oversized.select(
-        "contact_id", "eni_id", F.lit("failed").alias("processing_status"),
+        "contact_id", "eni_id", failed,
         F.concat(F.lit("note of "), "tokens", F.lit(" tokens exceeds the room of "), "budget").alias("error_message"),
-        group_id(F.col("eni_source_type"), F.col("subtype"), F.col("contact_id"), F.lit(0)).alias("batch_id"))
-    return run_log_rows(used.unionByName(large), F.lit(now), prompt_key)
+        no_group)
+    return run_log_rows(used.unionByName(large.distinct()).unionByName(without), F.lit(now), prompt_key)
 
 
 def contact_results(result: RunResult, outbox: DataFrame | None = None,

@@ -69,3 +69,9 @@ RUN_EVENTS = T.StructType([
     T.StructField("stage", _STR), T.StructField("duration_ms", T.LongType()),
     T.StructField("timestamp", T.TimestampType()),
 ])
+
+CALLS = T.StructType([
+    T.StructField("call_key", _STR), T.StructField("response", _STR),
+    T.StructField("error", _STR), T.StructField("attempts", T.IntegerType()),
+    T.StructField("seconds", T.DoubleType()), T.StructField("run_id", _STR),
+])

@@ -3,6 +3,7 @@ import datetime as dt
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks.bindings import CONTEXT, CONTEXT_ROWS, RULE_MAP, RULE_ROWS
@@ -225,3 +226,71 @@ def test_frozen_tables_are_removed(spark):
         where = os.path.dirname(frozen.inputFiles()[0].removeprefix("file://"))
         assert frozen.count() == 5 and os.path.isdir(where)
     assert not os.path.exists(where)
+
+
+def test_rows_that_repeat_an_id_or_have_none(spark):
+    """Twice the same row, twice an id with other texts, and no id: nothing multiplies, nothing waits for ever."""
+    day = dt.date(2024, 1, 2)
+    notes = [("E1", "C1", "click", "sector", "one two three", day)] * 2 + [
+        ("E2", "C1", "click", "sector", "first text", day), ("E2", "C1", "click", "sector", "second text", day),
+        (None, "C1", "click", "sector", "no id", day), (None, "C2", "view", None, "no id either", None)]
+    result = start(spark, notes, spark.createDataFrame([], RUN_LOG))
+    (made,) = result.iterations.collect()
+    assert (made["rows_total"], made["rows_used"], sorted(set(made["used_ids"]))) == (4, 4, ["E1", "E2"])
+    log = sorted((r["eni_id"] or "", r["contact_id"], r["error_message"]) for r in result.log.collect())
+    failed = made["error"] if made["sections"] is not None else "unreadable response"
+    assert log == [("", "C1", "note without an id"), ("", "C2", "note without an id"),
+                   ("E1", "C1", failed), ("E2", "C1", failed)]
+    assert result.deferred.count() == result.oversized.count() == 0
+
+
+class Stop(BaseException):
+    """What no retry catches: the worker dies, and with it the run."""
+
+
+def counting_clients(folder, stop_at=None):
+    folder.mkdir(exist_ok=True)
+
+    def make():
+        import os
+        import uuid
+
+        def call(text):
+            if stop_at is not None and len(os.listdir(folder)) >= stop_at:
+                raise Stop
+            digest = hashlib.md5(text.encode()).hexdigest()
+            (folder / f"{digest}-{uuid.uuid4().hex}").touch()
+            return None if digest[0] in "01" else f"## Personal\n{digest}\n"
+        return call
+    return make
+
+
+def test_a_stopped_run_goes_on_without_a_second_call(spark, tmp_path):
+    notes = make_notes(40)
+    empty = spark.createDataFrame([], "contact_id STRING, generator STRING, version INT")
+    latest = spark.createDataFrame([], "contact_id STRING").select(
+        "contact_id", F.struct(*[F.lit(None).cast("string").alias(s) for s in SECTIONS]).alias("sections"))
+
+    def run(clients, ledger, chunk_calls):
+        return run_profiles(spark.createDataFrame(notes, NOTES), spark.createDataFrame([], RUN_LOG),
+                            rules_frame(spark, RULE_MAP), local_frame(spark, CONTEXT_ROWS, CONTEXT), empty, latest, TEMPLATE,
+                            clients, dt.datetime(2024, 2, 1), window=WINDOW, reserve=RESERVE, cap=CAP, types=list(RULE_MAP),
+                            attempts=1, base_delay=0.0, ledger=str(ledger), run_id="night", chunk_calls=chunk_calls)
+
+    def outcome(result):
+        return (sorted((r["contact_id"], r["version"], r["sections"]["personal"]) for r in result.versions.collect()),
+                sorted((r["eni_id"], r["processing_status"], r["error_message"] or "") for r in result.log.collect()))
+    called = lambda folder: [f.name.split("-")[0] for f in folder.iterdir()]
+    undisturbed = run(counting_clients(tmp_path / "undisturbed"), tmp_path / "ledger-a", 1000)
+    whole, prompts = outcome(undisturbed), called(tmp_path / "undisturbed")
+    first = undisturbed.iterations.filter("ordinal = 1").count()
+    assert len(prompts) == len(set(prompts)) > first + 1
+
+    with pytest.raises(Exception, match="Stop|worker"):
+        run(counting_clients(tmp_path / "stopped", first + 1), tmp_path / "ledger-b", 2)
+    saved = generation.read_calls(spark, str(tmp_path / "ledger-b"), "night").count()
+    assert first <= saved < len(prompts)  # the run was stopped in its second wave
+    assert outcome(run(counting_clients(tmp_path / "restarted"), tmp_path / "ledger-b", 1000)) == whole
+    # only what the chunk had asked in which the run stopped is asked again
+    assert len(called(tmp_path / "restarted")) == len(prompts) - saved
+    assert set(called(tmp_path / "stopped")) | set(called(tmp_path / "restarted")) == set(prompts)
