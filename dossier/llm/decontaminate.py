@@ -5,10 +5,12 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dossier.checkpoints import freeze
 from dossier.llm.tables import table
 from dossier.llm.wordsets import shingles, words
 
@@ -53,14 +55,30 @@ class Index:
     post_impact: np.ndarray
 
 
-def build_index(items: list[tuple[object, str, str]]) -> Index | None:
+@dataclass
+class Corpus:
+    """What BM25 counts over all items, whichever of them an index holds."""
+
+    segments: int
+    words: int
+    terms: np.ndarray  # sorted hashes
+    held: np.ndarray  # segments that hold each term
+
+
+def _split_words(items: list[tuple[str, str]]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Words of the questions, of the answers, and of whole items."""
+    q = list(words([x[0].lower() for x in items], punctuation=False))
+    a = list(words([x[1].lower() for x in items], punctuation=False))
+    return q, a, [np.concatenate([x, y]) if raw[0] != raw[1] else x for x, y, raw in zip(q, a, items)]
+
+
+def build_index(items: list[tuple[object, str, str]], corpus: Corpus | None = None) -> Index | None:
     """Index ``(id, question, answer)``; items without words are left out.
 
-    An item of fewer than SHINGLE words has its whole word sequence as its one shingle.
+    ``corpus`` counts the items of all indexes; without it these are all.  An item of fewer than
+    SHINGLE words has its whole word sequence as its one shingle.
     """
-    q = list(words([x[1].lower() for x in items], punctuation=False))
-    a = list(words([x[2].lower() for x in items], punctuation=False))
-    whole = [np.concatenate([x, y]) if raw[1] != raw[2] else x for x, y, raw in zip(q, a, items)]
+    q, a, whole = _split_words([x[1:] for x in items])
     keep = [i for i, w in enumerate(whole) if len(w)]
     asked = [w if len(w) < SHINGLE else x for x, w in zip(q, whole)]
     if not keep:
@@ -72,8 +90,11 @@ def build_index(items: list[tuple[object, str, str]]) -> Index | None:
     segment, term = cell // len(terms), cell % len(terms)
     size = np.bincount(owner, minlength=len(segments))
     df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (len(segments) - df + 0.5) / (df + 0.5))
-    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[segment] / size.mean()))
+    if corpus is None:
+        corpus = Corpus(len(segments), int(size.sum()), terms, df)
+    held = corpus.held[np.searchsorted(corpus.terms, terms)]
+    idf = np.log(1 + (corpus.segments - held + 0.5) / (held + 0.5))
+    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[segment] * corpus.segments / corpus.words))
     impact = impact / np.bincount(segment, impact)[segment]
     # frequent terms are looked up only where rarer ones have found half of what is needed
     frequent, added = np.zeros(len(terms), bool), np.zeros(len(segments))
@@ -181,26 +202,52 @@ def leaks_of(index: Index, texts: list[str | None]):
     return found
 
 
-def _item_blocks(benchmark: DataFrame):
-    """Indexes of at most ITEMS items each; one block of items is on the driver at a time."""
-    columns = benchmark.columns
-    whole = benchmark.filter("item_id IS NOT NULL")
+def _counted_items(frames):
+    """Question and answer of each item, its segments and words, and in how many segments each term is."""
+    for frame in frames:
+        if "text" in frame:
+            pairs = [split_item(t or "") for t in frame["text"]]
+        else:
+            pairs = [(q or "", a or "") for q, a in zip(frame["question"], frame["answer"])]
+        whole = _split_words(pairs)[2]
+        parts = [_segments(w) if len(w) else [] for w in whole]
+        held = [np.unique(np.concatenate([np.unique(p) for p in x] or [np.zeros(0, np.uint64)]), return_counts=True)
+                for x in parts]
+        yield pd.DataFrame({"item_id": frame["item_id"], "block": frame["block"],
+                            "question": [q for q, _ in pairs], "answer": [a for _, a in pairs],
+                            "segments": [len(x) for x in parts], "words": [len(w) for w in whole],
+                            "terms": [t.view(np.int64) for t, _ in held], "held": [n for _, n in held]})
+
+
+def _item_blocks(benchmark: DataFrame, most: int):
+    """Indexes of ``most`` items or fewer each, all with the counts of the whole benchmark.
+
+    One block of items, and the terms they hold, is on the driver at a time.
+    """
+    given = ["question", "answer"] if {"question", "answer"} <= set(benchmark.columns) else ["text"]
+    whole = benchmark.filter("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), *given)
     total = whole.count()
-    blocks = max(1, -(-2 * total // ITEMS)) if total > ITEMS else 1
+    blocks = -(-2 * total // most) if total > most else 1
+    items = freeze(whole.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int")).mapInPandas(
+        _counted_items, "item_id string, block int, question string, answer string, segments bigint, words bigint, "
+                        "terms array<bigint>, held array<bigint>"))
+    cells = items.select("block", F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("held").alias("held"))))
+    cells = cells.toDF("block", "term", "held")
+    terms = freeze(cells.groupBy("term").agg(F.sum("held").alias("held")))
+    segments, n_words = items.agg(F.sum("segments"), F.sum("words")).first()
     for k in range(blocks):
-        part = whole.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else whole
-        if {"question", "answer"} <= set(columns):
-            rows = [(r["item_id"], r["question"] or "", r["answer"] or "") for r in
-                    part.select("item_id", "question", "answer").orderBy("item_id", "question", "answer").collect()]
-        else:
-            rows = [(r["item_id"], *split_item(r["text"] or "")) for r in
-                    part.select("item_id", "text").orderBy("item_id", "text").collect()]
-        index = build_index(rows)
+        part = items.filter(F.col("block") == k)
+        rows = part.select("item_id", "question", "answer").orderBy("item_id", "question", "answer").collect()
+        of = terms.join(cells.filter(F.col("block") == k).select("term"), "term", "left_semi").toPandas()
+        own = of["term"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(own)
+        index = build_index([tuple(r) for r in rows], Corpus(
+            segments or 0, n_words or 0, own[order], of["held"].to_numpy(np.int64)[order]))
         if index is not None:
             yield index
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, most: int = ITEMS) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` of every leak.
 
     Every passage of every whole text is a query.  An item leaks into a document when a passage
@@ -209,14 +256,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``text``, whose last sentence is taken for the answer, or ``question, answer``.  Words are
     compared in lower case, without ASCII punctuation.  Of an item of fewer than SHINGLE words the
     passage must hold all words in a row.  Null and empty texts hold nothing; items without
-    words, or without an id, are not searched for; repeated rows answer alike.  A large benchmark is searched for in blocks of items, a pass over the texts each.
+    words, or without an id, are not searched for; repeated rows answer alike.  Ids may be of any
+    type that casts to text and back.
+
+    A benchmark of more than ``most`` items is searched for in blocks, a pass over the texts each.
+    Frequencies and lengths are those of all items, so the blocks change no score.  The leaks of a
+    block are written before the next one is indexed, and one index is broadcast at a time.
     """
-    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
-    item_kind = benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id {item_kind}, score double, question_overlap double, answer_overlap double"
-    out = spark.createDataFrame([], schema)
-    for index in _item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+    kind, item_kind = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id")))
+    schema = f"doc_id {kind}, item_id string, score double, question_overlap double, answer_overlap double"
+    out = docs.sparkSession.createDataFrame([], schema)
+    for index in _item_blocks(benchmark, most):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def search(batches, shared=shared):
             for batch in batches:
@@ -224,16 +275,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 text, item, *rest = (list(x) for x in zip(*found)) if found else ([], [], [], [], [])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(text, pa.int64())),
-                     pa.array([shared.value.items[i] for i in item], batch_type), *[pa.array(x, pa.float64()) for x in rest]],
+                     pa.array([shared.value.items[i] for i in item], pa.string()), *[pa.array(x, pa.float64()) for x in rest]],
                     ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-        batch_type = pa.from_numpy_dtype(np.int64) if item_kind in ("bigint", "long") else pa.string() if item_kind == "string" else pa.int32()
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(search, schema))
-    return out
+        out = out.unionByName(freeze(docs.select("doc_id", "text").mapInArrow(search, schema)))
+        shared.unpersist()
+    return out.withColumn("item_id", F.col("item_id").cast(item_kind))
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, into which no item leaks; nothing is shuffled."""
-    for index in _item_blocks(benchmark):
+def without_leaks(docs: DataFrame, benchmark: DataFrame, most: int = ITEMS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, into which no item leaks; nothing is shuffled.
+
+    What leaks, null and empty texts, repeated rows and awkward items are as in :func:`find_leaks`;
+    rows that repeat an id are judged each by its own text.  The blocks of a large benchmark are
+    passed one after the other, and their indexes are broadcast until the result is read.
+    """
+    for index in _item_blocks(benchmark, most):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def clean(batches, shared=shared):

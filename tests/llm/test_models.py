@@ -286,6 +286,25 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(frame(spark), benchmark.filter("false")).count() == 0
 
 
+def test_leaks_do_not_depend_on_blocks(spark):
+    """Scores are the same however many items an index holds, and ids keep their type."""
+    rng = random.Random(31)
+    items = [(i + 0.5, sentence(rng, rng.randrange(6, 150)) + ". Answer " + sentence(rng, 5) + ".") for i in range(60)]
+    texts = []
+    for k, (_, item) in enumerate(items):
+        edited = item.split(" ")
+        edited[k % len(edited)] = "edited"
+        texts.append(f"{sentence(rng, rng.randrange(90))} {' '.join(edited)} {sentence(rng, 70)}")
+    docs, benchmark = frame(spark, texts), spark.createDataFrame(items, "item_id double, text string")
+    whole, *blocks = [{(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(docs, benchmark, most).collect()}
+                      for most in (5000, 20, 7)]
+    assert sum((k, k + 0.5) in whole for k in range(60)) >= 54
+    for other in blocks:
+        assert other.keys() == whole.keys() and all(abs(other[k] - whole[k]) < 1e-12 for k in whole)
+    left = [{r.doc_id for r in decontaminate.without_leaks(docs, benchmark, most).collect()} for most in (5000, 20)]
+    assert left[0] == left[1] == set(range(60)) - {d for d, _ in whole}
+
+
 def test_leaks_of_short_items(spark):
     """Items of one to four words are searched for as a whole, without the cut of plain_leaks."""
     rng = random.Random(12)
