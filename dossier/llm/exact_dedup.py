@@ -39,15 +39,16 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     """For every row, which row of its equal texts stays.
 
     Texts are equal when their digests are.  Of equal texts, the row with the most code points
-    stays, then the smallest id; a null id comes last.  Rows that repeat a document's id and text
-    are the same document and share its answer.  A null text equals the empty one and texts of
+    stays, then the smallest id; a null id comes last.  Of rows that repeat an id and text one
+    stays, whichever is read first, so every group keeps one row.  A null text equals the empty one and texts of
     white space only.  Returns ``doc_id, keep_id, group_size, kept, text_sha256``; other columns
     of ``docs`` are not read, an empty table gives an empty table.
     """
     slim = freeze(docs.select(
         F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("text_sha256"),
-        F.coalesce(F.length(F.col(text)), F.lit(0)).alias("points")))
-    best = F.max(F.struct("points", (-F.col("doc_id")).alias("rank"), "doc_id"))
+        F.coalesce(F.length(F.col(text)), F.lit(0)).alias("points"),
+        F.monotonically_increasing_id().alias("row")))
+    best = F.max(F.struct("points", (-F.col("doc_id")).alias("rank"), "doc_id", (-F.col("row")).alias("row")))
     candidates = freeze(frequent(slim, "text_sha256", most))
     hot = slim.join(F.broadcast(candidates), "text_sha256", "left_semi")
     winners = freeze(hot.groupBy("text_sha256").agg(best.alias("best"), F.count("*").alias("group_size")))
@@ -58,8 +59,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
                   .withColumn("group_size", F.count("*").over(same)))
     return by_map.unionByName(by_shuffle).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
-         & (F.col("points") == F.col("best.points"))).alias("kept"), "text_sha256")
+        (F.col("row") == -F.col("best.row")).alias("kept"), "text_sha256")
 
 
 def op6_exact_dedup(spark, sf_dir):

@@ -8,6 +8,7 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_url_filters": url_filter.op4_url_filters,
     "op5_sharding": sharding.op5_sharding,
+    "sharding_small_limit": sharding.sharding_small_limit,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_packing": packing.op7_packing,
     "op8_language_id": language.op8_language_id,
@@ -21,6 +22,7 @@ ORACLES = {
     "op2_line_dedup": line_dedup.SQL,
     "op4_url_filters": url_filter.SQL,
     "op5_sharding": sharding.SQL,
+    "sharding_small_limit": sharding.SMALL_SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op11_centroid_clustering": clustering.SQL,
     "op12_source_divergence": divergence.SQL,

@@ -8,6 +8,8 @@ from dossier.checkpoints import freeze
 from dossier.llm.tables import table
 
 SHARD_BYTES = 64 << 20
+#: A limit that tables of a few megabytes pass many times over.
+SMALL_SHARD_BYTES = 64 << 10
 #: Bits of the hash that one page of the directory tells apart, as hexadecimal digits of 4 bits.
 PAGE_DIGITS = 3
 PAGE_BITS = 4 * PAGE_DIGITS
@@ -85,11 +87,20 @@ def op5_sharding(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
-SQL = f"""WITH d AS (SELECT doc_id, coalesce(strlen(text), 0)::bigint AS n_bytes,
+def sharding_small_limit(spark, sf_dir):
+    """The same with a limit at which small tables split too."""
+    return assign_shards(table(spark, sf_dir, "documents"), SMALL_SHARD_BYTES)
+
+
+def shard_sql(limit: int) -> str:
+    return f"""WITH d AS (SELECT doc_id, coalesce(strlen(text), 0)::bigint AS n_bytes,
     lpad(bin(('0x' || substr(md5(doc_id::varchar), 1, 12))::ubigint), 48, '0') AS key FROM documents),
 p AS (SELECT d.*, depth, substr(key, 1, depth) AS bits FROM d, range(0, 41) t(depth)),
 b AS (SELECT bits, depth, sum(n_bytes)::bigint AS shard_bytes, count(*) AS rows FROM p GROUP BY 1, 2),
 s AS (SELECT p.doc_id, p.n_bytes, min(p.depth) AS depth FROM p JOIN b USING (bits, depth)
-  WHERE shard_bytes <= {SHARD_BYTES} OR rows = 1 GROUP BY 1, 2)
+  WHERE shard_bytes <= {limit} OR rows = 1 GROUP BY 1, 2)
 SELECT s.doc_id, substr(d.key, 1, s.depth) AS shard, b.shard_bytes, s.n_bytes
 FROM s JOIN d USING (doc_id) JOIN b ON b.depth = s.depth AND b.bits = substr(d.key, 1, s.depth)"""
+
+
+SQL, SMALL_SQL = shard_sql(SHARD_BYTES), shard_sql(SMALL_SHARD_BYTES)

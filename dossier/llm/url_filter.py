@@ -47,7 +47,7 @@ def domain_of(host: Column) -> Column:
 def matching_rule(host: Column, path: Column, rules: Sequence[Rule], give) -> Column:
     """``give(rule)`` of the longest rule that fits, else null; of equally long ones the first."""
     out = F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda r: len(r[1] + r[2])):
+    for rule in sorted(reversed(rules), key=lambda r: len(r[1] + r[2])):
         fits = ((host == rule[1]) | host.endswith(f".{rule[1]}")) & path.startswith(rule[2])
         out = F.when(fits, F.lit(give(rule))).otherwise(out)
     return out

@@ -23,14 +23,18 @@ def test_exact_duplicates(spark):
     rows = exact_dedup.exact_duplicates(awkward_frame(spark)).collect()
     texts = awkward_texts()
     every = list(enumerate(texts)) + [(None, "no id"), (None, "no id"), (5, texts[5])]
-    groups = defaultdict(list)
+    groups, stays = defaultdict(list), set()
     for i, t in every:
         groups[WHITE.sub("", t or "")].append((-len(t or ""), i is None, i))
     want = Counter()
     for i, t in every:
         group = groups[WHITE.sub("", t or "")]
         n, _, best = min(group, key=lambda x: (x[0], x[1], x[2] or 0))
-        want[i, best, len(group), i == best and -len(t or "") == n,
+        # one row of a group stays, also where rows repeat the id and text of it
+        kept = i == best and -len(t or "") == n and WHITE.sub("", t or "") not in stays
+        if kept:
+            stays.add(WHITE.sub("", t or ""))
+        want[i, best, len(group), kept,
              hashlib.sha256(WHITE.sub("", t or "").encode()).hexdigest()] += 1
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in rows) == want
 
@@ -150,6 +154,15 @@ def test_urls(spark):
     assert (rows[3].host, rows[7].host, rows[10].host, rows[10].path) == ("", "", "b.com", "")
 
 
+@pytest.mark.parametrize("first, verdict", [("allow", "allow"), ("block", "block")])
+def test_first_of_equally_long_rules_wins(spark, first, verdict):
+    other = {"allow": "block", "block": "allow"}[first]
+    pages = spark.createDataFrame([(1, "http://a.com/x/y")], "page_id long, url string")
+    rules = [(first, "com", "/x/y"), (other, "a.com", "/x")]
+    row = url_filter.judge_urls(pages, spark.createDataFrame([], "page_id long, bad int"), rules).first()
+    assert (row.rule, row.verdict) == ("com/x/y", verdict)
+
+
 def test_reputation_shrinks_and_filters(spark):
     hosts = [(f"bad{i}.spam.org", 40, 38) for i in range(20)] + [(f"h{i}.good.org", 40, 1) for i in range(20)]
     hosts += [("new.spam.org", 0, 0), ("new.good.org", 0, 0), ("one.good.org", 1, 1)]
