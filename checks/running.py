@@ -9,8 +9,9 @@ from checks.registry import PENDING, SECTIONS, check, cut, tok
 from checks.selection import stamp, stamp_sql
 from checks.storing import results
 from dossier.checkpoints import freeze, run_folder
+from dossier.functions.responses import normalize_records
 from dossier.functions.text import estimate_tokens
-from dossier.operators import budget, generation, metrics, publish, quality, rules
+from dossier.operators import budget, generation, metrics, publish, quality, rules, versions
 from dossier.operators.budget import GROUP
 from dossier.plans import preparation
 from dossier.plans.publication import publish_latest
@@ -425,6 +426,53 @@ def round_trip(spark, sf):
     return lost.agg((F.count(F.lit(1)) == 0).alias("all_read_back"))
 
 
+def open_documents(spark, sf):
+    """A stored document for every text: sections and keys beside them in ``insights``, ``content`` or at the top."""
+    body = [F.col("text").alias("personal"), F.col("lang").alias("3i"), F.col("source").alias("hobbies"),
+            F.col("text").alias('Odd "key"'), F.col("doc_id").alias("n"), F.struct("lang", "doc_id").alias("nested")]
+    ids = [F.concat(F.lit("CNT-"), "doc_id").alias("contact_id"), F.concat(F.lit("E-"), "doc_id").alias("eni_id")]
+    layout = F.col("doc_id") % 3
+    doc = (F.when(layout == 0, F.to_json(F.struct(*ids, F.struct(*body).alias("insights"))))
+           .when(layout == 1, F.to_json(F.struct(*ids, F.struct(*body).alias("content"))))
+           .otherwise(F.to_json(F.struct(*ids, *body))))
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), doc.alias("doc"))
+
+
+EXTRA = [F.col("sections.extra")[k].alias(name) for k, name in
+         (("hobbies", "hobbies"), ('Odd "key"', "odd"), ("n", "n"), ("nested", "nested"))]
+EXTRA_SQL = """personal, three_i, CASE WHEN has THEN source END AS hobbies, CASE WHEN has THEN personal END AS odd,
+  CASE WHEN has THEN CAST(doc_id AS varchar) END AS n, CASE WHEN has THEN concat('{"doc_id":', doc_id,
+    CASE WHEN three_i IS NULL THEN '' ELSE concat(',"lang":"', three_i, '"') END, '}') END AS nested,
+  CASE WHEN has THEN 2 + CAST(source IS NOT NULL AS int) + CAST(personal IS NOT NULL AS int) END AS keys
+  FROM (SELECT doc_id, text AS personal, lang AS three_i, source, doc_id % 3 < 2 AS has FROM documents)"""
+
+
+def _opened(df, *first):
+    return df.select(*first, "sections.personal", "sections.three_i", *EXTRA, F.when(
+        F.col("sections.extra").isNotNull(), F.size("sections.extra")).alias("keys"))
+
+
+@check("f13_extra_sections", "", f"SELECT doc_id AS ord, {EXTRA_SQL}")
+def extra_sections(spark, sf):
+    """keys beside the six sections, with text, numbers and objects for values"""
+    return _opened(normalize_records(open_documents(spark, sf)), "ord")
+
+
+@check("s3_extra_sections", "",
+       f"SELECT concat('CNT-', doc_id) AS contact_id, 1 + CAST(doc_id % 2 AS int) AS version, {EXTRA_SQL}")
+def stored_extra_sections(spark, sf):
+    """The same keys after F13, P15, P16, M2 over a table with keys of its own, S13 and S3"""
+    good, _ = versions.split_records(open_documents(spark, sf))
+    flat = versions.to_rows(good.select("ord", "contact_id", "eni_id", "version", "generator", "sections"))
+    new = versions.from_rows(flat)
+    before = F.col("sections").withField("personal", F.lit("before")).withField(
+        "extra", F.create_map(F.lit("before"), F.lit("x")))
+    old = new.filter("ord % 2 = 1").withColumn("sections", before).drop("ord")
+    dst = run_folder(spark, "profiles")
+    writers.append_profiles(versions.upsert(new, old).drop("action"), dst, datetime(2024, 2, 1))
+    return _opened(read_profiles(spark, dst), "contact_id", "version")
+
+
 @check("x4_profile_run", "profiles")
 def run(spark, sf):
     """The run from notes to versions (rows only here; tests check it against a plain loop)."""

@@ -253,7 +253,7 @@ def p16(spark, sf):
     flat = df.withColumns({"generator": F.lit(None).cast("string"), "record_count": F.lit(None).cast("int"),
                            "processing_status": F.lit(None).cast("string")})
     return versions.from_rows(flat).select("contact_id", "version", "generator", "record_count",
-                                           "processing_status", "sections.*")
+                                           "processing_status", *[F.col("sections")[s].alias(s) for s in SECTIONS])
 
 
 # ---- publication ------------------------------------------------------------------------

@@ -133,7 +133,7 @@ parsed AS (SELECT contact_id, ord, response, CAST(response <> '' AND final IS NO
 def f8(spark, sf):
     """F8 over all response shapes"""
     df = responses.parse_response(frame(spark, sf, "responses"))
-    return df.select("ord", F.col("sections").isNotNull().cast("int").alias("readable"), "sections.*")
+    return df.select("ord", F.col("sections").isNotNull().cast("int").alias("readable"), *[F.col("sections")[s].alias(s) for s in SECTIONS])
 
 
 def _simple(tail: str) -> str:
@@ -159,7 +159,7 @@ def _simple_query(tail: str):
     def run(spark, sf):
         df = responses.parse_response_simple(frame(spark, sf, "responses"), tail=tail)
         extra = [] if tail == "blank" else ["raw_content"]
-        return df.select("ord", "sections.*", *extra)
+        return df.select("ord", *[F.col("sections")[s].alias(s) for s in SECTIONS], *extra)
 
     run.__doc__ = f"F9, {tail}"
     return run
@@ -234,7 +234,7 @@ def f13(spark, sf):
     df = responses.normalize_records(frame(spark, sf, "docs"))
     return df.select("ord", "contact_id", "eni_id", "member_name", "generator", "record_count",
                      "total_eni_ids", "processing_status", "version",
-                     F.array_join("eni_source_types", ",").alias("types"), "sections.*", "record_error")
+                     F.array_join("eni_source_types", ",").alias("types"), *[F.col("sections")[s].alias(s) for s in SECTIONS], "record_error")
 
 
 DISPLAY = """array_to_string(list_transform(string_split({x}, chr(10)), lambda l: CASE WHEN starts_with(l, '  * [') THEN

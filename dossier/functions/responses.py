@@ -46,10 +46,21 @@ def _paths(name: str, key: str) -> list[str]:
     return [f"$.{name}"] if name == key else [f"$.{key}", f"$.{name}"]
 
 
+def extra_sections(v: str) -> str:
+    """SQL of the keys of a JSON object that are none of the six sections, with their values.
+
+    Text stays as it is, any other value is its JSON text; NULL where no key is left or ``v``, the
+    name of a VARIANT column, is no object.
+    """
+    known = ", ".join(f"'{k}'" for k in dict.fromkeys(SECTIONS + JSON_KEYS))
+    left = f"map_filter(try_variant_get({v}, '$', 'map<string,string>'), (k, x) -> k NOT IN ({known}))"
+    return f"if({_is_object(v)} AND size({left}) > 0, {left}, NULL)"
+
+
 def variant_sections(v: str) -> Column:
-    """The six sections of a JSON object, NULL unless each one is text, null or missing.
+    """The sections of a JSON object, NULL unless each of the six is text, null or missing.
 
-    ``v`` names a VARIANT column.
+    Further keys are in ``extra``.  ``v`` names a VARIANT column.
     """
     tests, fields = [_is_object(v)], []
     for name, key in zip(SECTIONS, JSON_KEYS):
@@ -57,9 +68,15 @@ def variant_sections(v: str) -> Column:
         tests += [_is_text(v, p) for p in paths]
         fields.append(f"'{name}', coalesce({', '.join(_text(v, p) for p in paths)}, "
                       "CAST(NULL AS string))")
+    fields.append(f"'extra', {extra_sections(v)}")
     return F.expr(f"if({' AND '.join(tests)}, named_struct({', '.join(fields)}), NULL)")
 
 
+def _under_headings(text: str) -> Column:
+    """Sections of a text with headings, in the form of :func:`variant_sections`."""
+    return heading_sections(text).withField("extra", F.lit(None).cast("map<string,string>"))
+
+
 def _read(v: str, mark: str) -> dict[str, Column]:
     """What a parsed response offers: its sections, or the text it wraps them in."""
     path = f"$.{WRAPPER_KEY}"
@@ -70,7 +87,9 @@ def _read(v: str, mark: str) -> dict[str, Column]:
 
 
 def parse_response(df: DataFrame, response: str = "response", out: str = "sections") -> DataFrame:
-    """F8: add a struct column with the six sections of each response, NULL when unreadable.
+    """F8: add a struct column with the sections of each response, NULL when unreadable.
+
+    Keys of a JSON response beside the six are in ``extra``.
 
     A fenced ``json`` block is taken at its word: if it does not parse the result is NULL.
     Without one the whole text, then any fenced block, then headings are tried.  An outcome
@@ -85,8 +104,8 @@ def parse_response(df: DataFrame, response: str = "response", out: str = "sectio
     staged = once(staged, _second=F.when(
         unread & r.rlike(ANY_FENCE), F.try_parse_json(F.regexp_extract(r, ANY_FENCE, 1))))
     staged = once(staged, **_read("_second", "2"))
-    staged = once(staged, _under=heading_sections("coalesce(_wrapped1, _wrapped2)"),
-                  _headings=heading_sections(f"`{response}`"))
+    staged = once(staged, _under=_under_headings("coalesce(_wrapped1, _wrapped2)"),
+                  _headings=_under_headings(f"`{response}`"))
     found = (F.when(col("_wrapped1").isNotNull(), col("_under"))
              .when(col("_plain1").isNotNull(), col("_plain1"))
              .when(col("_fenced"), F.lit(None))
@@ -109,7 +128,8 @@ def parse_response_simple(df: DataFrame, response: str = "response", tail: str =
     """
     r = F.col(response)
     fenced = F.coalesce(r.rlike(JSON_FENCE), F.lit(False))
-    empty = F.struct(*[F.lit("").alias(s) for s in SECTIONS])
+    empty = F.struct(*[F.lit("").alias(s) for s in SECTIONS],
+                     F.lit(None).cast("map<string,string>").alias("extra"))
     block = F.when(fenced, F.try_parse_json(F.regexp_extract(r, JSON_FENCE, 1)))
     # only "raw" goes on to the whole text after a fence that fails or holds nothing
     staged = once(once(df, _block=block), _block_text=F.to_json("_block"))
@@ -142,7 +162,8 @@ def normalize_records(df: DataFrame, doc: str = "doc") -> DataFrame:
 
     The id may be spelled three ways at the top or in ``metadata``; the sections may sit in
     ``insights``, in ``content`` or at the top; a top-level value that is empty or zero gives
-    way to the one in ``metadata``.  Records without an id or with sections that are not text
+    way to the one in ``metadata``.  Further keys of ``insights`` or ``content`` are kept in
+    ``sections.extra``; at the top they are no sections.  Records without an id or with sections that are not text
     keep their row and get ``record_error``.
     """
     def first_id(prefix: str) -> str:
@@ -177,11 +198,14 @@ def normalize_records(df: DataFrame, doc: str = "doc") -> DataFrame:
         "version": "coalesce(try_variant_get(_v, '$.metadata.version', 'int'), 1)",
         "_body": f"CASE WHEN {_is_object(_inner('_v', '$.insights'))} THEN {_inner('_v', '$.insights')} "
                  f"WHEN {_is_object(_inner('_v', '$.content'))} THEN {_inner('_v', '$.content')} ELSE _v END",
+        "_open": f"{_is_object(_inner('_v', '$.insights'))} OR {_is_object(_inner('_v', '$.content'))}",
     }
     staged = once(df, _v=F.try_parse_json(F.col(doc)))
     staged = once(staged, **{name: F.expr(sql) for name, sql in fields.items()})
-    staged = once(staged, sections=variant_sections("_body"))
+    staged = once(staged, _found=variant_sections("_body"))
+    extra = F.when(F.col("_open"), F.col("_found.extra"))
+    staged = once(staged, sections=F.col("_found").withField("extra", extra))
     error = F.expr(f"CASE WHEN NOT {_is_object('_v')} THEN 'Invalid JSON' "
                    "WHEN coalesce(contact_id, '') = '' THEN 'Missing contact_id' "
                    "WHEN sections IS NULL THEN 'Invalid content format' END")
-    return once(staged, record_error=error).drop("_v", "_body")
+    return once(staged, record_error=error).drop("_v", "_body", "_open", "_found")

@@ -1,9 +1,9 @@
 """Profile sections: headings, JSON text, citations, display form."""
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions.text import WHITE_SPACE, is_blank, strip
-from dossier.schemas import HEADINGS, JSON_KEYS, NO_DATE, NOTE_SECTIONS, SECTIONS
+from dossier.schemas import HEADINGS, INSIGHTS, JSON_KEYS, NO_DATE, NOTE_SECTIONS, SECTIONS
 
 # Fixed value: a citation is ``[date,id]`` or ``[date,id,type]``.
 CITATION = r"\[([^,\]]+),([^\]]+)\]"
@@ -70,6 +70,14 @@ def all_empty(s: Column) -> Column:
     return out
 
 
+def stored_sections(df: DataFrame) -> DataFrame:
+    """``sections`` in the form they are stored in, whichever fields they came with."""
+    have = df.schema["sections"].dataType.names
+    fields = [(F.col("sections")[f.name] if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+              for f in INSIGHTS]
+    return df.withColumn("sections", F.when(F.col("sections").isNotNull(), F.struct(*fields)))
+
+
 def json_string(c: Column) -> Column:
     """A text as a quoted JSON string; NULL stays NULL."""
     doc = F.to_json(F.struct(c.alias("v")))

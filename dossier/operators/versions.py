@@ -6,7 +6,7 @@ whole to a new path by the sinks; these functions only say what the new content
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.functions.responses import normalize_records
+from dossier.functions.responses import extra_sections, normalize_records, once
 from dossier.operators.ordering import number_within
 from dossier.schemas import DEFAULT_GENERATOR, JSON_KEYS, SECTIONS
 
@@ -198,18 +198,25 @@ METRICS = ("est_input_tokens", "est_insights_tokens", "generation_time_seconds")
 
 
 def to_rows(df: DataFrame) -> DataFrame:
-    """Flat storage row per profile; sections as one JSON text, NULL fields left out."""
+    """Flat storage row per profile; sections as one JSON text, further keys behind the six."""
     sections = F.to_json(F.struct(*[F.col("sections")[s].alias(s) for s in SECTIONS]),
                          {"ignoreNullFields": "false"})
+    if "extra" in df.schema["sections"].dataType.names:
+        extra = F.col("sections.extra")
+        both = F.concat(F.substring(sections, F.lit(1), F.length(sections) - 1), F.lit(","),
+                        F.substr(F.to_json(extra, {"ignoreNullFields": "false"}), F.lit(2)))
+        sections = F.when(F.size(extra) > 0, both).otherwise(sections)
     return df.select(*[c for c in df.columns if c != "sections"], sections.alias("insights"))
 
 
 def from_rows(df: DataFrame) -> DataFrame:
     """Typed profile from a flat storage row, with defaults for what is missing.
 
-    The network section is read under either of its spellings.
+    The network section is read under either of its spellings; keys beside the six are in
+    ``sections.extra``.
     """
-    v = F.try_parse_json("insights")
+    df = once(df, _v=F.try_parse_json("insights"))
+    v = F.col("_v")
 
     def text(i: int) -> Column:
         name, key = SECTIONS[i], JSON_KEYS[i]
@@ -220,6 +227,6 @@ def from_rows(df: DataFrame) -> DataFrame:
                 "total_eni_ids": F.lit(1), "processing_status": F.lit("completed"),
                 "version": F.lit(1)}
     kept = [F.coalesce(F.col(c), defaults[c]).alias(c) if c in defaults else F.col(c)
-            for c in df.columns if c != "insights"]
-    return df.select(*kept, F.struct(*[text(i).alias(s) for i, s in enumerate(SECTIONS)])
-                     .alias("sections"))
+            for c in df.columns if c not in ("insights", "_v")]
+    return df.select(*kept, F.struct(*[text(i).alias(s) for i, s in enumerate(SECTIONS)],
+                                     F.expr(extra_sections("_v")).alias("extra")).alias("sections"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dossier.checkpoints import freeze
 from dossier.functions.responses import parse_response, parse_response_simple
+from dossier.functions.sections import stored_sections
 from dossier.functions.text import contact_all_id, estimate_tokens, group_id, render
 from dossier.operators.budget import GROUP, PROMPT_KEYS, combine_groups, with_profile
 from dossier.operators.generation import generate, generate_once, next_state, wave_numbers
@@ -71,7 +72,7 @@ def run_profiles(notes: DataFrame, log: DataFrame, rules: DataFrame, context: Da
     groups = freeze(group_ordinal(group_frame(pending)))
     work = freeze(pending.join(groups.select(*GROUP, "ordinal"), GROUP), ("ordinal",))
 
-    state = freeze(latest.select("contact_id", "sections").join(
+    state = freeze(stored_sections(latest.select("contact_id", "sections")).join(
         groups.select("contact_id").distinct(), "contact_id", "left_semi"))
     done: list[DataFrame] = []
     large: list[DataFrame] = []

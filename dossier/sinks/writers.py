@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dossier.functions.sections import stored_sections
 from dossier.operators.metrics import run_totals
 from dossier.schemas import PROFILE_VERSIONS
 from dossier.sinks.builders import contact_report
@@ -28,15 +29,14 @@ def storage_profiles(rows: DataFrame, now: datetime | None = None) -> DataFrame:
     def stored(field):
         name, kind = field.name, field.dataType
         if name == "insights" and "sections" in rows.columns:
-            have = rows.schema["sections"].dataType.names
-            return F.when(F.col("sections").isNotNull(), F.struct(*[
-                (F.col("sections")[f.name] if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in kind])).alias(name)
+            return F.col("sections").alias(name)
         value = F.col(name) if name in rows.columns else F.lit(None)
         if name in ("created_at", "updated_at") and now is not None:
             value = F.coalesce(value, F.lit(now))
         return value.cast(kind).alias(name)
 
+    if "sections" in rows.columns:
+        rows = stored_sections(rows)
     return rows.select(*[stored(f) for f in PROFILE_VERSIONS])
 
 

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dossier.functions import prompts, responses, sections, text
+from dossier.operators import versions
 from dossier.schemas import SECTIONS
 
 
@@ -139,6 +140,29 @@ def test_falsy_top_level_gives_way(spark):
     assert (row["record_count"], row["eni_id"], row["total_eni_ids"]) == (5, "E", 1)
 
 
+@pytest.mark.parametrize("response,extra", [
+    ('{"personal": "x", "hobbies": "chess", "n": [1, null], "none": null}', {"hobbies": "chess", "n": "[1,null]", "none": None}),
+    ('```json\n{"3i": "x", "three_i": "y"}\n```', None),
+    ('text ```\n{"deals": "x", "$.a \\"b\\"": "c"}\n```', {'$.a "b"': "c"}),
+    ('{"existing_member_summary": "## Deals\\nx", "hobbies": "chess"}', None), ("## Deals\nx", None)])
+def test_extra_keys_of_a_response(spark, response, extra):
+    df = spark.createDataFrame([(response,)], "response STRING")
+    got = responses.parse_response(df).first()["sections"]
+    assert got["extra"] == extra and any(got[s] for s in SECTIONS)
+    if not response.startswith("text") and "##" not in response:
+        assert responses.parse_response_simple(df).first()["sections"]["extra"] == extra
+
+
+def test_extra_keys_in_flat_rows(spark):
+    """Rows without further keys are written as before, and a null value stays a key."""
+    docs = ['{"contact_id": "a", "content": {"deals": "x", "none": null, "q": "\\"\\\\"}}', '{"contact_id": "b", "content": {}}']
+    good = responses.normalize_records(spark.createDataFrame([(d,) for d in docs], "doc STRING")).select("contact_id", "sections")
+    flat = versions.to_rows(good)
+    assert [r["insights"].count("null") for r in flat.orderBy("contact_id").collect()] == [6, 6]
+    back = {r["contact_id"]: r["sections"]["extra"] for r in versions.from_rows(flat).collect()}
+    assert back == {"a": {"none": None, "q": '"\\'}, "b": None}
+
+
 def test_profile_json_is_readable(spark):
     import json
     df = spark.createDataFrame([('a "q"\n\\', None, None, "n", None, "ü\t")], ", ".join(f"{s} STRING" for s in SECTIONS))
