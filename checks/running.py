@@ -438,8 +438,7 @@ def open_documents(spark, sf):
     return table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), doc.alias("doc"))
 
 
-EXTRA = [F.col("sections.extra")[k].alias(name) for k, name in
-         (("hobbies", "hobbies"), ('Odd "key"', "odd"), ("n", "n"), ("nested", "nested"))]
+EXTRA = (("hobbies", "hobbies"), ('Odd "key"', "odd"), ("n", "n"), ("nested", "nested"))
 EXTRA_SQL = """personal, three_i, CASE WHEN has THEN source END AS hobbies, CASE WHEN has THEN personal END AS odd,
   CASE WHEN has THEN CAST(doc_id AS varchar) END AS n, CASE WHEN has THEN concat('{"doc_id":', doc_id,
     CASE WHEN three_i IS NULL THEN '' ELSE concat(',"lang":"', three_i, '"') END, '}') END AS nested,
@@ -448,7 +447,8 @@ EXTRA_SQL = """personal, three_i, CASE WHEN has THEN source END AS hobbies, CASE
 
 
 def _opened(df, *first):
-    return df.select(*first, "sections.personal", "sections.three_i", *EXTRA, F.when(
+    extra = [F.col("sections.extra")[key].alias(name) for key, name in EXTRA]
+    return df.select(*first, "sections.personal", "sections.three_i", *extra, F.when(
         F.col("sections.extra").isNotNull(), F.size("sections.extra")).alias("keys"))
 
 

@@ -294,3 +294,32 @@ def test_a_stopped_run_goes_on_without_a_second_call(spark, tmp_path):
     # only what the chunk had asked in which the run stopped is asked again
     assert len(called(tmp_path / "restarted")) == len(prompts) - saved
     assert set(called(tmp_path / "stopped")) | set(called(tmp_path / "restarted")) == set(prompts)
+
+
+def test_a_run_over_what_an_earlier_run_stored(spark, tmp_path):
+    """Keys beside the six sections are stored with a version, and stored profiles are where the next run begins."""
+    from dossier.operators.versions import latest_versions
+    from dossier.sinks.writers import append_profiles
+    from dossier.sources.tables import read_profiles
+
+    def client():
+        return lambda prompt: '{"personal": "' + ("more" if "first" in prompt else "first") + '", "hobbies": "chess"}'
+
+    def run_over(versions, latest, notes):
+        return run_profiles(spark.createDataFrame(notes, NOTES), spark.createDataFrame([], RUN_LOG), rules_frame(spark, RULE_MAP),
+                            local_frame(spark, CONTEXT_ROWS, CONTEXT), versions, latest, TEMPLATE, client, dt.datetime(2024, 2, 1),
+                            window=WINDOW, reserve=RESERVE, cap=CAP, types=list(RULE_MAP), attempts=1, base_delay=0.0)
+    notes = [(f"E{i}", f"CNT-00000{i}", "click", None, "a note", None) for i in (1, 2)]
+    path = str(tmp_path / "profiles")
+    empty = spark.createDataFrame([], "contact_id STRING, generator STRING, version INT, sections STRUCT<"
+                                  + ", ".join(f"{s}: STRING" for s in SECTIONS) + ">")
+    append_profiles(run_over(empty, empty, notes).versions, path, dt.datetime(2024, 2, 1))
+    stored = read_profiles(spark, path)
+    second = run_over(stored, latest_versions(stored), [("E3", "CNT-000001", "click", None, "a later note", None),
+                                                        ("E4", "CNT-000003", "click", None, "a new contact", None)])
+    append_profiles(second.versions, path, dt.datetime(2024, 2, 2))
+    got = {(r["contact_id"], r["version"]): (r["sections"]["personal"], r["sections"]["extra"])
+           for r in read_profiles(spark, path).collect()}
+    extra = {"hobbies": "chess"}
+    assert got == {("CNT-000001", 1): ("first", extra), ("CNT-000001", 2): ("more", extra),
+                   ("CNT-000002", 1): ("first", extra), ("CNT-000003", 1): ("first", extra)}
