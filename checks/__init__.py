@@ -3,6 +3,6 @@
 
 def load():
     """(queries, oracles) of all check modules."""
-    from checks import grouping, moving, running, selection, storing, texts  # noqa: F401
+    from checks import grouping, layouts, moving, running, selection, storing, texts  # noqa: F401
     from checks.registry import ORACLES, QUERIES
     return QUERIES, ORACLES
