@@ -174,6 +174,15 @@ def s14(spark, sf):
     return spark.read.schema("name STRING, doc STRING").json(dst)
 
 
+@check("s14_documents_by_name", "docs", "SELECT name, coalesce(doc, '') AS doc FROM docs")
+def s14_by_name(spark, sf):
+    """One file per document by Spark's commit, written twice: names are replaced, not added"""
+    dst = run_folder(spark, "by-name")
+    for _ in range(2):
+        files.write_documents_by_name(named_docs(spark, sf, "doc"), dst, "doc")
+    return sources.read_documents_by_name(spark, dst).withColumnRenamed("text", "doc")
+
+
 @check("s16_append_events", "run_events",
        f"SELECT 'run-1' AS run_id, event_id, stage, {stamp_sql('happened_at')} AS \"timestamp\" FROM run_events UNION ALL SELECT 'run-2', "
        "event_id, stage, '2024-01-01 12:00:00' FROM run_events")

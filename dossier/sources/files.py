@@ -12,6 +12,12 @@ def _whole(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
                     F.col("_metadata.file_name").alias("name"), F.col("value").alias("content")))
 
 
+def read_documents_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, text) of documents that ``write_documents_by_name`` wrote; a filter on names lists only their folders."""
+    stored = spark.read.schema("value STRING, name STRING").text(folder, wholetext=True)
+    return stored.select("name", F.regexp_replace("value", r"\n\z", "").alias("text"))
+
+
 def read_profile_json(spark: SparkSession, folder: str) -> DataFrame:
     """One document per file; bad JSON keeps its row and gets ``doc_error``."""
     docs = _whole(spark, folder, "*.json").withColumnRenamed("content", "doc")
