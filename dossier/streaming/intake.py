@@ -3,9 +3,10 @@
 Event times must be timestamps with a zone: ``TIMESTAMP_NTZ`` columns are cast first, as
 watermarks do not take them.
 """
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,15 +17,16 @@ from dossier.operators.versions import latest_versions
 from dossier.schemas import DEFAULT_GENERATOR
 
 
-def new_notes(batch: DataFrame, log: DataFrame, delivered: DataFrame | None = None) -> DataFrame:
-    """Notes of a batch that are neither logged nor delivered yet, each id once.
-
-    A note's date plays no part: late notes are as new as others.
-    """
-    fresh = unprocessed(batch.dropDuplicates(["eni_id"]), log)
-    if delivered is None:
-        return fresh
-    return fresh.join(delivered.select("eni_id").distinct(), "eni_id", "left_anti").select(*batch.columns)
+@contextmanager
+def _state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state on disk and not on the heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _earlier(batch: DataFrame, dst: str, epoch: int) -> DataFrame | None:
@@ -35,16 +37,22 @@ def _earlier(batch: DataFrame, dst: str, epoch: int) -> DataFrame | None:
 
 
 def stream_notes(stream: DataFrame, log: DataFrame, dst: str, checkpoint: str) -> StreamingQuery:
-    """Run :func:`new_notes` over what has arrived and add it to ``dst``, a folder per batch.
+    """Notes that are neither logged nor delivered yet, added to ``dst``, a folder per batch.
 
-    A batch that is run again after a failure overwrites its own folder, so every note is
-    delivered once.
+    Delivered ids are keyed state of the stream, held in RocksDB and kept with ``checkpoint``: a
+    batch reads what arrived and the log, and never what earlier batches wrote.  The state has no
+    time limit, as a note may arrive at any later time.  Notes without an id count as the same when
+    the whole row is the same.  A batch that is run again after a failure starts from the state
+    before it and overwrites its own folder, so every note is delivered once.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        new_notes(batch, log, _earlier(batch, dst, epoch)).write.mode("overwrite").parquet(f"{dst}/epoch={epoch}")
+        unprocessed(batch, log).select(*batch.columns).write.mode("overwrite").parquet(f"{dst}/epoch={epoch}")
 
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    whole = F.concat(F.lit("\0"), F.sha2(F.to_json(F.struct(*stream.columns)), 256))
+    fresh = stream.withColumn("_key", F.coalesce("eni_id", whole)).dropDuplicates(["_key"]).drop("_key")
+    with _state_in_rocksdb(stream.sparkSession):
+        return (fresh.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start())
 
 
 def interval_metrics(stream: DataFrame, time: str = "timestamp", every: str = "30 seconds",
