@@ -9,6 +9,7 @@ from checks.registry import SECTIONS, check, quoted
 from checks.selection import stamp, stamp_sql, with_sources
 from checks.texts import RECORDS, display, note_content
 from dossier.functions.responses import normalize_records
+from dossier.functions.text import whole_json
 from dossier.operators import metrics, publish, quality, versions
 from dossier.sinks import builders
 
@@ -384,7 +385,7 @@ META = """concat('{', chr(10), '    "contact_id": ', {c}, ',', chr(10), '    "en
        "WHERE NOT json_valid(response)")
 def s14(spark, sf):
     """S14 for responses that are not JSON"""
-    df = frame(spark, sf, "responses").filter(F.try_parse_json("response").isNull())
+    df = frame(spark, sf, "responses").filter(whole_json(F.col("response")).isNull())
     doc = builders.profile_document(
         F.col("contact_id"), F.lit("E1"), F.col("response"), F.lit("2024-01-01T12:00:00"),
         [("eni_source_type", F.lit('"click"')), ("record_count", F.lit("3"))])
@@ -396,9 +397,9 @@ def s14(spark, sf):
        "business, json_extract_string(response, '$[0]') AS first, contact_id FROM responses WHERE json_valid(response)")
 def s14b(spark, sf):
     """S14 for responses that are JSON, objects and arrays, read back"""
-    df = frame(spark, sf, "responses").filter(F.try_parse_json("response").isNotNull())
+    df = frame(spark, sf, "responses").filter(whole_json(F.col("response")).isNotNull())
     doc = builders.profile_document(F.col("contact_id"), F.lit("E1"), F.col("response"), F.lit("now"))
-    v = F.try_parse_json(doc)
+    v = whole_json(doc)
     return df.select("ord", F.try_variant_get(v, "$.insights.personal", "string").alias("personal"),
                      F.try_variant_get(v, "$.insights.business", "string").alias("business"),
                      F.try_variant_get(v, "$.insights[0]", "string").alias("first"),

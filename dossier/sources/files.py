@@ -2,7 +2,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.functions.text import contact_from_name, id_from_name, strip
+from dossier.functions.text import contact_from_name, id_from_name, strip, whole_json
 
 
 def _whole(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -21,7 +21,7 @@ def read_documents_by_name(spark: SparkSession, folder: str) -> DataFrame:
 def read_profile_json(spark: SparkSession, folder: str) -> DataFrame:
     """One document per file; bad JSON keeps its row and gets ``doc_error``."""
     docs = _whole(spark, folder, "*.json").withColumnRenamed("content", "doc")
-    bad = F.try_parse_json("doc").isNull()
+    bad = whole_json(F.col("doc")).isNull()
     return docs.withColumn("doc_error", F.when(bad, F.lit("Invalid JSON")))
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from dossier.functions import prompts, responses, sections, text
 from dossier.operators import versions
 from dossier.schemas import SECTIONS
+from dossier.sinks import builders
 
 
 def one(spark, value, fn):
@@ -122,6 +123,23 @@ def test_simple_tails(spark):
     assert responses.parse_response_simple(df, tail="blank").first()["sections"]["deals"] == ""
 
 
+@pytest.mark.parametrize("value,want", [
+    ('{"a": 1} x', None), ('4763 words', None), ('"a" b', None), ('1, 2', None), ('1] 2', None), ('{"a": 1}{"a": 2}', None),
+    ('', None), (None, None), (' {"a": [1, "]"]}\n', '{"a":[1,"]"]}'), ('[1, 2]', '[1,2]'), ('4763', '4763'), ('null', 'null'),
+])
+def test_json_is_a_whole_text(spark, value, want):
+    df = spark.createDataFrame([(value,)], "t STRING")
+    assert df.select(F.to_json(text.whole_json(F.col("t")))).first()[0] == want
+
+
+def test_words_after_a_number_are_no_response(spark):
+    df = spark.createDataFrame([("4763 words",)], "response STRING")
+    assert responses.parse_response_simple(df, tail="raw").first()["raw_content"] == "4763 words"
+    assert responses.parse_response_simple(df, tail="error").first()["parse_error"]
+    doc = builders.profile_document(F.lit("C"), F.lit("E"), F.col("response"), F.lit("now"))
+    assert '"raw_content":"4763 words"' in df.select(doc).first()[0]
+
+
 @pytest.mark.parametrize("doc,cid,error", [
     ('{"contactId": "CNT-000001", "content": {"personal": "x"}}', "CNT-000001", None),
     ('{"contact_id": "", "metadata": {"Contact_ID": "CNT-000002"}, "personal": "x"}', "CNT-000002", None),
