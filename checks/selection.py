@@ -1,6 +1,8 @@
 """Scans, predicates, joins, counts, orders (S1-S3, S8, S11, P*, J1-J3, A1-A3, W4, W6, W7, O*, U1)."""
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.bindings import RULE_MAP, frame
@@ -340,16 +342,20 @@ LOGGED = """logged AS (SELECT contact_id, max(processed_at) AS seen_at FROM run_
   WHERE processing_status = 'completed' GROUP BY contact_id)"""
 
 
-@check("o3_page", "run_log",
-       "SELECT 'page' AS part, contact_id FROM (SELECT contact_id FROM logged ORDER BY seen_at NULLS FIRST, contact_id "
-       "LIMIT 30 OFFSET 15) UNION ALL SELECT 'rest', contact_id FROM (SELECT contact_id FROM logged ORDER BY "
-       "seen_at NULLS FIRST, contact_id OFFSET 45)", LOGGED)
+def _pages(prefix: str, source: str) -> str:
+    return (f"SELECT '{prefix}page' AS part, contact_id FROM (SELECT contact_id FROM {source} ORDER BY seen_at NULLS FIRST, contact_id "
+            f"LIMIT 30 OFFSET 15) UNION ALL SELECT '{prefix}rest', contact_id FROM (SELECT contact_id FROM {source} ORDER BY "
+            "seen_at NULLS FIRST, contact_id OFFSET 45)")
+
+
+@check("o3_page", "notes run_log", _pages("", "cl") + " UNION ALL " + _pages("log ", "logged"), LATEST + ",\n" + LOGGED)
 def o3(spark, sf):
-    """O3: a page of the contacts of the log, and all after it."""
-    df = selection.last_processed(frame(spark, sf, "run_log"))
-    first = selection.selection_page(df, 30, 15).select(F.lit("page").alias("part"), "contact_id")
-    rest = selection.selection_page(df, None, 45).select(F.lit("rest").alias("part"), "contact_id")
-    return first.unionByName(rest)
+    """O3: a page of the contacts with notes, seen or not, and all after it; the same of all contacts of the log."""
+    parts = []
+    for prefix, df in (("", last_seen(spark, sf)), ("log ", selection.last_processed(frame(spark, sf, "run_log")))):
+        parts += [selection.selection_page(df, 30, 15).select(F.lit(f"{prefix}page").alias("part"), "contact_id"),
+                  selection.selection_page(df, None, 45).select(F.lit(f"{prefix}rest").alias("part"), "contact_id")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @check("o4_list_page", "run_log",

@@ -44,3 +44,14 @@ def test_selected_contacts_keep_their_first_place(spark):
     assert [r["contact_id"] for r in got] == ["b", "a"]
     got = selection.select_contacts_sql(spark, sql + " LIMIT 1", {"generator": "0"}, limit=2).collect()
     assert [r["contact_id"] for r in got] == ["b"]
+
+
+def test_a_page_is_of_all_contacts_with_notes(spark):
+    """Contacts that no run has seen are in the page and in the rest, beside those of the log."""
+    from checks import load
+    sf = "/root/testdata/sf0.01"
+    parts = load()[0]["o3_page"](spark, sf).groupBy("part").count().collect()
+    notes = spark.read.parquet(f"{sf}/events.parquet").filter("event_id % 11 > 1").select("user_id").distinct().count()
+    found = {r["part"]: r["count"] for r in parts}
+    assert (found["page"], found["rest"]) == (30, notes - 45)
+    assert found["log page"] == 30 and found["log rest"] > 0
