@@ -113,8 +113,8 @@ def s7(spark, sf):
        "SELECT source AS type, string_agg(DISTINCT lang, ',' ORDER BY lang) AS subtypes FROM documents GROUP BY source")
 def s7b(spark, sf):
     """The listing, by language"""
-    files_read = sources.read_context(spark, corpus(spark, sf))
-    df = sources.available_subtypes(files_read.withColumn("subtype", F.substring_index("subtype", "-", 1)))
+    listed = sources.list_context(spark, corpus(spark, sf))
+    df = sources.available_subtypes(listed.withColumn("subtype", F.substring_index("subtype", "-", 1)))
     return df.select("type", F.array_join("subtypes", ",").alias("subtypes"))
 
 

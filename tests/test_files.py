@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dossier.sinks.files import write_documents_by_name, write_named_files
+from dossier.sources import files as sources
 from dossier.sources.files import read_documents_by_name
 
 DOCS = [("a.md", "one\n\n"), ("b/c=d %.md", "\r\n two"), ("007", ""), ("e.md", None), ("ä.md", "x" * 100_000),
@@ -58,3 +59,27 @@ def test_named_files_through_the_file_system_of_the_path(spark, tmp_path, prefix
 def test_a_file_system_that_tasks_cannot_open_is_refused(spark, tmp_path):
     with pytest.raises(Exception, match="nowhere"):
         write_named_files(docs(spark, [("a", "b")]), "nowhere://host/folder")
+
+
+def test_tasks_list_and_read_files(spark, tmp_path):
+    """Files of sub-folders and with odd names and bytes are read, hidden ones and other endings are not; no index of them is made."""
+    found = {"a.md": b"one", "view/b c%.md": b"\r\n", "view/deep/d.md": b"", "view/deep/e.md": b"\xff\x00"}
+    for name, text in {**found, ".f.md": b"x", "_g/h.md": b"x", "view/i.json": b"x"}.items():
+        path = tmp_path / "f" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(text)
+    folder = str(tmp_path / "f")
+    df = sources.read_context(spark, folder)
+    assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString()
+    got = {r["path"].removeprefix(folder + "/"): (r["type"], r["subtype"], bytes(r["b"]), r["length"])
+           for r in df.withColumn("b", F.col("content").cast("binary")).collect()}
+    assert got == {n: (("f/" + n).split("/")[-2], n.split("/")[-1][:-3], t, len(t)) for n, t in found.items()}
+    listed = {(r["path"].removeprefix(folder + "/"), r["length"]) for r in sources.list_context(spark, folder).collect()}
+    assert listed == {(n, len(t)) for n, t in found.items()}
+
+
+def test_a_document_is_staged_and_moved(spark, tmp_path):
+    """Nothing but the folders of the documents is left of a write: no staged file, no marker, no checksum."""
+    write_documents_by_name(docs(spark, DOCS), f"{tmp_path}/d")
+    assert sorted(p.name for p in (tmp_path / "d").iterdir()) == sorted(
+        ["name=a.md", "name=b%2Fc%3Dd %25.md", "name=007", "name=e.md", "name=ä.md", "name=twice"])
