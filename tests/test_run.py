@@ -296,6 +296,40 @@ def test_a_stopped_run_goes_on_without_a_second_call(spark, tmp_path):
     assert set(called(tmp_path / "stopped")) | set(called(tmp_path / "restarted")) == set(prompts)
 
 
+def jobs_of(spark, name, action):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return action(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_chunks_of_a_ledger_are_tasks(spark, tmp_path):
+    """The jobs do not grow with the calls, and the chunks of a job that fails stay."""
+    prompts = spark.createDataFrame([(f"p{i}",) for i in range(80)], "prompt STRING")
+
+    def clients(stop):
+        def make():
+            def call(text):
+                if stop and text == "p7":
+                    import time
+                    time.sleep(8)  # the other chunks end before
+                    raise KeyboardInterrupt
+                return f"answer to {text}"
+            return call
+        return make
+
+    with pytest.raises(Exception):
+        generation.generate_once(prompts, clients(True), str(tmp_path / "ledger"), "r", 2, attempts=1)
+    assert 60 <= generation.read_calls(spark, str(tmp_path / "ledger"), "r").count() < 80
+    out, few = jobs_of(spark, "few", lambda: generation.generate_once(prompts, clients(False), str(tmp_path / "ledger"), "r", 40))
+    assert sorted(r["response"] for r in out.collect()) == sorted(f"answer to p{i}" for i in range(80))
+    _, many = jobs_of(spark, "many", lambda: generation.generate_once(prompts, clients(False), str(tmp_path / "other"), "r", 2))
+    assert many <= few + 2
+    out = generation.generate_once(prompts, clients(False), str(tmp_path / "bounded"), "r", 30, concurrency=2)
+    assert out.count() == 80
+
+
 def test_a_run_over_what_an_earlier_run_stored(spark, tmp_path):
     """Keys beside the six sections are stored with a version, and stored profiles are where the next run begins."""
     from dossier.operators.versions import latest_versions
