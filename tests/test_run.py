@@ -357,3 +357,15 @@ def test_a_run_over_what_an_earlier_run_stored(spark, tmp_path):
     extra = {"hobbies": "chess"}
     assert got == {("CNT-000001", 1): ("first", extra), ("CNT-000001", 2): ("more", extra),
                    ("CNT-000002", 1): ("first", extra), ("CNT-000003", 1): ("first", extra)}
+
+
+def test_a_wave_writes_four_tables(spark):
+    """Prompt parts, sizes of the notes, answers and profiles; notes meet their group's room one time."""
+    from dossier import checkpoints
+
+    notes = [(f"E{i}", "CNT-000001", kind, None, "a note", None) for i, kind in enumerate(("click", "view"))]
+    with checkpoints.released_after(spark):
+        result = start(spark, notes, spark.createDataFrame([], RUN_LOG))
+        before_waves, waves, numbering = 4, 2, 1
+        assert len(checkpoints._KEPT[-1]) <= before_waves + 4 * waves + numbering
+        assert result.iterations.count() == 2 and result.oversized.count() == 0

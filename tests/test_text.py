@@ -187,3 +187,23 @@ def test_profile_json_is_readable(spark):
     got = df.select(sections.profile_json(F.struct(*SECTIONS)).alias("r")).first()["r"]
     want = {"personal": 'a "q"\n\\', "business": "", "investing": "", "3i": "n", "deals": "", "introductions": "ü\t"}
     assert got == json.dumps(want, ensure_ascii=False, indent=2)
+
+
+def test_headings_of_a_response_are_split_once(spark):
+    """One split for the response and one for the text of a wrapper key, not one for each section."""
+    df = responses.parse_response(spark.createDataFrame([("## Personal\nx",)], "response STRING"))
+    assert df.first()["sections"]["personal"] == "x"
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        plan = df.select("*")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("split(") == 2
+
+
+@pytest.mark.parametrize("value,out", [
+    ("{}", "{}"), (" \r\n\t[1]", "[1]"), ('"x"', '"x"'), ("-1", "-1"), ("true", "true"), ("tru", None), ("## a", None),
+    ("- a", None), ("'a'", None), ("NaN", None), ("+1", None), ("/**/1", None), ("\ufeff{}", None), ("\x0b{}", None),
+    ("", None), (None, None), ("1,2", None), ("{} x", None)])
+def test_whole_json_by_its_start(spark, value, out):
+    assert one(spark, value, lambda c: F.to_json(text.whole_json(c))) == out
