@@ -180,7 +180,7 @@ def s14_by_name(spark, sf):
     dst = run_folder(spark, "by-name")
     for _ in range(2):
         files.write_documents_by_name(named_docs(spark, sf, "doc"), dst, "doc")
-    return sources.read_documents_by_name(spark, dst).withColumnRenamed("text", "doc")
+    return sources.read_documents_by_name(spark, dst, by_tasks=True).withColumnRenamed("text", "doc")
 
 
 @check("s16_append_events", "run_events",

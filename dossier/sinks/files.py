@@ -98,7 +98,8 @@ def _stage_and_publish(docs: DataFrame, folder: str) -> None:
     try:
         # a job that fails ends here, with no document touched; the files of a task that ran twice are moved once
         width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        written = freeze(docs.repartition(width, "name").mapInArrow(write, "target STRING, staged STRING"))
+        # texts are not dealt anew: only paths are shuffled, so that one task has all files of a name
+        written = freeze(docs.mapInArrow(write, "target STRING, staged STRING"))
         written.repartition(width, "target").groupBy("target").agg(F.collect_list("staged").alias("staged")).foreachPartition(publish)
     finally:
         system.delete_dir(f"{path}/{stage}")

@@ -133,12 +133,33 @@ def _name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def read_documents_by_name(spark: SparkSession, folder: str) -> DataFrame:
-    """(name, text) of documents that ``write_documents_by_name`` wrote; a filter on names lists only their folders."""
-    stored = spark.read.schema("value STRING, name STRING").text(folder, wholetext=True)
+def read_documents_by_name(spark: SparkSession, folder: str, by_tasks: bool = False) -> DataFrame:
+    """(name, text) of documents that ``write_documents_by_name`` wrote; a filter on names opens only their files.
+
+    Spark's index of the folders is made and held in the driver.  To read all of many documents give ``by_tasks``:
+    tasks list the folders and open the files where they can, and a filter on names comes after.
+    """
+    if by_tasks and tasks_open(folder):
+        found = _whole(spark, folder, "")
+        shown = F.substring_index(F.element_at(F.split("path", "/"), -2), "name=", -1)
+        name = F.when(shown != "__HIVE_DEFAULT_PARTITION__", _unescaped(shown))
+        stored = found.select(F.col("content").alias("value"), name.alias("name"))
+    else:
+        stored = spark.read.schema("value STRING, name STRING").text(folder, wholetext=True)
     return stored.select("name", F.regexp_replace("value", r"\n\z", "").alias("text"))
 
 
+def _unescaped(shown: Column) -> Column:
+    """A partition's value from the name of its folder, where Spark puts ``%`` and two digits for some characters."""
+    def plain(x: Column) -> Column:
+        code = F.conv(F.left(x, F.lit(2)), 16, 10).cast("int")
+        return F.when(x.rlike("^[0-9A-Fa-f]{2}"), F.concat(F.char(code), F.substring(x, F.lit(3), F.length(x)))).otherwise(
+            F.concat(F.lit("%"), x))
+
+    parts = F.split(shown, "%")
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), plain), ""))
+
+
 def read_profile_json(spark: SparkSession, folder: str) -> DataFrame:
     """One document per file; bad JSON keeps its row and gets ``doc_error``."""
     docs = _whole(spark, folder, ".json").withColumnRenamed("content", "doc")
