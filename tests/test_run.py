@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.bindings import CONTEXT, CONTEXT_ROWS, RULE_MAP, RULE_ROWS
 from checks.grouping import TEMPLATE
-from checks.running import echo_clients
+from checks.running import echo_clients, totals_of_run
 from dossier.operators import generation
 from dossier.operators.rules import rules_frame
 from dossier.operators.metrics import run_totals
@@ -88,6 +88,9 @@ def loop(notes, logged, profiles, broken):
                 iterations.append((contact, k, f"{kind}/{sub}", len(ids), digest, profile["deals"], tokens(prompt)))
     return iterations, log
 
+RESULTS = ("contact_id STRING, success BOOLEAN, errors ARRAY<STRING>, notes_processed INT, files_created INT, records_published INT, "
+           "token_loss_events INT, token_loss_groups_skipped INT, token_loss_records_skipped INT")
+
 
 def start(spark, notes, log_rows):
     empty = spark.createDataFrame([], "contact_id STRING, generator STRING, version INT")
@@ -369,3 +372,29 @@ def test_a_wave_writes_four_tables(spark):
         before_waves, waves, numbering = 4, 2, 1
         assert len(checkpoints._KEPT[-1]) <= before_waves + 4 * waves + numbering
         assert result.iterations.count() == 2 and result.oversized.count() == 0
+
+
+def test_totals_hold_every_contact_what_was_published_and_what_answers_lost(spark):
+    """A contact whose notes have no id is scheduled and fails; an answer is held against the profile it replaces."""
+    notes = [("E2", "CNT-000001", "click", None, "words", None), (None, "CNT-000002", "click", None, "text", None),
+             (None, "CNT-000002", "click", None, "more", None)]
+    result = start(spark, notes, spark.createDataFrame([], RUN_LOG))
+    made = result.iterations.first()
+    before = tokens(as_json({"personal": 'old "p"', "deals": "d"}))
+    assert (result.iterations.count(), made["existing_tokens"]) == (1, before) and before > tokens(made["response"])
+    outbox = spark.createDataFrame([("CNT-000001", None)], "contact_id STRING, sync_error STRING")
+    per = contact_results(result, outbox, generation.token_loss(result.iterations))
+    assert {r["contact_id"]: r["errors"] for r in per.collect()} == {
+        "CNT-000001": [], "CNT-000002": ["click/null: 2 notes without an id"]}
+    got = run_totals(per).first().asDict()
+    assert got == {"total_scheduled": 2, "total_completed_success": 1, "total_skipped_claim": 0, "total_failed": 1, "notes_processed": 1,
+                   "files_created": 1, "records_published": 1, "token_loss_events": 1, "token_loss_groups_skipped": 0,
+                   "token_loss_records_skipped": 0, "error_count": 1}
+
+
+def test_the_totals_of_a_run_are_all_worked_out(spark):
+    """The query reads the publication and the lost tokens, which no total of its own would be left to do."""
+    plan = totals_of_run(spark, "/root/testdata/sf0.001")
+    assert set(run_totals(spark.createDataFrame([], RESULTS)).columns) <= set(plan.columns)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "record_id" in text and "existing_tokens" in text
